@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,29 +28,38 @@ def group_counts(data: DataFrame, keys: Sequence[str], min_samples: int = 1) ->
     return counts.filter(F.col("sample_size") >= min_samples)
 
 
-def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str = VALUE_COLUMN) -> DataFrame:
+def percentiles_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str = VALUE_COLUMN, carry: str | None = None
+) -> DataFrame:
     """Exact 101 percentiles per key from value counts; percentile p has rank max(1, ceil(p n / 100)).
 
-    Each value fills the percentiles whose rank falls within its share of the sorted sample.
+    Each row fills the percentiles whose rank falls within its share of the sorted sample. A value may
+    come in several rows. Non-null values of the column ``carry`` are gathered in a list.
     """
     group = Window.partitionBy(*keys)
     upto = F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(group)
-    ranked = counts.select(*keys, value, "n", upto.alias("upto"), total.alias("sample_size"))
+    extra = [carry] if carry else []
+    ranked = counts.select(
+        *keys, value, "n", *extra, upto.alias("upto"), F.sum("n").over(group).alias("sample_size")
+    )
 
     def filled(cumulative: Column) -> Column:
         return F.when(cumulative > 0, F.floor(cumulative * 100 / F.col("sample_size")) + 1).otherwise(0)
 
     repeats = (filled(F.col("upto")) - filled(F.col("upto") - F.col("n"))).cast("int")
-    runs = F.struct(F.col(value).alias("value"), repeats.alias("repeats"))
+    # Only rows that fill a percentile are gathered: 101 at most.
+    run = F.when(repeats > 0, F.struct(F.col(value).alias("value"), repeats.alias("repeats")))
     expanded = F.flatten(
         F.transform(F.array_sort(F.collect_list("run")), lambda r: F.array_repeat(r.value, r.repeats))
     )
     return (
-        ranked.select(*keys, "sample_size", runs.alias("run"))
-        .filter("run.repeats > 0")
+        ranked.withColumn("run", run)
         .groupBy(*keys)
-        .agg(expanded.alias("percentiles"), F.first("sample_size").alias("sample_size"))
+        .agg(
+            expanded.alias("percentiles"),
+            F.first("sample_size").alias("sample_size"),
+            *[F.collect_list(c).alias(c) for c in extra],
+        )
     )
 
 
@@ -73,29 +80,6 @@ def delay_percentiles(
     return percentiles_of_counts(value_counts(history, keys, value), keys, value)
 
 
-def _levels(counts: DataFrame, keys: list[str], min_samples: int) -> DataFrame:
-    """Per full key, the level it takes its sample from and which levels its prefixes serve.
-
-    Level i drops the last i keys. The windows run over distinct keys, not over samples.
-    """
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("size_0"))
-    depth = len(keys)
-    # From the coarsest window to the finest, so that one shuffle on the first key serves all.
-    for level in range(depth - 1, 0, -1):
-        size = F.sum("size_0").over(Window.partitionBy(*keys[: depth - level]))
-        sizes = sizes.withColumn(f"size_{level}", size)
-    pick = F.coalesce(
-        *[F.when(F.col(f"size_{i}") >= min_samples, F.lit(i)) for i in range(depth)]
-    )
-    picked = sizes.withColumn("level", pick)
-    for level in range(depth - 1, -1, -1):
-        serves = F.max(F.coalesce(F.col("level") == level, F.lit(False)))
-        picked = picked.withColumn(
-            f"serves_{level}", serves.over(Window.partitionBy(*keys[: depth - level]))
-        )
-    return picked
-
-
 def delay_distributions(
     history: DataFrame,
     keys: Sequence[str] = GROUP_COLUMNS,
@@ -104,37 +88,41 @@ def delay_distributions(
 ) -> DataFrame:
     """Percentiles per full key from the finest prefix with ``min_samples``; ``level`` tells which.
 
-    Keys whose coarsest group is still too small are left out. Percentiles are worked out only for
-    groups that some key uses, from one count of the history.
+    Level i drops the last i keys. Full keys whose coarsest group is still too small are left out.
+
+    The history is counted once per key and value. The counts are then dealt by the first key, and all
+    that follows stays within that partitioning: prefix sizes, choice of level, and percentiles of just
+    the groups that some key chose. A first key holds at most (its full keys) x (distinct values) counts,
+    144 x 1,801 for stop, hour, rain and temperature, however many samples there are.
     """
     keys = list(keys)
     depth = len(keys)
-    counts = value_counts(history, keys, value)
-    levels = _levels(counts, keys, min_samples)
-
-    def masked(level: Column) -> list[Column]:
-        return [
-            F.when(level < depth - i, F.col(k)).alias(f"group_{k}") if i else F.col(k).alias(f"group_{k}")
-            for i, k in enumerate(keys)
-        ]
-
+    prefixes = [Window.partitionBy(*keys[: depth - level]) for level in range(depth)]
+    # From the finest window to the coarsest: the first sort serves them all.
+    sized = value_counts(history, keys, value).repartition(F.col(keys[0]))
+    for level, prefix in enumerate(prefixes):
+        sized = sized.withColumn(f"size_{level}", F.sum("n").over(prefix))
+    choice = F.coalesce(*[F.when(F.col(f"size_{i}") >= min_samples, i) for i in range(depth)])
+    chosen = sized.withColumn("choice", choice).filter(F.col("choice").isNotNull())
+    full_key = Window.partitionBy(*keys).orderBy(value)
+    asks = F.when(F.row_number().over(full_key) == 1, F.struct(*keys))
+    chosen = chosen.withColumn("asks", asks)
+    for level, prefix in enumerate(prefixes):
+        chosen = chosen.withColumn(f"serves_{level}", F.max(F.col("choice") == level).over(prefix))
+
+    served = F.array_compact(F.array(*[F.when(F.col(f"serves_{i}"), i) for i in range(depth)]))
+    level = F.col("level")
+    masks = [
+        (F.when(level < depth - i, F.col(k)) if i else F.col(k)).alias(f"group_{k}")
+        for i, k in enumerate(keys)
+    ]
     group_keys = ["level"] + [f"group_{k}" for k in keys]
-    served = F.array_compact(F.array(*[F.when(F.col(f"serves_{i}"), F.lit(i)) for i in range(depth)]))
-    used = (
-        counts.join(levels.select(*keys, served.alias("served")), keys)
-        .select(*keys, value, "n", F.explode("served").alias("level"))
-        .select("level", *masked(F.col("level")), value, "n")
-        .groupBy(*group_keys, value)
-        .agg(F.sum("n").alias("n"))
-    )
-    groups = percentiles_of_counts(used, group_keys, value)
-    wanted = levels.filter(F.col("level").isNotNull()).select(*keys, "level", *masked(F.col("level")))
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(f"w.{k}").eqNullSafe(F.col(f"g.{k}")) for k in group_keys]
-    )
-    return wanted.alias("w").join(groups.alias("g"), same_group).select(
-        *[f"w.{k}" for k in keys], "g.percentiles", "g.sample_size", "w.level"
+    samples = chosen.select(*keys, value, "n", "choice", "asks", F.explode(served).alias("level")).select(
+        "level", *masks, value, "n", F.when(level == F.col("choice"), F.col("asks")).alias("asks")
     )
+    groups = percentiles_of_counts(samples, group_keys, value, carry="asks")
+    answered = groups.select("percentiles", "sample_size", "level", F.explode("asks").alias("key"))
+    return answered.select(*[f"key.{k}" for k in keys], "percentiles", "sample_size", "level")
 
 
 def lookup_percentiles(

@@ -27,6 +27,10 @@ from stopwise.functions.times import is_weekday, local_time
 
 Period = tuple[dt.date, dt.date]
 HOUR_KEYS = ("year", "month", "dayofmonth", "hour")
+MEANS = {
+    "rain": (("year", "month", "dayofmonth"), ("year", "weekofyear"), ("year", "month")),
+    "temperature": (("year", "weekofyear", "hour"), ("year", "month", "hour")),
+}
 
 
 def usable_arrivals(
@@ -58,7 +62,7 @@ def usable_arrivals(
 
 def stations_semi_join(arrivals: DataFrame, stops: DataFrame) -> DataFrame:
     """Arrivals at a station that has at least one platform among ``stops``."""
-    stations = stops.select(station_id(F.col("stop_id")).alias("stop_id")).distinct()
+    stations = stops.select(station_id(F.col("stop_id")).alias("stop_id"))
     return arrivals.withColumn("stop_id", F.col("bpuic").cast("string")).join(stations, "stop_id", "left_semi")
 
 
@@ -134,41 +138,43 @@ def add_weather(history: DataFrame, weather: DataFrame) -> DataFrame:
     return dated.join(F.broadcast(weather), list(HOUR_KEYS), "left")
 
 
-def _mean_over(column: str, *keys: str) -> Column:
+def _mean_over(column: str, keys: Sequence[str]) -> Column:
     window = Window.partitionBy(*keys)
     return F.sum(f"{column}_sum").over(window) / F.sum(f"{column}_n").over(window)
 
 
-def _calendar_means(history: DataFrame, column: str, means: Sequence[Sequence[str]]) -> DataFrame:
-    """First non-null mean of ``column`` over each key list, per calendar hour.
+def _fill(history: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Missing values as the first known mean of the groups in ``MEANS``, weighted by history rows.
 
-    History is first summed per hour of the calendar: at most 8,928 (12 x 31 x 24) rows a year remain,
-    and the windows run over those, not over the history.
+    History is first summed per hour of the calendar. At most 8,928 (12 x 31 x 24) rows a year remain
+    whatever its size: the windows run over those, a year at a time, and they are broadcast.
     """
-    hours = history.groupBy("year", "month", "weekofyear", "dayofmonth", "hour").agg(
-        F.sum(column).alias(f"{column}_sum"), F.count(column).alias(f"{column}_n")
+    sums = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.sum, "sum"), (F.count, "n"))]
+    hours = (
+        history.groupBy("year", "month", "weekofyear", "dayofmonth", "hour").agg(*sums).repartition("year")
     )
-    filled = F.coalesce(*[_mean_over(column, *keys) for keys in means])
-    return hours.select(*HOUR_KEYS, filled.alias("filled"))
-
-
-def _fill(history: DataFrame, column: str, means: Sequence[Sequence[str]]) -> DataFrame:
-    calendar = _calendar_means(history, column, means)
+    means = [
+        F.coalesce(*[_mean_over(c, keys) for keys in MEANS[c]]).alias(f"{c}_mean") for c in columns
+    ]
+    calendar = hours.select(*HOUR_KEYS, *means)
     joined = history.join(F.broadcast(calendar), list(HOUR_KEYS), "left")
-    filled = joined.withColumn(column, F.coalesce(column, "filled"))
+    filled = joined.withColumns({c: F.coalesce(c, f"{c}_mean") for c in columns})
     return filled.select(*history.columns)
 
 
 def fill_rain(history: DataFrame) -> DataFrame:
-    """Missing rain as the mean of the same day, else week, else month, weighted by history rows."""
-    return _fill(
-        history, "rain", [("year", "month", "dayofmonth"), ("year", "weekofyear"), ("year", "month")]
-    )
+    """Missing rain as the mean of the same day, else week, else month."""
+    return _fill(history, ["rain"])
 
 
 def fill_temperature(history: DataFrame) -> DataFrame:
     """Missing temperature as the mean of the same hour in the week, else in the month."""
-    return _fill(history, "temperature", [("year", "weekofyear", "hour"), ("year", "month", "hour")])
+    return _fill(history, ["temperature"])
+
+
+def fill_weather(history: DataFrame) -> DataFrame:
+    """Both fillings from one pass over the history."""
+    return _fill(history, ["rain", "temperature"])
 
 
 def classify_weather(

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from stopwise.config import SHAPE_LEVEL
 from stopwise.functions.geo import polygon_contains, ring_moments, sphere_distance
-from stopwise.operators.hot_keys import split_hot_keys
 from stopwise.sources.shapes import with_bounds
 
 CELL_DEGREES = 0.02
+SALTS = 8
 
 
 def select_regions(polygons: DataFrame, region_ids: Sequence[str], level: str = SHAPE_LEVEL) -> DataFrame:
@@ -20,41 +20,34 @@ def select_regions(polygons: DataFrame, region_ids: Sequence[str], level: str =
     return polygons.filter((F.col("level") == level) & F.trim("uuid").isin(*region_ids))
 
 
-def _cell(coordinate: Column | str, cell: float) -> Column:
-    return F.floor(F.col(coordinate) / cell if isinstance(coordinate, str) else coordinate / cell)
+def _cell(coordinate: str, cell: float) -> Column:
+    return F.floor(F.col(coordinate) / cell)
 
 
 def stops_within(stops: DataFrame, polygons: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """Rows of ``stops`` strictly inside any of the polygons, each once per distinct row.
+    """Rows of ``stops`` strictly inside any of the polygons.
 
     Both sides meet on grid cells: a polygon is listed under every cell its bounding box touches, a
-    stop under its own cell. Stops are filtered by a semi join, so overlapping polygons repeat nothing.
+    stop under its own cell. Stops of a cell are dealt over several salts, and the polygons repeated, so
+    that a crowded cell is shared between tasks. A semi join keeps a stop once however many polygons
+    hold it.
     """
     gridded = stops.withColumns(
-        {"cell_x": _cell("stop_lon", cell_degrees), "cell_y": _cell("stop_lat", cell_degrees)}
+        {
+            "cell_x": _cell("stop_lon", cell_degrees),
+            "cell_y": _cell("stop_lat", cell_degrees),
+            "salt": F.pmod(F.xxhash64("stop_id"), F.lit(SALTS)).cast("int"),
+        }
     )
-    cells = with_bounds(polygons).select(
-        "rings",
-        F.explode(F.sequence(_cell("min_lon", cell_degrees), _cell("max_lon", cell_degrees))).alias("cell_x"),
-        "min_lat",
-        "max_lat",
-    )
-    cells = cells.select(
-        "rings",
-        "cell_x",
-        F.explode(F.sequence(_cell("min_lat", cell_degrees), _cell("max_lat", cell_degrees))).alias("cell_y"),
-    )
-    gridded, cells = split_hot_keys(gridded, cells, ["cell_x", "cell_y"], ["stop_lon", "stop_lat", "stop_id"])
+    cells = with_bounds(polygons)
+    for axis, low, high in (("cell_x", "min_lon", "max_lon"), ("cell_y", "min_lat", "max_lat")):
+        touched = F.sequence(_cell(low, cell_degrees), _cell(high, cell_degrees))
+        cells = cells.withColumn(axis, F.explode(touched))
+    cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     left, right = gridded.alias("s"), cells.alias("p")
-    matched = left.join(
-        right,
-        (F.col("s.cell_x") == F.col("p.cell_x"))
-        & (F.col("s.cell_y") == F.col("p.cell_y"))
-        & (F.col("s.split") == F.col("p.split"))
-        & polygon_contains(F.col("p.rings"), F.col("s.stop_lon"), F.col("s.stop_lat")),
-        "left_semi",
-    )
-    return matched.select(*stops.columns).distinct()
+    same_cell = [F.col(f"s.{k}") == F.col(f"p.{k}") for k in ("cell_x", "cell_y", "salt")]
+    inside = polygon_contains(F.col("p.rings"), F.col("s.stop_lon"), F.col("s.stop_lat"))
+    return left.join(right, [*same_cell, inside], "left_semi").select(*stops.columns)
 
 
 def region_centroid(polygons: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def snapshot_stops(stops: DataFrame, snapshot: Column, polygons: DataFrame) -> D
     parent = F.regexp_replace("parent_station", "Parent", "")
     return stops_within(
         boarding.select("stop_id", "stop_name", "stop_lat", "stop_lon", parent.alias("parent_stop_id")), polygons
-    )
+    ).distinct()
 
 
 def service_calendar(calendar: DataFrame, snapshot: Column, day: dt.date) -> DataFrame:

@@ -14,8 +14,7 @@ from stopwise.operators.history import (
     add_weather,
     arrival_history,
     classify_weather,
-    fill_rain,
-    fill_temperature,
+    fill_weather,
     hourly_weather,
 )
 from stopwise.operators.regions import closest_site, region_centroid, select_regions, stops_within
@@ -24,7 +23,7 @@ from stopwise.operators.regions import closest_site, region_centroid, select_reg
 def region_stops(stops: DataFrame, polygons: DataFrame) -> DataFrame:
     """Ids of boarding stops of any snapshot inside the polygons."""
     boarding = stops.filter(F.col("location_type").isNull()).select("stop_id", "stop_lon", "stop_lat")
-    return stops_within(boarding.distinct(), polygons).select("stop_id").distinct()
+    return stops_within(boarding, polygons).select("stop_id").distinct()
 
 
 def classified_history(
@@ -42,7 +41,7 @@ def classified_history(
     site = closest_site(stations, region_centroid(regions)).select("site").scalar()
     weather = hourly_weather(weather_documents, site, period)
     history = arrival_history(arrivals, region_stops(stops, regions), period=period, **filters)
-    return classify_weather(fill_temperature(fill_rain(add_weather(history, weather))))
+    return classify_weather(fill_weather(add_weather(history, weather)))
 
 
 def fit(history: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
