@@ -412,7 +412,7 @@ SELECTS = {
         FROM (SELECT *, lag(trip_id) OVER (PARTITION BY journey_id ORDER BY leg) AS before FROM fx_legs)
         GROUP BY journey_id""",
     "leg_slack": "SELECT journey_id, ride, trip_id, to_stop_id, hour, slack_s FROM fx_slack",
-    "cdf_lookup": "SELECT journey_id, ride, to_stop_id, hour, slack_s, sample_size, round(probability, 6) AS probability FROM fx_chances",
+    "cdf_lookup": "SELECT journey_id, ride, to_stop_id, hour, slack_s, sample_size, round(probability + 1e-9, 6) AS probability FROM fx_chances",
     "journey_confidence": """
         SELECT journey_id, round(product(probability) + 1e-9, 6) AS confidence FROM fx_chances GROUP BY journey_id""",
     "exp_percentiles": f"""

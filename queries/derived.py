@@ -148,7 +148,10 @@ class Transport:
     def stop_times(self) -> DataFrame:
         """Line numbers repeat within an order: such stop times fall to one when hops are made."""
         seconds = "21600 + l_orderkey * 97 % 72000 + l_linenumber * 240"
-        clock = "format_string('%02d:%02d:%02d', ({s}) div 3600, ({s}) % 3600 div 60, ({s}) % 60)"
+        clock = (
+            "concat_ws(':', lpad(({s}) div 3600, 2, '0'), lpad(({s}) % 3600 div 60, 2, '0'), "
+            "lpad(({s}) % 60, 2, '0'))"
+        )
         return self.table("lineitem").selectExpr(
             "concat('T', l_orderkey) AS trip_id",
             f"{STOP_ID.format(k='l_suppkey')} AS stop_id",

@@ -57,6 +57,11 @@ def _rounded(column: str, digits: int = 6) -> Column:
     return F.round(column, digits).alias(column)
 
 
+def _nudged(column: str) -> Column:
+    """Rounded so that exact halves go the same way whatever the order of multiplication."""
+    return F.round(F.col(column) + 1e-9, 6).alias(column)
+
+
 # Filters and snapshots
 
 
@@ -392,15 +397,14 @@ def cdf_lookup(t: Transport) -> DataFrame:
     slacks = legs.leg_slack(_compressed(t), ["journey_id", "rain", "temperature"])
     chances = connection_probabilities(slacks, delay_model.fit(t.history))
     return chances.select(
-        "journey_id", "ride", "to_stop_id", "hour", "slack_s", "sample_size", _rounded("probability")
+        "journey_id", "ride", "to_stop_id", "hour", "slack_s", "sample_size", _nudged("probability")
     )
 
 
 @register
 def journey_confidence_of_legs(t: Transport) -> DataFrame:
     confidence = journey_confidence(_compressed(t), delay_model.fit(t.history))
-    # The nudge lets exact halves round alike whatever the order of multiplication.
-    return confidence.select("journey_id", F.round(F.col("confidence") + 1e-9, 6).alias("confidence"))
+    return confidence.select("journey_id", _nudged("confidence"))
 
 
 REGISTRY["journey_confidence"] = REGISTRY.pop("journey_confidence_of_legs")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,25 +11,27 @@ from stopwise.config import FALLBACK_RATE, KS_TERMS
 
 
 def exponential_percentiles(rate: float = FALLBACK_RATE) -> Column:
-    """101 percentiles of an exponential distribution; the last one is infinite."""
+    """101 percentiles of an exponential distribution, as a constant; the last one is infinite."""
     if rate <= 0:
         raise ValueError("the rate must be positive")
-    body = F.transform(
-        F.sequence(F.lit(0), F.lit(99)), lambda p: F.abs(F.log(1 - p / F.lit(100.0))) / rate
-    )
-    return F.concat(body, F.array(F.lit(float("inf"))))
+    finite = [-math.log1p(-p / 100) / rate + 0.0 for p in range(100)]
+    return F.array(*[F.lit(v) for v in [*finite, math.inf]])
 
 
 def probability_below(value: Column, percentiles: Column) -> Column:
     """P(X < value), linear between the 101 percentiles."""
-    at_most = F.size(F.filter(percentiles, lambda x: x <= value))
-    below, above = F.get(percentiles, at_most - 1), F.get(percentiles, at_most)
-    inside = (at_most - 1 + (value - below) / (above - below)) / 100
-    return (
-        F.when(value <= F.get(percentiles, F.lit(0)), F.lit(0.0))
-        .when(value >= F.get(percentiles, F.lit(100)), F.lit(1.0))
-        .otherwise(inside)
-    )
+
+    def interpolate(at_most: Column) -> Column:
+        below, above = F.get(percentiles, at_most - 1), F.get(percentiles, at_most)
+        return (
+            F.when(value <= F.get(percentiles, F.lit(0)), F.lit(0.0))
+            .when(value >= F.get(percentiles, F.lit(100)), F.lit(1.0))
+            .otherwise((at_most - 1 + (value - below) / (above - below)) / 100)
+        )
+
+    # The one-element array has the position looked up once.
+    at_most = F.array(F.size(F.filter(percentiles, lambda x: x <= value)))
+    return F.get(F.transform(at_most, interpolate), F.lit(0))
 
 
 def kolmogorov_p_value(statistic: Column, n1: Column, n2: Column, terms: int = KS_TERMS) -> Column:

@@ -87,10 +87,9 @@ def timetable(
     Conditions on times need no join, so they come first. The join with stops precedes the one with
     trips: what follows groups by trip and can use the last join's partitioning.
     """
+    latest = min(deadline_s, (max_arrival_hour + 1) * 3600 - 1)
     timed = clock_times(stop_times).filter(
-        (F.col("arr_s") <= deadline_s)
-        & (F.col("dep_s") >= min_departure_hour * 3600)
-        & (F.col("arr_s") < (max_arrival_hour + 1) * 3600)
+        (F.col("arr_s") <= latest) & (F.col("dep_s") >= min_departure_hour * 3600)
     )
     described = trips.join(calendar, "service_id").join(routes, "route_id")
     joined = timed.drop("pub_date").join(stops, "stop_id").join(described, "trip_id")
