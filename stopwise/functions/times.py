@@ -12,9 +12,13 @@ from stopwise.config import DAY_S, TIME_ZONE, WEEKDAYS
 
 def parse_clock(text: Column) -> Column:
     """``HH:MM:SS`` text, hours possibly past 24, as seconds; null if malformed."""
-    parts = F.split(text, ":")
-    hours, minutes, seconds = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    return hours * 3600 + minutes * 60 + seconds
+
+    def seconds(parts: Column) -> Column:
+        hours, minutes, rest = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
+        return hours * 3600 + minutes * 60 + rest
+
+    # The one-element array has the text split once.
+    return F.get(F.transform(F.array(F.split(text, ":")), seconds), F.lit(0))
 
 
 def format_clock(seconds: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,15 @@ def shift_weekdays(timed: DataFrame) -> DataFrame:
     return timed.withColumns(dict(zip(WEEKDAYS, flags)))
 
 
+def business_shifts(calendar: DataFrame) -> DataFrame:
+    """Services with ``business``: for each day shift from 0 to 6, whether all working days are served."""
+    served = []
+    for shift in range(len(WEEKDAYS)):
+        rotated = dict(zip(WEEKDAYS, rotate_weekdays([F.col(d) for d in WEEKDAYS], F.lit(shift))))
+        served.append(reduce(lambda a, b: a & b, [rotated[d] for d in BUSINESS_DAYS]))
+    return calendar.select("service_id", F.array(*served).alias("business"))
+
+
 def timetable(
     stop_times: DataFrame,
     stops: DataFrame,
@@ -84,18 +94,14 @@ def timetable(
 ) -> DataFrame:
     """Stop times of working-day services within the hours and before the deadline.
 
-    Conditions on times need no join, so they come first. The join with stops precedes the one with
+    Conditions on times need no join, so they come first; which shifts a service serves is settled once
+    per service. The join with stops precedes the one with
     trips: what follows groups by trip and can use the last join's partitioning.
     """
     latest = min(deadline_s, (max_arrival_hour + 1) * 3600 - 1)
     timed = clock_times(stop_times).filter(
         (F.col("arr_s") <= latest) & (F.col("dep_s") >= min_departure_hour * 3600)
     )
-    described = trips.join(calendar, "service_id").join(routes, "route_id")
+    described = trips.join(business_shifts(calendar), "service_id").join(routes, "route_id")
     joined = timed.drop("pub_date").join(stops, "stop_id").join(described, "trip_id")
-    business = F.array(*[F.col(d) for d in BUSINESS_DAYS])
-    return (
-        shift_weekdays(joined)
-        .filter(F.forall(business, lambda flag: flag))
-        .drop(*WEEKDAYS)
-    )
+    return joined.filter(F.get("business", F.col("shift"))).drop("business")
