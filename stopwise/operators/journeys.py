@@ -5,9 +5,14 @@ the destination when leaving at ``dep_s``. All queries to the same destination,
 budget share one search; the origin matters only when the answers are picked.
 
 A round joins the labels of the last round with ride hops (and the hops before them in the same run)
-and walking edges, drops what is dominated and stores the rest. A label is dominated when enough other
-labels at its stop leave no earlier, allow as late a connection and have walked no further. Nothing else
-limits the number of labels.
+and walking edges, drops what is dominated and stores the rest. Label a dominates label b of the same stop when
+it leaves no earlier, allows as late a connection and has walked no further: whatever goes on from b then
+goes on from a, or, where that would pass a stop of a again, from a's own label at that stop.
+
+For one journey per query a label is dropped when any other dominates it. For k journeys it is dropped
+when labels of k different branches dominate it. A branch is the first label at which a dominating path
+leaves the path of the dropped one. Paths of one branch can be cut short at the same stop and so stand
+for one journey only; paths of k branches always give k different journeys. Nothing else limits the labels.
 """
 
 from __future__ import annotations
@@ -52,6 +57,7 @@ def first_labels(
         F.lit(None).cast("long").alias("last_run"),
         F.col("search_id").alias("label_id"),
         F.array("to_stop_id").alias("visited"),
+        F.array().cast("array<bigint>").alias("path"),
         F.array().cast(f"array<{LEG}>").alias("legs"),
         F.col("width").cast("int").alias("width"),
     )
@@ -107,6 +113,7 @@ def extend_by_ride(
         "last_trip",
         "last_run",
         "visited",
+        "path",
         "width",
         F.explode(buckets).alias("bucket"),
     )
@@ -125,7 +132,7 @@ def extend_by_ride(
             & ~F.col("run_id").eqNullSafe(F.col("last_run"))
         )
         .select(
-            "search_id", "parent_stop_id", "parent_id", "walked_s", "visited", "width", "trip_id", "run_id",
+            "search_id", "parent_stop_id", "parent_id", "walked_s", "visited", "path", "width", "trip_id", "run_id",
             "alight_seq", "alight_s", (F.col("transfers") + _changes(F.col("trip_id"))).alias("transfers"),
         )
     )
@@ -143,6 +150,7 @@ def extend_by_ride(
             F.xxhash64("parent_id", "trip_id", "seq", "alight_seq").alias("label_id"),
             "parent_stop_id",
             "parent_id",
+            "path",
             "width",
             "trip_id",
             "run_id",
@@ -174,6 +182,7 @@ def extend_by_walk(labels: DataFrame, walks: DataFrame) -> DataFrame:
         F.xxhash64("label_id", F.lit(WALKING), start).alias("label_id"),
         F.col("stop_id").alias("parent_stop_id"),
         F.col("label_id").alias("parent_id"),
+        "path",
         "width",
         F.lit(WALKING).alias("trip_id"),
         F.lit(None).cast("long").alias("run_id"),
@@ -182,50 +191,94 @@ def extend_by_walk(labels: DataFrame, walks: DataFrame) -> DataFrame:
     )
 
 
-def best_of_kind(candidates: DataFrame, width: int) -> DataFrame:
-    """The ``width`` latest candidates among those equal in stop, walking so far and kind of last leg.
+def latest_of_kind(candidates: DataFrame, width: int, keys: list[str]) -> DataFrame:
+    """The ``width`` latest candidates among those equal in ``keys``, walking so far and kind of last leg.
 
     The others are dominated. Spark applies the limit before the shuffle as well, so of a busy stop only
     a few rows per task travel.
     """
     on_foot = F.col("trip_id") == WALKING
     rank = F.row_number().over(
-        Window.partitionBy("search_id", "stop_id", "walked_s", on_foot).orderBy(
+        Window.partitionBy("search_id", "stop_id", *keys, "walked_s", on_foot).orderBy(
             F.desc("dep_s"), "transfers", "label_id"
         )
     )
     return candidates.withColumn("rank", rank).filter(F.col("rank") <= width).drop("rank")
 
 
-def undominated(candidates: DataFrame, known: DataFrame, width: int) -> DataFrame:
-    """Candidates that fewer than their search's ``width`` labels dominate.
-
-    In the window's order a label comes after all that dominate it. Each pass marks one layer: labels
-    that no unmarked label before them dominates. A label beyond the last layer heads a chain of
-    ``width`` labels, each dominating the next.
-    """
-    fresh = candidates.withColumn("fresh", F.lit(True))
-    # Labels known already stand for themselves only; they are not returned.
+def _with_known(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """Candidates marked ``fresh`` and the labels kept so far, which only serve to dominate."""
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in candidates.schema if f.name not in known.columns]
     kept = known.select("*", *blank, F.lit(False).alias("fresh"))
-    group = Window.partitionBy("search_id", "stop_id").orderBy(
-        "walked_s", F.desc("dep_s"), F.desc("ride_by_s"), "fresh", "transfers", "label_id"
+    return candidates.withColumn("fresh", F.lit(True)).unionByName(kept)
+
+
+def undominated(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """Candidates that no label dominates.
+
+    In the window's order a label comes after all that dominate it, so running maxima decide.
+    """
+    candidates = latest_of_kind(candidates, 1, [])
+    before = (
+        Window.partitionBy("search_id", "stop_id")
+        .orderBy("walked_s", F.desc("dep_s"), F.desc("ride_by_s"), "fresh", "transfers", "label_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    best_dep, best_ride_by = F.max("dep_s").over(before), F.max("ride_by_s").over(before)
+    labels = _with_known(candidates, known).withColumns({"best_dep": best_dep, "best_ride_by": best_ride_by})
+    # A label that connects as late as it leaves is beaten by one that connects as late: that one
+    # leaves late enough too. Any other label loses its transfer time, as all do at most.
+    dominated = F.when(
+        F.col("ride_by_s") == F.col("dep_s"), F.col("best_ride_by") >= F.col("ride_by_s")
+    ).otherwise(F.col("best_dep") >= F.col("dep_s"))
+    return labels.filter(F.col("fresh") & ~F.coalesce(dominated, F.lit(False))).select(*candidates.columns)
+
+
+def dominated_by_fewer_branches(candidates: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """Candidates that labels of fewer than their search's ``width`` branches dominate.
+
+    Candidates of one parent are branches of their own, so a first limit per parent leaves at most
+    ``width`` of a kind. The rest of a search's labels at a stop are then folded in an order in which
+    a label comes after all that dominate it, comparing it with the labels kept.
+    """
+    candidates = latest_of_kind(candidates, width, ["parent_id"])
+    criteria = ("walked_s", "dep_s", "ride_by_s", "fresh", "transfers", "label_id", "path")
+    group = ("search_id", "stop_id", "width")
+    carried = [c for c in candidates.columns if c not in criteria and c not in group]
+    label = F.struct(
+        "walked_s",
+        (-F.col("dep_s")).alias("early"),
+        (-F.col("ride_by_s")).alias("tight"),
+        "fresh",
+        "transfers",
+        "label_id",
+        F.when(F.col("fresh"), F.array_append("path", F.col("label_id"))).otherwise(F.col("path")).alias("path"),
+        *carried,
+    )
+    grouped = _with_known(candidates, known).groupBy(*group).agg(
+        F.array_sort(F.collect_list(label)).alias("labels"), F.max("fresh").alias("any_fresh")
+    )
+
+    def branch(a: Column, b: Column) -> Column:
+        differs = F.zip_with(a.path, b.path, lambda x, y: F.when(x != y, x))
+        return F.get(F.array_compact(differs), F.lit(0))
+
+    def step(kept: Column, b: Column) -> Column:
+        ahead = F.filter(kept, lambda a: (a.early <= b.early) & (a.tight <= b.tight))
+        branches = F.size(F.array_distinct(F.transform(ahead, lambda a: branch(a, b))))
+        few = F.when(F.size(ahead) < F.col("width"), True).otherwise(branches < F.col("width"))
+        return F.when(~b.fresh | few, F.array_append(kept, b)).otherwise(kept)
+
+    kept = F.aggregate("labels", F.slice("labels", 1, 0), step)
+    chosen = (
+        grouped.filter("any_fresh")
+        .select(*group, F.explode(F.filter(kept, lambda a: a.fresh)).alias("l"))
+        .select(*group, "l.*")
     )
-    before = group.rowsBetween(Window.unboundedPreceding, -1)
-    labels = fresh.unionByName(kept.select(*fresh.columns)).withColumn("layer", F.lit(None).cast("int"))
-    for layer in range(1, width + 1):
-        open_label = F.col("layer").isNull()
-        dep = F.max(F.when(open_label, F.col("dep_s"))).over(before)
-        ride_by = F.max(F.when(open_label, F.col("ride_by_s"))).over(before)
-        labels = labels.withColumns({"best_dep": dep, "best_ride_by": ride_by})
-        # A label that connects as late as it leaves is beaten by one that connects as late: that one
-        # leaves late enough too. Any other label loses its transfer time, as all do at most.
-        dominated = F.when(
-            F.col("ride_by_s") == F.col("dep_s"), F.col("best_ride_by") >= F.col("ride_by_s")
-        ).otherwise(F.col("best_dep") >= F.col("dep_s"))
-        marked = F.when(open_label & ~F.coalesce(dominated, F.lit(False)), layer).otherwise(F.col("layer"))
-        labels = labels.withColumn("layer", marked)
-    return labels.filter(F.col("fresh") & (F.col("layer") <= F.col("width"))).select(*candidates.columns)
+    parents = F.slice("path", F.lit(1), F.size("path") - 1)
+    return chosen.withColumns(
+        {"dep_s": -F.col("early"), "ride_by_s": -F.col("tight"), "path": parents}
+    ).select(*candidates.columns)
 
 
 def with_legs(candidates: DataFrame, parents: DataFrame) -> DataFrame:
@@ -256,6 +309,7 @@ def with_legs(candidates: DataFrame, parents: DataFrame) -> DataFrame:
         F.col("run_id").alias("last_run"),
         "label_id",
         F.array_append("visited", F.col("stop_id")).alias("visited"),
+        F.array_append("path", F.col("label_id")).alias("path"),
         F.array_append("legs", leg).alias("legs"),
         "width",
     )
@@ -291,9 +345,12 @@ def search_journeys(
         )
         if prune:
             known = workspace.read("labels/round=*", schema).select(
-                "search_id", "stop_id", "dep_s", "ride_by_s", "walked_s", "transfers", "label_id", "width"
+                "search_id", "stop_id", "dep_s", "ride_by_s", "walked_s", "transfers", "label_id", "path", "width"
             )
-            candidates = undominated(best_of_kind(candidates, width), known, width)
+            if width == 1:
+                candidates = undominated(candidates, known)
+            else:
+                candidates = dominated_by_fewer_branches(candidates, known, width)
         labels, count = workspace.write(f"labels/round={legs}", with_legs(candidates, labels))
     return workspace.read("labels/round=*", schema)
 
