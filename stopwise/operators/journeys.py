@@ -191,6 +191,11 @@ def extend_by_walk(labels: DataFrame, walks: DataFrame) -> DataFrame:
     )
 
 
+def _spot() -> list[Column]:
+    """Search and stop, with a hash of both in front so that sorts rarely compare further."""
+    return [F.xxhash64("search_id", "stop_id"), F.col("search_id"), F.col("stop_id")]
+
+
 def latest_of_kind(candidates: DataFrame, width: int, keys: list[str]) -> DataFrame:
     """The ``width`` latest candidates among those equal in ``keys``, walking so far and kind of last leg.
 
@@ -199,7 +204,7 @@ def latest_of_kind(candidates: DataFrame, width: int, keys: list[str]) -> DataFr
     """
     on_foot = F.col("trip_id") == WALKING
     rank = F.row_number().over(
-        Window.partitionBy("search_id", "stop_id", *keys, "walked_s", on_foot).orderBy(
+        Window.partitionBy(*_spot(), *keys, "walked_s", on_foot).orderBy(
             F.desc("dep_s"), "transfers", "label_id"
         )
     )
@@ -220,7 +225,7 @@ def undominated(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """
     candidates = latest_of_kind(candidates, 1, [])
     before = (
-        Window.partitionBy("search_id", "stop_id")
+        Window.partitionBy(*_spot())
         .orderBy("walked_s", F.desc("dep_s"), F.desc("ride_by_s"), "fresh", "transfers", "label_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -285,7 +290,7 @@ def with_legs(candidates: DataFrame, parents: DataFrame) -> DataFrame:
     """Labels from surviving candidates: the parent's legs and one more."""
     parent = parents.select(
         F.col("search_id"), F.col("stop_id").alias("parent_stop_id"), F.col("label_id").alias("parent_id"),
-        "visited", "legs", "budget_s",
+        "visited", "legs", "budget_s", "path",
     )
     leg = F.struct(
         F.when(F.col("trip_id") == WALKING, "walk").otherwise("ride").alias("kind"),
@@ -296,7 +301,7 @@ def with_legs(candidates: DataFrame, parents: DataFrame) -> DataFrame:
         F.col("leg_arr_s").alias("arr_s"),
         F.col("leg_walk_s").alias("walk_s"),
     ).cast(LEG)
-    joined = candidates.join(parent, ["search_id", "parent_stop_id", "parent_id"])
+    joined = candidates.drop("path").join(parent, ["search_id", "parent_stop_id", "parent_id"])
     return joined.select(
         "search_id",
         "stop_id",
