@@ -230,6 +230,10 @@ TABLES = {
               WHERE ride > 0 GROUP BY journey_id, ride)""",
 }
 
+TABLES["fx_timetable_day"] = TABLES["fx_timetable"].replace(
+    "t.arr_s <= 72000 AND t.dep_s >= 7 * 3600 AND t.arr_s < 21 * 3600", "true"
+)
+
 
 def distributions(name: str, source: str, threshold: int) -> dict[str, str]:
     """Back-off distributions of ``source`` as tables ``name`` (one row per key) and its parts."""
@@ -372,9 +376,12 @@ SELECTS = {
         SELECT bpuic, operating_day::VARCHAR AS operating_day, product_id, count(*) AS n
         FROM fx_usable GROUP BY ALL""",
     "timetable": "SELECT * FROM fx_timetable",
+    "timetable_whole_day": "SELECT trip_id, stop_id, stop_sequence, arr_s, dep_s, shift FROM fx_timetable_day",
     "trip_edges": "SELECT * FROM fx_hops",
     "ride_runs": "SELECT trip_id, direction_id, source_stop_sequence, dep_s, arr_s, run_start FROM fx_runs",
-    "ill_timed_hops": "SELECT trip_id, source_stop_sequence, dep_s, arr_s FROM fx_hops WHERE dep_s > arr_s",
+    "ill_timed_hops": """
+        SELECT trip_id, source_stop_sequence, dep_s + source_stop_sequence % 3 * 200 AS dep_s, arr_s FROM fx_hops
+        WHERE dep_s + source_stop_sequence % 3 * 200 > arr_s""",
     "walking_edges": "SELECT * FROM fx_walks",
     "transfer_override": """
         SELECT source_stop_id, target_stop_id, walk_s, transfer_time,

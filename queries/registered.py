@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.derived import (
-    DEADLINE_S,
-    MAX_WALK_M,
     MIN_CONFIDENCE,
     PERIOD,
     REGIONS,
@@ -24,6 +22,7 @@ from stopwise.operators import distributions, history, legs, network, regions, t
 from stopwise.operators.confidence import connection_probabilities, journey_confidence
 from stopwise.operators.journeys import pick_journeys, search_journeys
 from stopwise.plans import delay_model, journey_plan
+from stopwise.plans.travel_network import build_timetable
 from stopwise.sources.shapes import with_bounds
 from stopwise.sources.workspace import Workspace
 
@@ -100,6 +99,13 @@ def timetable_of_day(t: Transport) -> DataFrame:
 REGISTRY["timetable"] = REGISTRY.pop("timetable_of_day")
 
 
+@register
+def timetable_whole_day(t: Transport) -> DataFrame:
+    """All hours, so that trips that run past midnight show their shifted weekdays."""
+    day = build_timetable(t.schedule, t.regions, TRAVEL_DAY, min_departure_hour=0, max_arrival_hour=23)
+    return day.stop_times.select("trip_id", "stop_id", "stop_sequence", "arr_s", "dep_s", "shift")
+
+
 @register
 def trip_edges(t: Transport) -> DataFrame:
     return t.network.hops
@@ -114,7 +120,10 @@ def ride_runs(t: Transport) -> DataFrame:
 
 @register
 def ill_timed_hops(t: Transport) -> DataFrame:
-    return network.ill_timed_hops(t.network.hops).select("trip_id", "source_stop_sequence", "dep_s", "arr_s")
+    # Departures are moved so that some hops are ill timed; those of the tables are not.
+    moved = F.col("dep_s") + F.col("source_stop_sequence") % 3 * 200
+    hops = t.network.hops.withColumn("dep_s", moved)
+    return network.ill_timed_hops(hops).select("trip_id", "source_stop_sequence", "dep_s", "arr_s")
 
 
 @register
