@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import toxicity
+from stopwise.llm import language, near_duplicates, toxicity
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_words(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    labelled = language.identify_languages(documents.select("doc_id", "text"), language.fit(documents))
+    spans = F.size("lang_spans").alias("n_spans")
+    return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), spans)
+
+
 def op3_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     model = toxicity.fit(documents, _table(spark, folder, "labels"))
@@ -30,9 +37,17 @@ def op3_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(_table(spark, folder, "documents"), size=4)
+    kept = F.col("doc_id") == F.col("component_id")
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(True)).alias("kept"), "n_links")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_words": op1_language_words,
         "op3_toxic_passages": op3_toxic_passages,
+        "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
     }
 
 
