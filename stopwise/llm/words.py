@@ -33,7 +33,9 @@ class Words(NamedTuple):
 
 def split_words(texts: pa.Array, lower: Callable[[pa.Array], pa.Array] = pc.utf8_lower) -> Words:
     """Lower-cased words of each text, each distinct word once in the vocabulary."""
-    lists = pc.ascii_split_whitespace(lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    # take() copies: splitting reads a slice of a longer array wrongly.
+    copied = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+    lists = pc.ascii_split_whitespace(lower(pc.fill_null(copied, "")))
     flat = lists.flatten()
     present = pc.not_equal(pc.binary_length(flat), 0)
     before = np.concatenate(([0], np.cumsum(present.to_numpy(zero_copy_only=False))))
