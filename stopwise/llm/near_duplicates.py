@@ -156,10 +156,9 @@ def _confirmed(work: Workspace, name: str, pairs: DataFrame, classes: DataFrame,
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None = None) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` (smallest linked doc_id), ``n_links`` of each document.
+    """``doc_id``, ``n_shingles`` (size of its set) and ``component_id`` (smallest doc_id reachable) of each row.
 
-    ``size`` is the number of words in a shingle. ``n_links`` counts the confirmed links of the document's class that were needed to
-    join its component.
+    ``size`` is the number of words in a shingle.
     """
     work = work or Workspace(documents.sparkSession)
     name = uuid.uuid4().hex[:8]
@@ -191,6 +190,4 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
 
     rows = sets.select("doc_id", "n", "one", "two").join(smallest, ["one", "two", "n"], "left")
     rows = rows.join(joined, rows["id"] == joined["node"], "left")
-    degree = links.select(F.col("a").alias("at")).union(links.select("b")).groupBy("at").agg(F.count(F.lit(1)).alias("n_links"))
-    rows = rows.join(degree, rows["id"] == degree["at"], "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import language, near_duplicates, toxicity
+from stopwise.llm import check_sql as sql
+from stopwise.llm import language, mixing, near_duplicates, toxicity
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,11 @@ def op3_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(_table(spark, folder, "documents"), size=4)
     kept = F.col("doc_id") == F.col("component_id")
-    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(True)).alias("kept"), "n_links")
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(True)).alias("kept"))
+
+
+def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.documents_of_mix(mixing.mix_sources(_table(spark, folder, "documents")))
 
 
 def queries() -> dict[str, Query]:
@@ -48,9 +53,13 @@ def queries() -> dict[str, Query]:
         "op1_language_words": op1_language_words,
         "op3_toxic_passages": op3_toxic_passages,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
+        "op9_mix_sources": op9_mix_sources,
     }
 
 
 def check_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against plain versions of them."""
-    return {}
+    return {
+        "op6_bottom_k_duplicates": sql.NEAR_DUPLICATES,
+        "op9_mix_sources": sql.MIX,
+    }
