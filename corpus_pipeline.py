@@ -2,22 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import toxicity
+from stopwise.llm import decontamination, language, mixing, near_duplicates, toxicity
 from stopwise.sources.workspace import Workspace
 
+#: Columns of documents that the operators read.
+KNOWN = ("doc_id", "text", "lang", "source")
+#: Mean probability of the words' best language below which a text counts as being in none.
+LEAST_LANGUAGE = 0.4
+
+
+def _unclashing(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its other columns under names that no operator uses, and what gives the names back."""
+    names = {c: c if c in KNOWN else f"_kept_{k}" for k, c in enumerate(docs.columns)}
+    renamed = docs.toDF(*names.values())
+    return renamed, lambda found: found.select(*names.values()).toDF(*names)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the limit, unchanged."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_toxicity(docs, model)
-    return scored.filter(F.col("tox_score") < toxicity.TOXIC).select(docs.columns)
+    """Documents whose toxicity score is below the limit."""
+    renamed, restored = _unclashing(docs)
+    model = toxicity.fit(renamed, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return restored(toxicity.score_toxicity(renamed, model).filter(F.col("tox_score") < toxicity.TOXIC))
+
+
+def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model knows."""
+    renamed, restored = _unclashing(docs)
+    found = language.identify_languages(renamed, language.fit(renamed))
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE)
+    return restored(found.filter(known))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest doc_id, once; rows without doc_id all stay."""
+    renamed, restored = _unclashing(docs)
+    found = near_duplicates.near_duplicates(renamed)
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    unnamed = renamed.filter("doc_id IS NULL")
+    once = renamed.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return restored(once.unionByName(unnamed))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    leaks = decontamination.find_benchmark_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaking, _ = Workspace(spark).write("leaking", leaks.select("doc_id").distinct())
+    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix to the target weights takes of each document."""
+    return mixing.documents_of_mix(mixing.mix_sources(docs))
 
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("language", drop_unknown_languages),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("mixing", mix),
 ]
 
 #: No SQL states the learned stages; tests hold the stages against plain versions of them.
@@ -28,6 +76,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again for the next."""
     work = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs, _ = work.write(name, stage(spark, docs, sf_dir))
+    for number, (_, stage) in enumerate(STAGES):
+        docs, _ = work.write(f"stage-{number}", stage(spark, docs, sf_dir))
     return docs

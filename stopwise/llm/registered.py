@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import language, mixing, near_duplicates, toxicity
+from stopwise.llm import decontamination, language, mixing, near_duplicates, toxicity
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op3_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_benchmark_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(_table(spark, folder, "documents"), size=4)
     kept = F.col("doc_id") == F.col("component_id")
@@ -52,6 +56,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_words": op1_language_words,
         "op3_toxic_passages": op3_toxic_passages,
+        "op4_latent_leaks": op4_latent_leaks,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
         "op9_mix_sources": op9_mix_sources,
     }
