@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, mixing, near_duplicates, toxicity
+from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, toxicity
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.documents_of_mix(mixing.mix_sources(_table(spark, folder, "documents")))
 
 
+def op10_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_words": op1_language_words,
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op4_latent_leaks": op4_latent_leaks,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
         "op9_mix_sources": op9_mix_sources,
+        "op10_multi_index_neighbours": op10_multi_index_neighbours,
     }
 
 
