@@ -36,6 +36,27 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM split d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+#: The letters of base32, and the bits of the hexadecimal digits.
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+NIBBLES = [f"{k:04b}" for k in range(16)]
+
+WARC = f"""
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hash FROM pages
+), bits AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, hash,
+        array_to_string(list_transform(string_split(hash, ''), lambda d: {NIBBLES}[strpos('0123456789abcdef', d)]), '') AS bits
+    FROM payloads
+), kept AS (
+    SELECT hash, payload_bytes, max(page_id) AS kept FROM bits GROUP BY ALL
+)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(32), lambda k: substr('{BASE32}', ('0b' || bits[5 * k + 1 : 5 * k + 5])::INT + 1, 1)), '') AS payload_digest,
+    CASE WHEN kept > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN kept > page_id THEN kept END AS refers_to
+FROM bits JOIN kept USING (hash, payload_bytes)
+"""
+
 
 def _rounds(seed: int) -> str:
     return ", ".join(f"({k}, {key}, {factor}, {shift})" for k, (key, factor, shift) in enumerate(mixing.round_keys(seed)))

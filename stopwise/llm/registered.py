@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, toxicity
+from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, toxicity, warc
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(True)).alias("kept"))
 
 
+def op7_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.write_archive(_table(spark, folder, "pages"))
+    return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.documents_of_mix(mixing.mix_sources(_table(spark, folder, "documents")))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op3_toxic_passages": op3_toxic_passages,
         "op4_latent_leaks": op4_latent_leaks,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
+        "op7_warc_bundles": op7_warc_bundles,
         "op9_mix_sources": op9_mix_sources,
         "op10_multi_index_neighbours": op10_multi_index_neighbours,
     }
@@ -71,5 +77,6 @@ def check_sql() -> dict[str, str]:
     """SQL for the queries that it can express; the others are tested against plain versions of them."""
     return {
         "op6_bottom_k_duplicates": sql.NEAR_DUPLICATES,
+        "op7_warc_bundles": sql.WARC,
         "op9_mix_sources": sql.MIX,
     }
