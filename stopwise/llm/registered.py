@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, toxicity, warc
+from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, quality, toxicity, warc
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def op1_language_words(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), spans)
 
 
+def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    scored = quality.score_quality(documents.select("doc_id", "text"), quality.fit(documents, _table(spark, folder, "labels")))
+    predicted = (F.col("quality_score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("quality_score").alias("score"), predicted)
+
+
 def op3_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     model = toxicity.fit(documents, _table(spark, folder, "labels"))
@@ -64,6 +71,7 @@ def op10_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_language_words": op1_language_words,
+        "op2_compression_quality": op2_compression_quality,
         "op3_toxic_passages": op3_toxic_passages,
         "op4_latent_leaks": op4_latent_leaks,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
