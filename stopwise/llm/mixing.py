@@ -36,6 +36,9 @@ WORDS_PER_BLOCK = 128
 SLOTS_PER_SHARD = 1024
 BUCKETS = 4096
 SLOTS_PER_CHUNK = 4096
+#: Slots that one task makes, unless that were too many tasks.
+SLOTS_PER_TASK = 1 << 17
+MOST_TASKS = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 24
 PRIME = (1 << 31) - 1
@@ -126,12 +129,14 @@ def mix_sources(documents: DataFrame, work: Workspace | None = None, seed: int =
 
     # Slots of each source in chunks, so that a large source's slots are made by many tasks.
     chunks = sources.filter("slots > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / SLOTS_PER_CHUNK))))
-    chunks = chunks.repartition("rank", "chunk")
+    number = sources.agg(F.sum("slots")).first()[0] or 0
+    chunks = chunks.repartition(min(MOST_TASKS, 1 + number // SLOTS_PER_TASK), "rank", "chunk")
     first = F.col("chunk") * SLOTS_PER_CHUNK
     slots = chunks.withColumn("slot", F.explode(F.sequence(first, F.least(first + SLOTS_PER_CHUNK, "slots") - 1)))
     at = permuted(F.col("first_slot") + F.col("slot"), F.col("all_slots"), F.lit(0).cast("long"), seed)
     block = permuted(F.pmod(F.col("slot"), F.col("blocks")), F.col("blocks"), F.col("rank"), seed + 1)
-    slots = slots.select("rank", block.alias("block"), at.alias("at"))
+    # Written, so that the join below knows their real size.
+    slots, _ = work.write(f"{name}-slots", slots.select("rank", block.alias("block"), at.alias("at")))
     dealt = slots.join(pieces, ["rank", "block"])
     shard, place = F.floor(F.col("at") / SLOTS_PER_SHARD), F.pmod(F.col("at"), F.lit(SLOTS_PER_SHARD))
     places = dealt.select(shard.alias("shard"), place.alias("place"), "rank", "block", "row", "first_word", "words")
