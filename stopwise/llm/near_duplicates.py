@@ -9,8 +9,9 @@ Every document's set of distinct shingles is hashed once; its ``K`` smallest val
    that are mostly made of it.
 3. In each list, classes of like size are first compared with the smallest one. What is linked then
    needs no further comparison with its own component: pairs are made only across components.
-4. A pair passes if the sketch of its union, the K smallest values of both, holds enough common values,
-   and is confirmed on the full sets.
+4. A pair passes if the sketch of its union, the smallest values of both, holds enough common values,
+   and is confirmed on the full sets. Pairs across components are held against a wider sketch while they are made, so that only few
+   of a large group of half-like documents become rows.
 5. Links become components. All groups are joined by keys that Spark can split; no list, group or
    component is gathered in one task or on the driver.
 
@@ -41,6 +42,10 @@ from stopwise.sources.workspace import Workspace
 
 #: Retained values per set.
 K = 32
+#: Values of the wider sketch, cut to 32 bits, that pairs across components are held against.
+WIDE = 192
+#: Common values of two wide sketches' union that links have at least: five standard deviations below 0.8 WIDE.
+WIDE_OVERLAP = 125
 #: Common values that two linked sets' sketches have at least, when both sets have more than ``SMALL`` shingles.
 OVERLAP = 14
 #: Sets up to this size are compared whole by their sketches, as are the sets they can be linked with.
@@ -77,22 +82,23 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _sketches(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``n``, two fingerprints of the set, and its sketch."""
+    """``doc_id``, ``n``, two fingerprints of the set, its sketch and its wide sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                n, one, two, sketch = [], [], [], []
+                n, one, two, sketch, wide = [], [], [], [], []
                 with np.errstate(over="ignore"):
                     for values in shingle_sets(split_words(part.column(1), pc.ascii_lower), size):
                         n.append(len(values))
                         one.append(values.sum(dtype=np.uint64).view(np.int64))
                         two.append(mix(values ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                         sketch.append(_signed(values[:K]))
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch"])
+                        wide.append(_signed(values[:WIDE]) >> 32)
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch), _lists(wide).cast(pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch", "wide"])
 
-    schema = "doc_id long, n long, one long, two long, sketch array<long>"
+    schema = "doc_id long, n long, one long, two long, sketch array<long>, wide array<int>"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -120,6 +126,14 @@ def _like_sizes(first: Column, second: Column) -> Column:
     return (100 * first >= PERCENT * second) & (100 * second >= PERCENT * first)
 
 
+def _likely(first: Column, second: Column, n_first: Column, n_second: Column, size: int, overlap: int) -> Column:
+    """Whether the sketch of the union, the ``size`` smallest values of both, holds as many common values as a link's."""
+    union = F.slice(F.array_sort(F.array_union(first, second)), 1, size)
+    common = F.size(F.array_intersect(union, F.array_intersect(first, second)))
+    whole = F.greatest(n_first, n_second) <= size
+    return F.when(whole, _linked(common, n_first, n_second)).otherwise(common >= overlap)
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """``value``, ``id``, ``n`` for the rarest retained values of each class that other classes have too."""
     every = classes.select("id", "n", F.explode("sketch").alias("value"))
@@ -138,11 +152,7 @@ def _confirmed(work: Workspace, name: str, pairs: DataFrame, classes: DataFrame,
     first = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     second = classes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     both = pairs.join(first, "a").join(second, "b")
-    # The K smallest values of the union: what both sketches have of these is in both sets.
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, K)
-    common = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-    whole = F.greatest("n_a", "n_b") <= K
-    likely = F.when(whole, _linked(common, F.col("n_a"), F.col("n_b"))).otherwise(common >= OVERLAP)
+    likely = _likely(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"), K, OVERLAP)
     likely, _ = work.write(f"{name}-likely", both.filter(likely).select("a", "b").distinct())
     ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
     chosen = documents.join(ids, documents["doc_id"] == ids["id"], "left_semi")
@@ -166,7 +176,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     smallest, _ = work.write(f"{name}-smallest", filled.groupBy("one", "two", "n").agg(F.min("doc_id").alias("id")))
     firsts = filled.join(smallest.withColumnRenamed("id", "doc_id"), ["doc_id", "one", "two", "n"], "left_semi")
-    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch"))
+    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide"))
     postings, _ = work.write(f"{name}-postings", _postings(classes))
 
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT))).alias("band")
@@ -179,10 +189,16 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     placed, _ = work.write(f"{name}-placed", placed)
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("value")
     mixed, _ = work.write(f"{name}-mixed", mixed)
-    across = placed.join(mixed, "value")
+    across = placed.join(mixed, "value").join(classes.select("id", "sketch", "wide"), "id")
+    across, _ = work.write(f"{name}-across", across)
     one, two = across.alias("one"), across.alias("two")
+
+    def of(column: str) -> tuple[Column, Column]:
+        return F.col(f"one.{column}"), F.col(f"two.{column}")
+
     apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component"))
-    apart = apart & _like_sizes(F.col("one.n"), F.col("two.n"))
+    apart = apart & _like_sizes(*of("n")) & (F.size(F.array_intersect(*of("sketch"))) >= F.least(*of("n"), F.lit(OVERLAP)) * 0.8)
+    apart = apart & _likely(*of("wide"), *of("n"), WIDE, WIDE_OVERLAP)
     pairs = one.join(two, apart).select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
     more = _confirmed(work, f"{name}-second", pairs.join(links, ["a", "b"], "left_anti"), classes, documents, size)
     links = links.unionByName(more)
