@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from stopwise.llm import mixing
+from stopwise.llm import licenses, mixing
 
 SEED = 20240229
 
@@ -57,6 +57,24 @@ SELECT page_id, payload_bytes,
 FROM bits JOIN kept USING (hash, payload_bytes)
 """
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.NOTICES.items())
+
+LICENSES = f"""
+WITH templates (license, text) AS (VALUES {_TEMPLATES}),
+template_words AS (SELECT license, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM templates),
+template_shingles AS (
+    SELECT DISTINCT license, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM template_words
+),
+document_words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+document_shingles AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM document_words
+),
+sizes AS (SELECT license, count(*) AS n FROM template_shingles GROUP BY license)
+SELECT doc_id, license, count(*) / n::DOUBLE AS containment
+FROM document_shingles JOIN template_shingles USING (s) JOIN sizes USING (license)
+GROUP BY doc_id, license, n HAVING count(*) >= {licenses.CONTAINED} * n
+"""
+
 
 def _rounds(seed: int) -> str:
     return ", ".join(f"({k}, {key}, {factor}, {shift})" for k, (key, factor, shift) in enumerate(mixing.round_keys(seed)))

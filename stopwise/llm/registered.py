@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, mixing, near_duplicates, nearest, quality, toxicity, warc
+from stopwise.llm import decontamination, language, licenses, mixing, near_duplicates, nearest, quality, toxicity, warc
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op7_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_license_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(_table(spark, folder, "documents"), licenses.notices(spark))
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.documents_of_mix(mixing.mix_sources(_table(spark, folder, "documents")))
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op4_latent_leaks": op4_latent_leaks,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
         "op7_warc_bundles": op7_warc_bundles,
+        "op8_license_windows": op8_license_windows,
         "op9_mix_sources": op9_mix_sources,
         "op10_multi_index_neighbours": op10_multi_index_neighbours,
     }
@@ -86,5 +91,6 @@ def check_sql() -> dict[str, str]:
     return {
         "op6_bottom_k_duplicates": sql.NEAR_DUPLICATES,
         "op7_warc_bundles": sql.WARC,
+        "op8_license_windows": sql.LICENSES,
         "op9_mix_sources": sql.MIX,
     }
