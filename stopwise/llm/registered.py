@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, licenses, mixing, near_duplicates, nearest, quality, toxicity, warc
+from stopwise.llm import decontamination, language, licenses, mixing, near_duplicates, nearest, quality, quotations, toxicity, warc
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op4_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_benchmark_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op5_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quotations.link_quotations(_table(spark, folder, "conversations"))
+
+
 def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(_table(spark, folder, "documents"), size=4)
     kept = F.col("doc_id") == F.col("component_id")
@@ -78,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op2_compression_quality": op2_compression_quality,
         "op3_toxic_passages": op3_toxic_passages,
         "op4_latent_leaks": op4_latent_leaks,
+        "op5_quotation_links": op5_quotation_links,
         "op6_bottom_k_duplicates": op6_bottom_k_duplicates,
         "op7_warc_bundles": op7_warc_bundles,
         "op8_license_windows": op8_license_windows,
