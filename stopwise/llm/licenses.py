@@ -17,6 +17,8 @@ match; a repeated doc_id gives one row for each license; an empty table gives no
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +61,20 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(NOTICES.items()), "license string, text string")
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once for each row however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _shingles(text: Column) -> Column:
     """Hashes of all shingles in order; null and short texts have none."""
-    words = F.transform(F.split(F.lower(text), SEPARATOR), lambda w: F.xxhash64(w))
-    last = F.size(words) - SHINGLE
-    hashed = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
-    return F.when(last >= 0, hashed).otherwise(F.array().cast("array<bigint>"))
+
+    def hashed(words: Column) -> Column:
+        last = F.size(words) - SHINGLE
+        shingles = F.transform(F.sequence(F.lit(1), last + 1), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
+        return F.when(last >= 0, shingles).otherwise(F.array().cast("array<bigint>"))
+
+    return _with(F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATOR), lambda w: F.xxhash64(w)), hashed)
 
 
 def _band_keys(shingles: Column) -> Column:
@@ -123,8 +133,9 @@ def _find(documents: DataFrame, templates: DataFrame, known: list[int]) -> DataF
     texts = documents.select(F.col("doc_id").cast("long"), _shingles(F.col("text")).alias("all"))
     held = F.array_intersect("all", F.lit(known).cast("array<bigint>"))
     texts = texts.withColumn("held", held).filter(F.size("held") > 0)
-    at = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains(F.col("held"), F.get("all", i)))
-    windows = F.flatten(F.array(*(_windows(at, w) for w in WINDOWS)))
+    both = F.struct("all", "held")
+    at = _with(both, lambda b: F.filter(F.sequence(F.lit(0), F.size(b["all"]) - 1), lambda i: F.array_contains(b["held"], F.get(b["all"], i))))
+    windows = _with(at, lambda positions: F.flatten(F.array(*(_windows(positions, w) for w in WINDOWS))))
     texts = texts.select("doc_id", "all", "held", F.explode(F.array_distinct(windows)).alias("window"))
     part = F.slice("all", F.col("window.start") + 1, F.col("window.length") - SHINGLE + 1)
     texts = texts.select("doc_id", "held", F.col("window.length").alias("length"), part.alias("shingles"))
