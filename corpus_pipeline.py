@@ -50,9 +50,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    leaks = decontamination.find_benchmark_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    renamed, restored = _unclashing(docs)
+    leaks = decontamination.find_benchmark_items(renamed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     leaking, _ = Workspace(spark).write("leaking", leaks.select("doc_id").distinct())
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    return restored(renamed.join(leaking, "doc_id", "left_anti"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
