@@ -10,8 +10,8 @@ Every document's set of distinct shingles is hashed once; its ``K`` smallest val
 3. In each list, classes of like size are first compared with the smallest one. What is linked then
    needs no further comparison with its own component: pairs are made only across components.
 4. A pair passes if the sketch of its union, the smallest values of both, holds enough common values,
-   and is confirmed on the full sets. Pairs across components are held against a wider sketch while they are made, so that only few
-   of a large group of half-like documents become rows.
+   and is confirmed on the full sets. Pairs across components are held against a sign sketch, which costs next to nothing, and a wider sketch
+   while they are made, so that only few of a large group of half-like documents become rows.
 5. Links become components. All groups are joined by keys that Spark can split; no list, group or
    component is gathered in one task or on the driver.
 
@@ -46,6 +46,11 @@ K = 32
 WIDE = 192
 #: Common values of two wide sketches' union that links have at least: five standard deviations below 0.8 WIDE.
 WIDE_OVERLAP = 125
+#: Bits of the sign sketch (SimHash) that two linked sets of more than SMALL_SIGNS shingles differ in, at most:
+#: five standard deviations above those at Jaccard similarity 0.8.
+SIGN_WORDS = 4
+MOST_SIGNS = 68
+SMALL_SIGNS = 64
 #: Common values that two linked sets' sketches have at least, when both sets have more than ``SMALL`` shingles.
 OVERLAP = 14
 #: Sets up to this size are compared whole by their sketches, as are the sets they can be linked with.
@@ -71,6 +76,15 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def _signs(values: np.ndarray) -> np.ndarray:
+    """Sign sketch: each bit is the majority of that bit in one hash of all values."""
+    words = []
+    for k in range(SIGN_WORDS):
+        bits = np.unpackbits(mix(values ^ np.uint64(0xA0761D6478BD642F + k)).view(np.uint8).reshape(-1, 8), axis=1)
+        words.append(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(values)).view(np.int64)[0])
+    return np.array(words, np.int64)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     """The same order as signed numbers."""
     return (values ^ np.uint64(1 << 63)).view(np.int64)
@@ -82,12 +96,12 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _sketches(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``n``, two fingerprints of the set, its sketch and its wide sketch."""
+    """``doc_id``, ``n``, two fingerprints of the set, its sketch, its wide sketch and its sign sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                n, one, two, sketch, wide = [], [], [], [], []
+                n, one, two, sketch, wide, signs = [], [], [], [], [], []
                 with np.errstate(over="ignore"):
                     for values in shingle_sets(split_words(part.column(1), pc.ascii_lower), size):
                         n.append(len(values))
@@ -95,10 +109,11 @@ def _sketches(documents: DataFrame, size: int) -> DataFrame:
                         two.append(mix(values ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                         sketch.append(_signed(values[:K]))
                         wide.append(_signed(values[:WIDE]) >> 32)
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch), _lists(wide).cast(pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch", "wide"])
+                        signs.append(_signs(values) if len(values) > SMALL_SIGNS else np.zeros(SIGN_WORDS, np.int64))
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch), _lists(wide).cast(pa.list_(pa.int32())), _lists(signs)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch", "wide", "signs"])
 
-    schema = "doc_id long, n long, one long, two long, sketch array<long>, wide array<int>"
+    schema = "doc_id long, n long, one long, two long, sketch array<long>, wide array<int>, signs array<long>"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -176,7 +191,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     smallest, _ = work.write(f"{name}-smallest", filled.groupBy("one", "two", "n").agg(F.min("doc_id").alias("id")))
     firsts = filled.join(smallest.withColumnRenamed("id", "doc_id"), ["doc_id", "one", "two", "n"], "left_semi")
-    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide"))
+    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide", "signs"))
     postings, _ = work.write(f"{name}-postings", _postings(classes))
 
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT))).alias("band")
@@ -189,7 +204,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     placed, _ = work.write(f"{name}-placed", placed)
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("value")
     mixed, _ = work.write(f"{name}-mixed", mixed)
-    across = placed.join(mixed, "value").join(classes.select("id", "sketch", "wide"), "id")
+    across = placed.join(mixed, "value").join(classes.select("id", "sketch", "wide", "signs"), "id")
     across, _ = work.write(f"{name}-across", across)
     one, two = across.alias("one"), across.alias("two")
 
@@ -197,7 +212,9 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
         return F.col(f"one.{column}"), F.col(f"two.{column}")
 
     apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component"))
-    apart = apart & _like_sizes(*of("n")) & (F.size(F.array_intersect(*of("sketch"))) >= F.least(*of("n"), F.lit(OVERLAP)) * 0.8)
+    unlike = sum((F.bit_count(F.get("one.signs", F.lit(k)).bitwiseXOR(F.get("two.signs", F.lit(k)))) for k in range(SIGN_WORDS)), F.lit(0))
+    apart = apart & _like_sizes(*of("n")) & ((F.least(*of("n")) <= SMALL_SIGNS) | (unlike <= MOST_SIGNS))
+    apart = apart & (F.size(F.array_intersect(*of("sketch"))) >= F.least(*of("n"), F.lit(OVERLAP)) * 0.8)
     apart = apart & _likely(*of("wide"), *of("n"), WIDE, WIDE_OVERLAP)
     pairs = one.join(two, apart).select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
     more = _confirmed(work, f"{name}-second", pairs.join(links, ["a", "b"], "left_anti"), classes, documents, size)
@@ -206,4 +223,5 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
 
     rows = sets.select("doc_id", "n", "one", "two").join(smallest, ["one", "two", "n"], "left")
     rows = rows.join(joined, rows["id"] == joined["node"], "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
