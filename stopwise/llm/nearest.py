@@ -121,9 +121,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, work:
     wanted_centroids = int(min(MOST_CENTROIDS, max(4, 2 ** round(np.log2(np.sqrt(number / 4) + 1)))))
     share = SAMPLE_PER_CENTROID * wanted_centroids / number
     draw = F.pmod(F.xxhash64(F.lit("centroids"), F.col("vec_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    sample = points.filter(draw < share).select("vector").toPandas()
+    sample = points.filter(draw < share).select("vector").toArrow().to_pandas()
     if not len(sample):
-        sample = points.select("vector").limit(wanted_centroids).toPandas()
+        sample = points.select("vector").limit(wanted_centroids).toArrow().to_pandas()
     sampled = np.stack(sample.vector)
     half = max(1, sampled.shape[1] // 2)
     low = _centroids(sampled[:, :half], wanted_centroids, 1)
@@ -140,7 +140,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, work:
 
     placed, _ = work.write(f"{name}-cells", points.mapInArrow(place, "vec_id long, vector array<double>, first long, second long"))
     sizes, _ = work.write(f"{name}-sizes", placed.groupBy("first", "second").agg(F.count(F.lit(1)).alias("size")))
-    held = sizes.toPandas()
+    held = sizes.toArrow().to_pandas()
     counts = np.zeros((len(low), len(high)), np.int64)
     counts[held["first"], held["second"]] = held["size"]
     wanted = max(LEAST_CANDIDATES, int(CANDIDATE_SHARE * number))

@@ -116,7 +116,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     half = F.pmod(F.xxhash64(F.lit("dictionary"), "doc_id"), F.lit(1 << 20)) < int(FOR_DICTIONARIES * (1 << 20))
     rows = labelled_texts(documents, labels, "quality", rows_per_class, "quality").withColumn("for_dictionary", half)
     labelled, _ = work.write("labelled", rows)
-    samples = _training_chunks(labelled.filter("for_dictionary")).toPandas()
+    samples = _training_chunks(labelled.filter("for_dictionary")).toArrow().to_pandas()
     texts = {y: sorted(samples.chunk[samples.label == y]) for y in (0, 1)}
     if not texts[0] or not texts[1]:
         work.drop()
@@ -128,7 +128,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     if found.label.nunique() < 2:
         found = _differences(labelled.select("label", "text"), good, bad)
     work.drop()
-    share = labels.filter(F.col("quality").isin(0, 1)).groupBy("quality").count().toPandas().set_index("quality")["count"]
+    share = labels.filter(F.col("quality").isin(0, 1)).groupBy("quality").count().toArrow().to_pandas().set_index("quality")["count"]
     weight = found.label.map(share / found.groupby("label").size()).to_numpy()
     weights = _calibrated(100 * found[["mean", "worst"]].to_numpy(), found.label.to_numpy(float), weight / weight.mean())
     return QualityModel(good, bad, weights)
@@ -142,7 +142,7 @@ def _differences(texts: DataFrame, good: bytes, bad: bytes):
                 found = [both.differences(t or b"") for t in pc.cast(part.column(1), pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([f[k] for f in found], pa.float64()) for k in (0, 1))], names=["label", "mean", "worst"])
 
-    return texts.mapInArrow(run, "label int, mean double, worst double").toPandas()
+    return texts.mapInArrow(run, "label int, mean double, worst double").toArrow().to_pandas()
 
 
 def score_quality(documents: DataFrame, model: QualityModel | None) -> DataFrame:

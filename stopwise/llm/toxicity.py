@@ -159,7 +159,7 @@ def _counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         .mapInArrow(count, "bucket long, clean long, toxic long")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .toPandas()
+        .toArrow().to_pandas()
     )
     counts = np.zeros((2, BUCKETS))
     counts[0, rows.bucket], counts[1, rows.bucket] = rows.clean, rows.toxic
@@ -205,7 +205,7 @@ def _left_out_segments(labelled: DataFrame, clean: np.ndarray, toxic: np.ndarray
                 columns = [part.column(1), pa.array(lengths), pa.array(segments, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["label", "n", "segments"])
 
-    return labelled.select("text", "label").mapInArrow(score, "label int, n long, segments array<double>").toPandas()
+    return labelled.select("text", "label").mapInArrow(score, "label int, n long, segments array<double>").toArrow().to_pandas()
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -242,7 +242,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     model = ToxicityModel(table.astype(np.float32), rate, log_scale, 1.0, 0.0)
     evidence = np.array([model.evidence(s, n) for s, n in zip(rows.segments, rows.n, strict=True)])
     # Halfway between the labels' shares and equal classes: a missed toxic text costs more than its rarity says.
-    share = labels.filter(F.col("toxic").isin(0, 1)).groupBy("toxic").count().toPandas().set_index("toxic")["count"]
+    share = labels.filter(F.col("toxic").isin(0, 1)).groupBy("toxic").count().toArrow().to_pandas().set_index("toxic")["count"]
     weight = rows.label.map(share**0.5 / rows.groupby("label").size()).to_numpy()
     weight = weight / weight.mean()
     slope, intercept = _logistic(evidence, rows.label.to_numpy(float), weight)
