@@ -80,7 +80,7 @@ class ToxicityModel(NamedTuple):
 
     def evidence(self, scores: list[float], n: int) -> float:
         """Normalised scores of the largest and of every other significant segment of ``n`` words, added up."""
-        if not scores:
+        if not len(scores):
             return 0.0
         excess = self.rate * np.array(scores) - self.log_scale - math.log(n)
         return float(excess[excess >= -math.log(SIGNIFICANT)].sum() or excess.max())
