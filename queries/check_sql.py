@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 STOP_ID = "(8500000 + {k})::VARCHAR || CASE WHEN {k} % 4 = 0 THEN ':0:A' ELSE '' END"
 X0 = "(6.497::DOUBLE + {k} % 10 * 0.006::DOUBLE)"
 Y0 = "(46.498::DOUBLE + {k} // 10 * 0.004::DOUBLE)"
@@ -25,6 +27,7 @@ def clock(s: str) -> str:
 
 
 DEPARTS = "(21600 + l_orderkey * 97 % 72000 + l_linenumber * 240)"
+LINE_DEPARTS = "(21600 + l_orderkey * 97 % 72000 + line * 240)"
 
 # Each table: name, SQL. A query uses the tables it names and those they name.
 TABLES = {
@@ -61,11 +64,15 @@ TABLES = {
                DATE '2024-01-01' AS start_date,
                CASE WHEN p = 3 THEN DATE '2024-03-01' ELSE DATE '2024-12-31' END AS end_date
         FROM nation""",
+    "fx_lines": """
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                    ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line
+        FROM lineitem""",
     "fx_times": f"""
-        SELECT 'T' || l_orderkey AS trip_id, {stop_id('l_suppkey')} AS stop_id, l_linenumber AS stop_sequence,
-               l_orderkey, {DEPARTS} AS dep_raw, {DEPARTS} - 30 AS arr_raw,
+        SELECT 'T' || l_orderkey AS trip_id, {stop_id('l_suppkey')} AS stop_id, line AS stop_sequence,
+               l_orderkey, {LINE_DEPARTS} AS dep_raw, {LINE_DEPARTS} - 30 AS arr_raw,
                dep_raw // 86400 AS shift, (dep_raw % 86400)::INT AS dep_s, (arr_raw % 86400)::INT AS arr_s
-        FROM lineitem""",
+        FROM fx_lines""",
     "fx_timetable": """
         SELECT t.trip_id, t.stop_id, t.stop_sequence, t.arr_s, t.dep_s, t.shift::INT AS shift, s.stop_name, s.stop_lat,
                s.stop_lon, s.parent_stop_id, 'R' || (o.o_custkey % 25) AS route_id,
@@ -82,10 +89,10 @@ TABLES = {
                            WHEN 1 THEN c.sunday AND c.monday AND c.tuesday AND c.wednesday AND c.thursday END""",
     "fx_ends": """
         SELECT * FROM fx_timetable
-        QUALIFY row_number() OVER (PARTITION BY trip_id, direction_id, stop_sequence ORDER BY arr_s DESC, stop_id DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY trip_id, direction_id, stop_sequence ORDER BY arr_s DESC, dep_s DESC, stop_id DESC) = 1""",
     "fx_starts": """
         SELECT * FROM fx_timetable
-        QUALIFY row_number() OVER (PARTITION BY trip_id, direction_id, stop_sequence ORDER BY dep_s DESC, stop_id DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY trip_id, direction_id, stop_sequence ORDER BY arr_s DESC, dep_s DESC, stop_id DESC) = 1""",
     "fx_hops": """
         SELECT a.stop_id AS source_stop_id, a.stop_name AS source_stop_name, a.stop_lon AS source_stop_lon,
                a.stop_lat AS source_stop_lat, a.parent_stop_id AS source_parent_stop_id,
@@ -100,7 +107,8 @@ TABLES = {
         SELECT *, max(CASE WHEN breaks THEN source_stop_sequence END)
                     OVER (PARTITION BY trip_id, direction_id ORDER BY source_stop_sequence) AS run_start
         FROM (SELECT *, coalesce(lag(source_stop_sequence) OVER w <> source_stop_sequence - 1
-                                 OR lag(arr_s) OVER w > dep_s, true) AS breaks
+                                 OR lag(arr_s) OVER w > dep_s
+                                 OR lag(source_stop_id) OVER w <> target_stop_id, true) AS breaks
               FROM fx_hops WHERE dep_s <= arr_s
               WINDOW w AS (PARTITION BY trip_id, direction_id ORDER BY source_stop_sequence))""",
     "fx_pairs": f"""
@@ -197,14 +205,14 @@ TABLES = {
                {stop_id('((c_custkey * 7 + 3) % n)')} AS to_stop_id, 36000 + 1800 * (c_custkey % 10) AS arrival_s
         FROM customer, (SELECT count(*) AS n FROM supplier)""",
     "fx_legs": f"""
-        SELECT l_orderkey AS journey_id, l_linenumber AS leg,
+        SELECT l_orderkey AS journey_id, line::INT AS leg,
                CASE WHEN p % 4 = 0 THEN 'walking' ELSE 'T' || (s % 3) END AS trip_id,
                {stop_id('s')} AS from_stop_id, {stop_id('(s + 1)')} AS to_stop_id,
-               (25000 + l_orderkey % 20 * 1800 + l_linenumber * 900)::INT AS dep_s,
-               (25000 + l_orderkey % 20 * 1800 + l_linenumber * 900 + 200 + p % 600)::INT AS arr_s,
+               (25000 + l_orderkey % 20 * 1800 + line * 900)::INT AS dep_s,
+               (25000 + l_orderkey % 20 * 1800 + line * 900 + 200 + p % 600)::INT AS arr_s,
                (25000 + l_orderkey % 20 * 1800 + 7700)::INT AS deadline_s, l_orderkey % 2 = 0 AS rain,
                ['low', 'medium', 'high'][l_orderkey % 3 + 1] AS temperature
-        FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS p, max(l_suppkey) AS s FROM lineitem GROUP BY ALL)""",
+        FROM (SELECT l_orderkey, line, l_partkey AS p, l_suppkey AS s FROM fx_lines)""",
     "fx_compressed": """
         SELECT journey_id, part::INT AS leg, any_value(trip_id) AS trip_id, arg_min(from_stop_id, leg) AS from_stop_id,
                arg_max(to_stop_id, leg) AS to_stop_id, min(dep_s) AS dep_s, arg_max(arr_s, leg) AS arr_s,
@@ -263,10 +271,20 @@ def distributions(name: str, source: str, threshold: int) -> dict[str, str]:
     }
 
 
-TABLES |= {
-    "fx_train": "SELECT * FROM fx_history WHERE operating_day < DATE '2024-01-16'",
-    "fx_val": "SELECT * FROM fx_history WHERE operating_day >= DATE '2024-01-16'",
-}
+HISTORY = ("fx_usable", "fx_clean", "fx_weather", "fx_joined", "fx_filled", "fx_history")
+
+
+def history_of(suffix: str, start: str, end: str) -> dict[str, str]:
+    """The tables of the history of one period, each filled from that period alone."""
+    found = {}
+    for name in HISTORY:
+        sql = TABLES[name].replace("'2024-01-01'", f"'{start}'").replace("'2024-01-31'", f"'{end}'")
+        found[name + suffix] = re.sub(rf"\b({'|'.join(HISTORY)})\b", rf"\1{suffix}", sql)
+    return found
+
+
+TABLES |= history_of("_train", "2024-01-01", "2024-01-15") | history_of("_val", "2024-01-16", "2024-01-31")
+TABLES |= {"fx_train": "SELECT * FROM fx_history_train", "fx_val": "SELECT * FROM fx_history_val"}
 TABLES |= distributions("fx_dist", "fx_history", 30)
 TABLES |= distributions("fx_dist5", "fx_history", 5)
 TABLES |= distributions("fx_dist_train", "fx_train", 30)
@@ -295,20 +313,33 @@ TABLES |= {
                      coalesce(d.percentiles::DOUBLE[], {exponential('1.6')}) AS percentiles
               FROM fx_slack s LEFT JOIN fx_dist d
                 ON d.stop_id = left(s.to_stop_id, 7) AND d.hour = s.hour AND d.rain = s.rain AND d.temperature = s.temperature)""",
-    "fx_ks_steps": """
-        SELECT stop_id, type, delay, sum(t) OVER w AS tu, sum(v) OVER w AS vu,
-               sum(t) OVER (PARTITION BY stop_id, type) AS nt, sum(v) OVER (PARTITION BY stop_id, type) AS nv
-        FROM (SELECT stop_id, type, delay, count(*) FILTER (operating_day < DATE '2024-01-16') AS t,
-                     count(*) FILTER (operating_day >= DATE '2024-01-16') AS v
-              FROM fx_history WHERE type IS NOT NULL GROUP BY ALL)
-        WINDOW w AS (PARTITION BY stop_id, type ORDER BY delay)""",
-    "fx_ks": """
+}
+
+
+def kolmogorov(name: str, keys: str, least: int, where: str) -> dict[str, str]:
+    """Two-sample statistics per group of ``keys``."""
+    return {
+        f"{name}_steps": f"""
+        SELECT {keys}, delay, sum(t) OVER w AS tu, sum(v) OVER w AS vu,
+               sum(t) OVER (PARTITION BY {keys}) AS nt, sum(v) OVER (PARTITION BY {keys}) AS nv
+        FROM (SELECT {keys}, delay, sum(t) AS t, sum(v) AS v
+              FROM (SELECT *, 1 AS t, 0 AS v FROM fx_train UNION ALL SELECT *, 0, 1 FROM fx_val)
+              WHERE {where} GROUP BY ALL)
+        WINDOW w AS (PARTITION BY {keys} ORDER BY delay)""",
+        name: f"""
         SELECT *, statistic * sqrt(nt * nv / (nt + nv)) AS scaled,
                CASE WHEN scaled < 0.1 THEN 1.0 ELSE greatest(0.0, least(1.0,
                  2 * list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END
                                                                  * exp(-2.0 * j * j * scaled * scaled))))) END AS p_value
-        FROM (SELECT stop_id, type, nt::DOUBLE AS nt, nv::DOUBLE AS nv, max(abs(tu / nt - vu / nv)) AS statistic
-              FROM fx_ks_steps WHERE nt >= 15 AND nv >= 15 GROUP BY ALL)""",
+        FROM (SELECT {keys}, nt::DOUBLE AS nt, nv::DOUBLE AS nv, max(abs(tu / nt - vu / nv)) AS statistic
+              FROM {name}_steps WHERE nt >= {least} AND nv >= {least} GROUP BY ALL)""",
+    }
+
+
+TABLES |= kolmogorov("fx_ks", "stop_id, type", 15, "type IS NOT NULL")
+TABLES |= kolmogorov("fx_ks4", "stop_id, hour, rain, temperature", 2, "true")
+
+TABLES |= {
     "fx_calibration": """
         SELECT stop_id, hour, rain, temperature, percentile, percentile / 100.0::DOUBLE AS train_probability,
                CASE WHEN v.delays IS NULL THEN 0.0
@@ -324,19 +355,18 @@ TABLES |= {
          AND i.run_start = j.run_start AND i.source_stop_sequence <= j.source_stop_sequence""",
     "fx_labels": """
         SELECT DISTINCT to_stop_id, arrival_s, to_stop_id AS stop_id, arrival_s AS dep_s, 0::BIGINT AS walked_s,
-               false AS on_foot, 0 AS legs FROM fx_queries
+               false AS on_foot FROM fx_queries
         UNION ALL
-        SELECT to_stop_id, arrival_s, stop_id, dep_s, walked_s, on_foot, legs FROM (
-          SELECT l.to_stop_id, l.arrival_s, r.board AS stop_id, r.dep_s, l.walked_s, false AS on_foot, l.legs + 1 AS legs
+        SELECT to_stop_id, arrival_s, stop_id, dep_s, walked_s, on_foot FROM (
+          SELECT l.to_stop_id, l.arrival_s, r.board AS stop_id, r.dep_s, l.walked_s, false AS on_foot
           FROM fx_labels l JOIN fx_rides r
             ON r.alight = l.stop_id AND r.arr_s <= l.dep_s - CASE WHEN l.on_foot THEN 0 ELSE 120 END
-          WHERE l.legs < 12
           UNION ALL
           SELECT l.to_stop_id, l.arrival_s, w.target_stop_id, l.dep_s - greatest(w.walk_s, w.transfer_time)::INT,
-                 l.walked_s + w.walk_s, true, l.legs + 1
+                 l.walked_s + w.walk_s, true
           FROM fx_labels l JOIN fx_walks w
             ON w.source_stop_id = l.stop_id AND l.walked_s + w.walk_s <= 1200
-          WHERE l.legs < 12 AND l.dep_s - greatest(w.walk_s, w.transfer_time) >= 0)
+          WHERE l.dep_s - greatest(w.walk_s, w.transfer_time) >= 0)
         WHERE stop_id <> to_stop_id
         QUALIFY row_number() OVER (PARTITION BY to_stop_id, arrival_s, stop_id, walked_s, on_foot ORDER BY dep_s DESC) = 1""",
 }
@@ -487,10 +517,13 @@ SELECTS = {
                min(q.arrival_s - l.dep_s)::INT AS cost
         FROM fx_queries q JOIN fx_labels l
           ON l.to_stop_id = q.to_stop_id AND l.arrival_s = q.arrival_s AND l.stop_id = q.from_stop_id
-        WHERE l.legs > 0 GROUP BY ALL""",
+        WHERE l.stop_id <> l.to_stop_id GROUP BY ALL""",
     "ks_by_group": """
         SELECT stop_id, type, nt::BIGINT AS n_train, nv::BIGINT AS n_validation, round(statistic, 6) AS statistic,
                round(p_value, 6) AS p_value FROM fx_ks""",
+    "ks_by_weather_group": """
+        SELECT stop_id, hour, rain, temperature, nt::BIGINT AS n_train, nv::BIGINT AS n_validation,
+               round(statistic, 6) AS statistic, round(p_value, 6) AS p_value FROM fx_ks4""",
     "drift_summary": """
         SELECT count(*) AS tests, round(avg((p_value < 0.05)::INT), 6) AS share_rejected,
                round(avg(statistic), 6) AS mean_statistic FROM fx_ks""",

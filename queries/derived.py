@@ -14,8 +14,10 @@ from functools import cached_property
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stopwise.config import WEEKDAYS
+from stopwise.operators.history import Period
 from stopwise.plans.delay_model import classified_history
 from stopwise.plans.travel_network import Timetable, TravelNetwork, build_network, build_timetable
 from stopwise.sources.shapes import POLYGON_CODE, decode_polygons
@@ -26,7 +28,8 @@ REGIONS = tuple(f"D{i}" for i in range(9))
 DEADLINE_S = 20 * 3600
 MAX_WALK_M = 1000
 PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
-VALIDATION_START = dt.date(2024, 1, 16)
+TRAINING_PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 15))
+VALIDATION_PERIOD = (dt.date(2024, 1, 16), dt.date(2024, 1, 31))
 MIN_CONFIDENCE = 0.3
 
 STOP_ID = "concat(8500000 + {k}, if({k} % 4 = 0, ':0:A', ''))"
@@ -144,18 +147,26 @@ class Transport:
             "date'2024-04-01' AS pub_date",
         )
 
+    @property
+    def lines(self) -> DataFrame:
+        """Order lines, numbered anew within their order: the given numbers repeat."""
+        order = Window.partitionBy("l_orderkey").orderBy(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+        )
+        return self.table("lineitem").withColumn("line", F.row_number().over(order))
+
     @property
     def stop_times(self) -> DataFrame:
-        """Line numbers repeat within an order: such stop times fall to one when hops are made."""
-        seconds = "21600 + l_orderkey * 97 % 72000 + l_linenumber * 240"
+        """Every line is a stop time of its order's trip."""
+        seconds = "21600 + l_orderkey * 97 % 72000 + line * 240"
         clock = (
             "concat_ws(':', lpad(({s}) div 3600, 2, '0'), lpad(({s}) % 3600 div 60, 2, '0'), "
             "lpad(({s}) % 60, 2, '0'))"
         )
-        return self.table("lineitem").selectExpr(
+        return self.lines.selectExpr(
             "concat('T', l_orderkey) AS trip_id",
             f"{STOP_ID.format(k='l_suppkey')} AS stop_id",
-            "l_linenumber AS stop_sequence",
+            "cast(line AS int) AS stop_sequence",
             f"{clock.format(s=seconds + ' - 30')} AS arrival_time",
             f"{clock.format(s=seconds)} AS departure_time",
             "date'2024-04-01' AS pub_date",
@@ -262,30 +273,29 @@ class Transport:
     def network(self) -> TravelNetwork:
         return build_network(self.timetable, MAX_WALK_M)
 
-    @property
-    def history(self) -> DataFrame:
-        """Arrivals with rain flag and temperature class."""
+    def history_of(self, period: Period) -> DataFrame:
+        """Arrivals of a period with rain flag and temperature class, filled from that period alone."""
         return classified_history(
-            self.arrivals, self.stops, self.polygons, self.stations, self.weather_documents, REGIONS, PERIOD
+            self.arrivals, self.stops, self.polygons, self.stations, self.weather_documents, REGIONS, period
         )
 
+    @property
+    def history(self) -> DataFrame:
+        return self.history_of(PERIOD)
+
     @property
     def journey_legs(self) -> DataFrame:
-        """Legs of one journey per order; a line number given twice counts once."""
-        picked = (
-            self.table("lineitem")
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(F.max("l_partkey").alias("p"), F.max("l_suppkey").alias("s"))
-        )
+        """Legs of one journey per order, one for each line."""
+        picked = self.lines.withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"})
         start = "25000 + l_orderkey % 20 * 1800"
         return picked.selectExpr(
             "l_orderkey AS journey_id",
-            "cast(l_linenumber AS int) AS leg",
+            "cast(line AS int) AS leg",
             "if(p % 4 = 0, 'walking', concat('T', s % 3)) AS trip_id",
             f"{STOP_ID.format(k='s')} AS from_stop_id",
             f"{STOP_ID.format(k='(s + 1)')} AS to_stop_id",
-            f"cast({start} + l_linenumber * 900 AS int) AS dep_s",
-            f"cast({start} + l_linenumber * 900 + 200 + p % 600 AS int) AS arr_s",
+            f"cast({start} + line * 900 AS int) AS dep_s",
+            f"cast({start} + line * 900 + 200 + p % 600 AS int) AS arr_s",
             f"cast({start} + 7700 AS int) AS deadline_s",
             "l_orderkey % 2 = 0 AS rain",
             "element_at(array('low', 'medium', 'high'), cast(l_orderkey % 3 AS int) + 1) AS temperature",

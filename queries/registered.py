@@ -12,7 +12,8 @@ from queries.derived import (
     PERIOD,
     REGIONS,
     TRAVEL_DAY,
-    VALIDATION_START,
+    TRAINING_PERIOD,
+    VALIDATION_PERIOD,
     Transport,
 )
 from stopwise.config import GROUP_COLUMNS, WEEKDAYS
@@ -30,6 +31,7 @@ Query = Callable[[Transport], DataFrame]
 REGISTRY: dict[str, Query] = {}
 KS_KEYS = ("stop_id", "type")
 KS_MIN_SAMPLES = 15
+KS_MIN_GROUP = 2
 
 
 def register(query: Query) -> Query:
@@ -425,13 +427,13 @@ REGISTRY["journey_confidence"] = REGISTRY.pop("journey_confidence_of_legs")
 @register
 def best_journey(t: Transport) -> DataFrame:
     asked = t.queries.withColumn("k", F.lit(1))
-    labels = search_journeys(asked, t.network.hops, t.network.walks, Workspace(t.spark), max_legs=None)
+    labels = search_journeys(asked, t.network.hops, t.network.walks, Workspace(t.spark))
     return pick_journeys(asked, labels).select("query_id", "from_stop_id", "to_stop_id", "arrival_s", "cost")
 
 
 @register
 def k_journeys(t: Transport) -> DataFrame:
-    labels = search_journeys(t.queries, t.network.hops, t.network.walks, Workspace(t.spark), max_legs=None)
+    labels = search_journeys(t.queries, t.network.hops, t.network.walks, Workspace(t.spark))
     return pick_journeys(t.queries, labels).select(
         "query_id", "from_stop_id", "to_stop_id", "journey_rank", "cost", "dep_s", "transfers", "walked_s"
     )
@@ -439,7 +441,7 @@ def k_journeys(t: Transport) -> DataFrame:
 
 @register
 def journey_legs(t: Transport) -> DataFrame:
-    found = journey_plan.find_journeys(t.queries, t.network, Workspace(t.spark), max_legs=None)
+    found = journey_plan.find_journeys(t.queries, t.network, Workspace(t.spark))
     rows = legs.explode_legs(found, ["query_id", "journey_rank"])
     return legs.leg_report(rows, t.network.hops).select(
         "query_id", "journey_rank", "leg", "description", "trip_id", "from_stop_id", "to_stop_id", "departure",
@@ -450,7 +452,7 @@ def journey_legs(t: Transport) -> DataFrame:
 @register
 def journey_plan_with_confidence(t: Transport) -> DataFrame:
     planned = journey_plan.plan_journeys(
-        t.queries, t.network, delay_model.fit(t.history), Workspace(t.spark), MIN_CONFIDENCE, max_legs=None
+        t.queries, t.network, delay_model.fit(t.history), Workspace(t.spark), MIN_CONFIDENCE
     )
     return planned.select(
         "query_id", "from_stop_id", "to_stop_id", "journey_rank", "departure", "arrival", "duration", "transfers",
@@ -465,8 +467,7 @@ REGISTRY["journey_plan"] = REGISTRY.pop("journey_plan_with_confidence")
 
 
 def _ks(t: Transport) -> DataFrame:
-    typed = t.history.filter(F.col("type").isNotNull())
-    train, held_out = validation.split_by_date(typed, VALIDATION_START)
+    train, held_out = (t.history_of(p).filter(F.col("type").isNotNull()) for p in (TRAINING_PERIOD, VALIDATION_PERIOD))
     return validation.ks_by_group(train, held_out, KS_KEYS, min_samples=KS_MIN_SAMPLES)
 
 
@@ -475,6 +476,14 @@ def ks_by_group(t: Transport) -> DataFrame:
     return _ks(t).select(*KS_KEYS, "n_train", "n_validation", _rounded("statistic"), _rounded("p_value"))
 
 
+@register
+def ks_by_weather_group(t: Transport) -> DataFrame:
+    tests = validation.ks_by_group(
+        t.history_of(TRAINING_PERIOD), t.history_of(VALIDATION_PERIOD), GROUP_COLUMNS, min_samples=KS_MIN_GROUP
+    )
+    return tests.select(*GROUP_COLUMNS, "n_train", "n_validation", _rounded("statistic"), _rounded("p_value"))
+
+
 @register
 def drift_summary(t: Transport) -> DataFrame:
     return validation.drift_summary(_ks(t)).select("tests", _rounded("share_rejected"), _rounded("mean_statistic"))
@@ -486,8 +495,7 @@ def drift_histogram(t: Transport) -> DataFrame:
 
 
 def _calibration(t: Transport) -> DataFrame:
-    train, held_out = validation.split_by_date(t.history, VALIDATION_START)
-    return validation.cdf_calibration(delay_model.fit(train), held_out)
+    return validation.cdf_calibration(delay_model.fit(t.history_of(TRAINING_PERIOD)), t.history_of(VALIDATION_PERIOD))
 
 
 @register

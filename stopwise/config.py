@@ -41,5 +41,4 @@ EARTH_RADIUS_M = 6371008.0
 DAY_S = 86400
 SEQUENCE_CHUNK = 512
 TIME_BUCKET_S = 3600
-MAX_LEGS = 8
 KS_TERMS = 100

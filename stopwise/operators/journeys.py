@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stopwise.config import MAX_LEGS, TIME_BUCKET_S, TRANSFER_TIME_S, WALKING, WALKING_SPEED_MPS
+from stopwise.config import TIME_BUCKET_S, TRANSFER_TIME_S, WALKING, WALKING_SPEED_MPS
 from stopwise.operators.network import ride_runs
 from stopwise.sources.workspace import Workspace
 
@@ -91,7 +91,6 @@ def _changes(trip: Column) -> Column:
 def extend_by_ride(
     labels: DataFrame,
     rides: DataFrame,
-    max_wait_s: int | None = None,
     transfer_time: int = TRANSFER_TIME_S,
     bucket_s: int = TIME_BUCKET_S,
 ) -> DataFrame:
@@ -99,15 +98,13 @@ def extend_by_ride(
 
     Labels meet arrivals on stop and time bucket, which also cuts up busy stops.
     """
-    waited = F.lit(0) if max_wait_s is None else F.greatest(F.col("ride_by_s") - max_wait_s, F.lit(0))
     bucket = F.floor(F.col("arr_s") / bucket_s)
-    buckets = F.sequence(F.floor(waited / bucket_s), F.floor(F.col("ride_by_s") / bucket_s))
+    buckets = F.sequence(F.lit(0).cast("long"), F.floor(F.col("ride_by_s") / bucket_s))
     waiting = labels.filter(F.col("ride_by_s") >= 0).select(
         "search_id",
         F.col("stop_id").alias("parent_stop_id"),
         F.col("label_id").alias("parent_id"),
         "ride_by_s",
-        waited.alias("not_before_s"),
         "walked_s",
         "transfers",
         "last_trip",
@@ -128,7 +125,8 @@ def extend_by_ride(
     alighting = (
         waiting.join(arrivals, ["parent_stop_id", "bucket"])
         .filter(
-            F.col("alight_s").between(F.col("not_before_s"), F.col("ride_by_s"))
+            (F.col("alight_s") >= 0)
+            & (F.col("alight_s") <= F.col("ride_by_s"))
             & ~F.col("run_id").eqNullSafe(F.col("last_run"))
         )
         .select(
@@ -325,16 +323,15 @@ def search_journeys(
     hops: DataFrame,
     walks: DataFrame,
     workspace: Workspace,
-    max_legs: int | None = MAX_LEGS,
-    max_wait_s: int | None = None,
+    max_legs: int | None = None,
     walking_speed: float = WALKING_SPEED_MPS,
     transfer_time: int = TRANSFER_TIME_S,
     prune: bool = True,
 ) -> DataFrame:
     """All labels of the searches behind ``queries``, one per journey kept.
 
-    Rounds end when one brings no new label or after ``max_legs``. Without ``prune`` every journey
-    that repeats no stop is kept.
+    Rounds end when one brings no new label, or after ``max_legs`` if the caller wants no longer journeys. Without
+    ``prune`` every journey that repeats no stop is kept.
     """
     rides, _ = workspace.write("rides", search_rides(hops))
     on_foot, _ = workspace.write("walks", search_walks(walks))
@@ -345,17 +342,18 @@ def search_journeys(
     legs = 0
     while count and (max_legs is None or legs < max_legs):
         legs += 1
-        candidates = extend_by_ride(labels, rides, max_wait_s, transfer_time).unionByName(
+        candidates = extend_by_ride(labels, rides, transfer_time).unionByName(
             extend_by_walk(labels, on_foot)
         )
         if prune:
             known = workspace.read("labels/round=*", schema).select(
                 "search_id", "stop_id", "dep_s", "ride_by_s", "walked_s", "transfers", "label_id", "path", "width"
             )
-            if width == 1:
-                candidates = undominated(candidates, known)
-            else:
-                candidates = dominated_by_fewer_branches(candidates, known, width)
+            # Each search is pruned by its own width, whatever the others ask for.
+            one, several = F.col("width") == 1, F.col("width") > 1
+            candidates = undominated(candidates.filter(one), known.filter(one)).unionByName(
+                dominated_by_fewer_branches(candidates.filter(several), known.filter(several), width)
+            )
         labels, count = workspace.write(f"labels/round={legs}", with_legs(candidates, labels))
     return workspace.read("labels/round=*", schema)
 

@@ -23,17 +23,17 @@ def trip_hops(timetable: DataFrame) -> DataFrame:
 
     Every stop time takes part in two hops: it ends the one of its own sequence number and starts
     the next. One aggregate on (trip, direction, sequence) brings both ends together, so a trip is never
-    gathered whole, and repeated stop times fall to one, the latest.
+    gathered whole. Of stop times with one sequence number the latest is taken, for both hops the same.
     """
     stop = F.struct(*STOP_COLUMNS)
     description = F.format_string(
         "%s - %s (%s)", *[F.coalesce(c, F.lit("null")) for c in ("route_short_name", "route_desc", "trip_headsign")]
     )
-    end = F.struct("arr_s", stop.alias("stop"), description.alias("trip_description"))
-    start = F.struct("dep_s", stop.alias("stop"))
+    time = F.struct("arr_s", "dep_s", stop.alias("stop"), description.alias("trip_description"))
+    none = F.lit(None).cast(_type_of(timetable, time))
     roles = F.array(
-        F.struct(F.col("stop_sequence").alias("at"), end.alias("end"), F.lit(None).cast(_type_of(timetable, start)).alias("start")),
-        F.struct((F.col("stop_sequence") + 1).alias("at"), F.lit(None).cast(_type_of(timetable, end)).alias("end"), start.alias("start")),
+        F.struct(F.col("stop_sequence").alias("at"), time.alias("end"), none.alias("start")),
+        F.struct((F.col("stop_sequence") + 1).alias("at"), none.alias("end"), time.alias("start")),
     )
     paired = (
         timetable.filter(F.col("direction_id").isNotNull())
@@ -66,7 +66,8 @@ def ill_timed_hops(hops: DataFrame) -> DataFrame:
 def ride_runs(hops: DataFrame, chunk: int = SEQUENCE_CHUNK) -> DataFrame:
     """Well-timed hops with ``run_start``: the first hop of the unbroken stretch they belong to.
 
-    A stretch breaks where a hop is missing or the vehicle would leave a stop before it arrives.
+    A stretch breaks where a hop is missing, where two hops do not meet at a stop, or where the vehicle would leave a stop
+    before it arrives.
     Trips are cut into chunks of sequence numbers so that no task needs a whole trip; the last hop of a
     chunk is repeated in the next one, and stretches that reach a chunk's end are carried over.
     """
@@ -78,8 +79,9 @@ def ride_runs(hops: DataFrame, chunk: int = SEQUENCE_CHUNK) -> DataFrame:
         "chunk", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own)))
     )
     within = Window.partitionBy("trip_id", "direction_id", "chunk").orderBy("source_stop_sequence")
-    before = F.lag(F.struct(seq.alias("seq"), "arr_s")).over(within)
-    joined = (before.seq == seq - 1) & (before.arr_s <= F.col("dep_s"))
+    before = F.lag(F.struct(seq.alias("seq"), "arr_s", F.col("source_stop_id").alias("stop_id"))).over(within)
+    meets = before.stop_id == F.col("target_stop_id")
+    joined = (before.seq == seq - 1) & (before.arr_s <= F.col("dep_s")) & meets
     marked = chunked.withColumn("breaks", ~F.coalesce(joined, F.lit(False))).filter(F.col("chunk") == own)
     upto = within.rowsBetween(Window.unboundedPreceding, 0)
     started = marked.withColumn("started", F.max(F.when(F.col("breaks"), seq)).over(upto))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stopwise.config import MAX_LEGS
 from stopwise.functions.classify import temperature_class
 from stopwise.operators.confidence import journey_confidence
 from stopwise.operators.journeys import pick_journeys, search_journeys
@@ -19,14 +18,13 @@ def find_journeys(
     queries: DataFrame,
     travel: TravelNetwork,
     workspace: Workspace,
-    max_legs: int | None = MAX_LEGS,
-    max_wait_s: int | None = None,
+    max_legs: int | None = None,
 ) -> DataFrame:
     """Up to ``k`` journeys per query, with timed legs.
 
     Queries: query_id, from_stop_id, to_stop_id, arrival_s, max_walk_m, k.
     """
-    labels = search_journeys(queries, travel.hops, travel.walks, workspace, max_legs, max_wait_s)
+    labels = search_journeys(queries, travel.hops, travel.walks, workspace, max_legs)
     picked = pick_journeys(queries, labels)
     return picked.withColumn("legs", timed_legs(F.col("legs"), F.col("dep_s")))
 
@@ -57,9 +55,8 @@ def plan_journeys(
     distributions: DataFrame,
     workspace: Workspace,
     min_confidence: float,
-    max_legs: int | None = MAX_LEGS,
-    max_wait_s: int | None = None,
+    max_legs: int | None = None,
 ) -> DataFrame:
     """Journeys of each query that arrive in time with at least ``min_confidence``, best first."""
-    found = find_journeys(queries, travel, workspace, max_legs, max_wait_s)
+    found = find_journeys(queries, travel, workspace, max_legs)
     return journey_facts(reliable_journeys(add_confidence(found, distributions), min_confidence))

@@ -183,10 +183,11 @@ def test_shared_search_gives_what_single_searches_give(spark):
         assert [r.cost for r in alone] == [r.cost for r in together if r.query_id == q[0]]
 
 
-def test_waiting_limit(spark):
+def test_long_waits_and_long_journeys_are_found(spark):
     early = {"T": [("A", 0, 100), ("B", 200, 210)]}
-    assert find(spark, [query(1, "A", "B", 9000)], early, {}, max_wait_s=7200) == []
-    assert len(find(spark, [query(1, "A", "B", 7000)], early, {}, max_wait_s=7200)) == 1
+    assert len(find(spark, [query(1, "A", "B", 80000)], early, {})) == 1
+    line = {f"T{k}": [(f"P{k}", 1000 * k, 1000 * k + 10), (f"P{k + 1}", 1000 * k + 500, 1000 * k + 510)] for k in range(11)}
+    assert [len(r.legs) for r in find(spark, [query(1, "P0", "P11", 20000)], line, {})] == [11]
 
 
 LEGS = (
