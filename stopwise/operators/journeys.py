@@ -76,6 +76,12 @@ def search_rides(hops: DataFrame) -> DataFrame:
     )
 
 
+def search_runs(rides: DataFrame) -> DataFrame:
+    """The hops of each run in order; a run is no longer than its trip."""
+    hop = F.struct("seq", F.col("board_stop_id").alias("stop_id"), "dep_s")
+    return rides.groupBy("trip_id", "run_id").agg(F.array_sort(F.collect_list(hop)).alias("hops"))
+
+
 def search_walks(walks: DataFrame) -> DataFrame:
     return walks.select(
         F.col("source_stop_id").alias("at_stop_id"), F.col("target_stop_id").alias("start_stop_id"),
@@ -91,10 +97,11 @@ def _changes(trip: Column) -> Column:
 def extend_by_ride(
     labels: DataFrame,
     rides: DataFrame,
+    runs: DataFrame,
     transfer_time: int = TRANSFER_TIME_S,
     bucket_s: int = TIME_BUCKET_S,
 ) -> DataFrame:
-    """Candidates that ride to a label's stop from any earlier stop of the run.
+    """Candidates that ride to a label's stop from any earlier stop of the run, passing no stop twice.
 
     Labels meet arrivals on stop and time bucket, which also cuts up busy stops.
     """
@@ -134,18 +141,23 @@ def extend_by_ride(
             "alight_seq", "alight_s", (F.col("transfers") + _changes(F.col("trip_id"))).alias("transfers"),
         )
     )
-    boarding = rides.select("trip_id", "run_id", "seq", F.col("board_stop_id").alias("stop_id"), "dep_s")
+    earlier = F.filter("hops", lambda h: h.seq <= F.col("alight_seq"))
+    boarding = alighting.join(runs, ["trip_id", "run_id"]).withColumn("hops", earlier)
+    boarding = boarding.select("*", F.posexplode("hops").alias("at", "hop"))
+    passed = F.transform(F.slice("hops", F.col("at") + 1, F.size("hops")), lambda h: h.stop_id)
     return (
-        alighting.join(boarding, ["trip_id", "run_id"])
-        .filter((F.col("seq") <= F.col("alight_seq")) & ~F.array_contains("visited", F.col("stop_id")))
+        boarding.withColumn("passed", passed)
+        .filter(
+            ~F.arrays_overlap("visited", "passed") & (F.size(F.array_distinct("passed")) == F.size("passed"))
+        )
         .select(
             "search_id",
-            "stop_id",
-            "dep_s",
-            (F.col("dep_s") - transfer_time).alias("ride_by_s"),
+            F.col("hop.stop_id").alias("stop_id"),
+            F.col("hop.dep_s").alias("dep_s"),
+            (F.col("hop.dep_s") - transfer_time).alias("ride_by_s"),
             "walked_s",
             "transfers",
-            F.xxhash64("parent_id", "trip_id", "seq", "alight_seq").alias("label_id"),
+            F.xxhash64("parent_id", "trip_id", "hop.seq", "alight_seq").alias("label_id"),
             "parent_stop_id",
             "parent_id",
             "path",
@@ -154,6 +166,7 @@ def extend_by_ride(
             "run_id",
             F.col("alight_s").alias("leg_arr_s"),
             F.lit(None).cast("long").alias("leg_walk_s"),
+            "passed",
         )
     )
 
@@ -186,6 +199,7 @@ def extend_by_walk(labels: DataFrame, walks: DataFrame) -> DataFrame:
         F.lit(None).cast("long").alias("run_id"),
         F.lit(None).cast("int").alias("leg_arr_s"),
         F.col("walk_s").alias("leg_walk_s"),
+        F.array(start).alias("passed"),
     )
 
 
@@ -311,7 +325,7 @@ def with_legs(candidates: DataFrame, parents: DataFrame) -> DataFrame:
         F.col("trip_id").alias("last_trip"),
         F.col("run_id").alias("last_run"),
         "label_id",
-        F.array_append("visited", F.col("stop_id")).alias("visited"),
+        F.array_union("visited", "passed").alias("visited"),
         F.array_append("path", F.col("label_id")).alias("path"),
         F.array_append("legs", leg).alias("legs"),
         "width",
@@ -334,6 +348,7 @@ def search_journeys(
     ``prune`` every journey that repeats no stop is kept.
     """
     rides, _ = workspace.write("rides", search_rides(hops))
+    runs, _ = workspace.write("runs", search_runs(rides))
     on_foot, _ = workspace.write("walks", search_walks(walks))
     searches = searches_of(queries)
     labels, count = workspace.write("labels/round=0", first_labels(searches, walking_speed, transfer_time))
@@ -342,7 +357,7 @@ def search_journeys(
     legs = 0
     while count and (max_legs is None or legs < max_legs):
         legs += 1
-        candidates = extend_by_ride(labels, rides, transfer_time).unionByName(
+        candidates = extend_by_ride(labels, rides, runs, transfer_time).unionByName(
             extend_by_walk(labels, on_foot)
         )
         if prune:

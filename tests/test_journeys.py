@@ -98,28 +98,29 @@ def enumerate_journeys(trips, walks, end, arrival, budget_s, max_legs):
     for trip, stops in trips.items():
         for b in range(1, len(stops)):
             for a in range(b):
-                if stops[a][0] != stops[b][0]:
-                    arrivals[stops[b][0]].append((trip, stops[a][0], stops[a][2], stops[b][1]))
+                passed = [s[0] for s in stops[a:b]]
+                if len({*passed, stops[b][0]}) == b - a + 1:
+                    arrivals[stops[b][0]].append((trip, passed, stops[a][2], stops[b][1]))
     near = defaultdict(list)
     for (a, b), seconds in walks.items():
         near[a].append((b, seconds))
         near[b].append((a, seconds))
     found = defaultdict(list)
 
-    def extend(stop, dep, walked, last, visited):
-        if len(visited) > 1:
+    def extend(stop, dep, walked, last, visited, legs):
+        if legs:
             found[stop].append((dep, walked))
-        if len(visited) > max_legs:
+        if legs == max_legs:
             return
-        for trip, start, leaves, arrives in arrivals[stop]:
+        for trip, passed, leaves, arrives in arrivals[stop]:
             latest = dep if last == "walking" else dep - 120
-            if trip != last and start not in visited and arrives <= latest:
-                extend(start, leaves, walked, trip, visited | {start})
+            if trip != last and not visited & {*passed} and arrives <= latest:
+                extend(passed[0], leaves, walked, trip, visited | {*passed}, legs + 1)
         for start, seconds in near[stop]:
             if start not in visited and walked + seconds <= budget_s and dep - seconds >= 0:
-                extend(start, dep - seconds, walked + seconds, "walking", visited | {start})
+                extend(start, dep - seconds, walked + seconds, "walking", visited | {start}, legs + 1)
 
-    extend(end, arrival, 0, None, frozenset([end]))
+    extend(end, arrival, 0, None, frozenset([end]), 0)
     return found
 
 
@@ -183,6 +184,14 @@ def test_shared_search_gives_what_single_searches_give(spark):
         assert [r.cost for r in alone] == [r.cost for r in together if r.query_id == q[0]]
 
 
+def test_no_stop_is_passed_twice(spark):
+    trips = {"T1": [("A", 90, 100), ("B", 200, 210), ("C", 300, 310)], "T2": [("C", 490, 500), ("B", 600, 610), ("D", 700, 710)]}
+    found = find(spark, [query(1, "A", "D", 1000)], trips, {})
+    assert [[(leg.trip_id, leg.from_stop_id) for leg in r.legs] for r in found] == [[("T1", "A"), ("T2", "B")]]
+    around = {"T": [("A", 0, 10), ("B", 100, 110), ("A", 200, 210), ("D", 300, 310)]}
+    assert [r.dep_s for r in find(spark, [query(1, "A", "D", 1000)], around, {})] == [210]
+
+
 def test_long_waits_and_long_journeys_are_found(spark):
     early = {"T": [("A", 0, 100), ("B", 200, 210)]}
     assert len(find(spark, [query(1, "A", "B", 80000)], early, {})) == 1
