@@ -140,7 +140,7 @@ def test_leaks(spark):
             body[at:at] = passage
             expected.add((k, item))
         if k == 3:
-            body += items[90][1]
+            body += items[-1][1]
         rows.append((k, " ".join(body).title() + ".", 0.5))
     rows += [(300, None, 0.5), (301, "", 0.5)]
     documents = spark.createDataFrame(rows, "doc_id long, text string, cosine double")
