@@ -40,10 +40,7 @@ def usable_arrivals(
     max_arrival_hour: int = MAX_ARRIVAL_HOUR,
     valid_years: Sequence[int] = VALID_YEARS,
 ) -> DataFrame:
-    """Regular measured arrivals of working days within the day's service hours.
-
-    The date range comes first: it is the one condition that prunes files.
-    """
+    """Regular measured arrivals of working days within the day's service hours."""
     start, end = period
     return arrivals.filter(
         F.col("operating_day").between(F.lit(start), F.lit(end))
@@ -122,8 +119,7 @@ def hourly_weather(
 def add_weather(history: DataFrame, weather: DataFrame) -> DataFrame:
     """History with the weather of the arrival hour, null where unknown, and calendar columns.
 
-    ``weather`` has one row per hour of a calendar year, at most 8,784 a year, whatever the size of
-    the history, so it is broadcast.
+    ``weather`` has one row per hour.
     """
     day = F.col("operating_day")
     dated = history.withColumns(
@@ -135,7 +131,7 @@ def add_weather(history: DataFrame, weather: DataFrame) -> DataFrame:
             "hour": F.hour("arr_time"),
         }
     )
-    return dated.join(F.broadcast(weather), list(HOUR_KEYS), "left")
+    return dated.join(weather, list(HOUR_KEYS), "left")
 
 
 def _mean_over(column: str, keys: Sequence[str]) -> Column:

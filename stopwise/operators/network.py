@@ -103,23 +103,29 @@ def ride_runs(hops: DataFrame, chunk: int = SEQUENCE_CHUNK) -> DataFrame:
 def nearby_pairs(stops: DataFrame, max_distance: float) -> DataFrame:
     """Ordered pairs ``(source, target, distance)`` of different stops within ``max_distance`` metres.
 
-    Stops meet on grid cells as large as the distance: a stop sits in one cell and is offered to the
-    nine cells around it. Cells are widened for the latitude furthest from the equator.
+    Stops meet on grid cells at least as large as the distance: a stop sits in one cell and is offered to the
+    cells around it. Every row of cells has as many columns as its own latitude allows, and columns go round the globe.
     """
     height = max_distance / METRES_PER_DEGREE
-    steepest = stops.agg(F.max(F.abs("stop_lat")) + height).scalar()
-    width = F.lit(height) / F.greatest(F.cos(F.radians(steepest)), F.lit(1e-6))
-    gridded = stops.select(
-        F.struct(*STOP_COLUMNS).alias("stop"),
-        F.floor(F.col("stop_lon") / width).alias("cell_x"),
-        F.floor(F.col("stop_lat") / height).alias("cell_y"),
-    )
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    offered = (
-        gridded.withColumn("dx", F.explode(around))
-        .withColumn("dy", F.explode(around))
-        .select("stop", (F.col("cell_x") + F.col("dx")).alias("cell_x"), (F.col("cell_y") + F.col("dy")).alias("cell_y"))
-    )
+    row = F.floor(F.col("stop_lat") / height)
+
+    def columns(row: Column) -> Column:
+        """Cells of a row; a cell spans what the distance can span between the rows next to it."""
+        steepest = F.least(F.greatest(F.abs((row - 1) * height), F.abs((row + 2) * height)), F.lit(90.0))
+        half = F.sin(F.radians(F.lit(height)) / 2) / F.greatest(F.cos(F.radians(steepest)), F.lit(1e-12))
+        widest = F.degrees(2 * F.asin(F.least(half, F.lit(1.0)))) * (1 + 1e-9)
+        return F.greatest(F.floor(360 / widest), F.lit(1))
+
+    def column(row: Column) -> Column:
+        return F.floor((F.col("stop_lon") + 180) / 360 * columns(row))
+
+    stop = F.struct(*STOP_COLUMNS).alias("stop")
+    gridded = stops.select(stop, F.pmod(column(row), columns(row)).alias("cell_x"), row.alias("cell_y"))
+    around = [F.lit(i) for i in (-1, 0, 1)]
+    rows = stops.withColumn("cell_y", F.explode(F.array(*[row + i for i in around])))
+    at = F.col("cell_y")
+    beside = F.array_distinct(F.array(*[F.pmod(column(at) + i, columns(at)) for i in around]))
+    offered = rows.select(stop, F.explode(beside).alias("cell_x"), "cell_y")
     left, right = split_hot_keys(gridded, offered, ["cell_x", "cell_y"], ["stop"], rows_per_split=1000)
     pairs = left.withColumnRenamed("stop", "source").join(
         right.withColumnRenamed("stop", "target"), ["cell_x", "cell_y", "split"]

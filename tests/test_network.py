@@ -185,3 +185,34 @@ def test_shifted_services(spark):
     served = {x.service_id: x.business for x in tt.business_shifts(calendar).collect()}
     assert served["W"] == [True] + [False] * 6
     assert served["S"] == [False, True] + [False] * 5
+
+
+def test_pairs_at_the_pole_and_the_date_line_agree_with_all_pairs(spark):
+    draw = random.Random(1)
+    places = [(draw.uniform(-180, 180), lat + draw.uniform(-0.02, 0.02)) for lat in (89.97, -89.97, 60, 0) for _ in range(40)]
+    places += [(180 - draw.uniform(0, 0.01) if k % 2 else -180 + draw.uniform(0, 0.01), draw.uniform(-0.02, 0.02)) for k in range(40)]
+    places += [(0.0, 90.0), (12.0, -90.0), (180.0, 10.0), (-180.0, 10.0)]
+    rows = [(f"s{k}", f"n{k}", lon, lat, None) for k, (lon, lat) in enumerate(places)]
+    stops = spark.createDataFrame(rows, "stop_id string, stop_name string, stop_lon double, stop_lat double, parent_stop_id string")
+    found = {(r.a, r.b) for r in n.nearby_pairs(stops, 1500.0).selectExpr("source.stop_id a", "target.stop_id b").collect()}
+
+    def metres(p, q):
+        (lon1, lat1), (lon2, lat2) = (tuple(map(math.radians, x)) for x in (p, q))
+        h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+        return 2 * 6371008.0 * math.asin(min(1, math.sqrt(h)))
+
+    expected = {(f"s{i}", f"s{j}") for i, p in enumerate(places) for j, q in enumerate(places) if i != j and metres(p, q) <= 1500}
+    assert len(expected) > 50 and found == expected
+
+
+def test_one_of_repeated_stop_times_serves_both_hops(spark):
+    rows = [("T", "A", 1, 90, 100), ("T", "B", 2, 200, 210), ("T", "C", 2, 190, 230), ("T", "D", 3, 300, 310)]
+    hops = n.trip_hops(events(spark, rows))
+    assert edges(hops) == [("B", "A", "T", 100, 200), ("D", "B", "T", 210, 300)]
+    assert {x.run_start for x in n.ride_runs(hops).collect()} == {2}
+
+
+def test_hops_that_do_not_meet_are_two_runs(spark):
+    hops = n.trip_hops(events(spark, [("T", "A", 1, 90, 100), ("T", "B", 2, 200, 210), ("T", "C", 3, 300, 310)]))
+    moved = hops.withColumn("source_stop_id", F.when(F.col("source_stop_sequence") == 2, "X").otherwise(F.col("source_stop_id")))
+    assert sorted(x.run_start for x in n.ride_runs(moved).collect()) == [2, 3]

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from queries import check_sql, registered
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
@@ -24,11 +25,12 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_but_the_path_listings_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(registered.queries()) - set(check_sql.check_sql()) == WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registered.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(check_sql.check_sql()))
 def test_query(spark, database, name):
     result = entry.queries()[name](spark, FOLDER)
     cursor = database.execute(entry.oracle_sql()[name])
