@@ -50,7 +50,7 @@ WIDE_OVERLAP = 125
 #: five standard deviations above those at Jaccard similarity 0.8.
 SIGN_WORDS = 4
 MOST_SIGNS = 68
-SMALL_SIGNS = 64
+SMALL_SIGNS = 9
 #: Common values that two linked sets' sketches have at least, when both sets have more than ``SMALL`` shingles.
 OVERLAP = 14
 #: Sets up to this size are compared whole by their sketches, as are the sets they can be linked with.
