@@ -83,7 +83,8 @@ def add_columns(
     taken = {f.name.lower() for f in fields}
     kept = [c for c in data.columns if c.lower() not in taken]
     at = kept.index(text)
-    quoted = [F.col(f"`{c.replace('`', '``')}`") for c in kept]
+    # Under plain names, as mapInArrow takes a dot in a name for a field of a struct.
+    plain = [F.col(f"`{c.replace('`', '``')}`").alias(f"_{k}") for k, c in enumerate(kept)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
@@ -92,6 +93,7 @@ def add_columns(
             for part in slices(batch, batch.schema.names[at]):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(at))], names=names)
 
-    source = data.select(*quoted)
-    schema = T.StructType([*source.schema.fields, *fields.fields])
+    source = data.select(*plain)
+    given = [T.StructField(c, f.dataType) for c, f in zip(kept, source.schema.fields, strict=True)]
+    schema = T.StructType([*given, *fields.fields])
     return source.mapInArrow(run, schema)
