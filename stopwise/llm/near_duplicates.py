@@ -149,6 +149,11 @@ def _likely(first: Column, second: Column, n_first: Column, n_second: Column, si
     return F.when(whole, _linked(common, n_first, n_second)).otherwise(common >= overlap)
 
 
+def _band() -> Column:
+    """Number of the band of set sizes, each a quarter wider than the one before."""
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)))
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """``value``, ``id``, ``n`` for the rarest retained values of each class that other classes have too."""
     every = classes.select("id", "n", F.explode("sketch").alias("value"))
@@ -194,7 +199,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide", "signs"))
     postings, _ = work.write(f"{name}-postings", _postings(classes))
 
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT))).alias("band")
+    band = _band().alias("band")
     leaders, _ = work.write(f"{name}-leaders", postings.groupBy("value", band).agg(F.min("id").alias("a")))
     pairs = postings.select("value", band, F.col("id").alias("b")).join(leaders, ["value", "band"]).filter("a < b").select("a", "b").distinct()
     links = _confirmed(work, f"{name}-first", pairs, classes, documents, size)
@@ -206,12 +211,15 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     mixed, _ = work.write(f"{name}-mixed", mixed)
     across = placed.join(mixed, "value").join(classes.select("id", "sketch", "wide", "signs"), "id")
     across, _ = work.write(f"{name}-across", across)
-    one, two = across.alias("one"), across.alias("two")
+    # Sets of linked documents are at most one size band apart.
+    near_bands = F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1))))
+    banded = across.withColumn("band", _band())
+    one, two = banded.alias("one"), banded.withColumn("band", near_bands).alias("two")
 
     def of(column: str) -> tuple[Column, Column]:
         return F.col(f"one.{column}"), F.col(f"two.{column}")
 
-    apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component"))
+    apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.band") == F.col("two.band")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component"))
     unlike = sum((F.bit_count(F.get("one.signs", F.lit(k)).bitwiseXOR(F.get("two.signs", F.lit(k)))) for k in range(SIGN_WORDS)), F.lit(0))
     apart = apart & _like_sizes(*of("n")) & ((F.least(*of("n")) <= SMALL_SIGNS) | (unlike <= MOST_SIGNS))
     apart = apart & (F.size(F.array_intersect(*of("sketch"))) >= F.least(*of("n"), F.lit(OVERLAP)) * 0.8)
