@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts are worked on in slices of about so many bytes, so that a task's memory does not grow with its input.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 class Words(NamedTuple):
