@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,6 +154,47 @@ def test_leaks(spark):
     assert decontamination.find_benchmark_items(documents.limit(0), benchmark).count() == 0
 
 
+def test_short_leaks_at_every_offset(spark):
+    draw = random.Random(12)
+    usual = [f"usual{k}" for k in range(150)]
+    items = [(n, draw.sample(usual, n)) for n in (8, 9, 10, 12, 14, 16, 18, 20, 22, 23, 24, 27, 31, 35)]
+
+    def rare(n):
+        return [f"rare{draw.randrange(10**9)}" for _ in range(n)]
+
+    rows, expected = [], set()
+    for n, words in items:
+        for offset in range(12):
+            for paraphrased in (False, True):
+                passage = list(words)
+                for k in draw.sample(range(n - 6), n // 5 if paraphrased else 0):
+                    passage[k : k + 1] = rare(1)
+                expected.add((len(rows), n))
+                rows.append((len(rows), " ".join(rare(12 + offset) + passage + rare(40))))
+    rows += [(len(rows) + k, " ".join(draw.choice(usual) for _ in range(60))) for k in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string")
+    found = decontamination.find_benchmark_items(documents, benchmark).collect()
+    assert expected <= {(r.doc_id, r.item_id) for r in found}
+    planted = len(expected)
+    assert all(r.doc_id < planted for r in found if r.item_id >= 12)
+
+
+def test_short_leaks_among_heavier_words(spark):
+    words = [f"usual{k}" for k in range(8)]
+    heavy = [f"heavy{k}" for k in range(40)]
+    split = decontamination.split_words(pa.array([" ".join(words), " ".join(heavy)]))
+    bucket = (decontamination._hashes(split) % np.uint64(decontamination.BUCKETS)).astype(int)
+    weights = np.ones(decontamination.BUCKETS)
+    weights[bucket[8:]] = 6.0
+    basis = np.random.default_rng(13).standard_normal((decontamination.BUCKETS, decontamination.RANK)).astype(np.float32)
+    item = decontamination.split_words(pa.array([" ".join(words)]))
+    items = decontamination._prepared([5], item, weights, basis)
+    rows = [(k, " ".join(heavy[: 12 + k] + words + heavy[-16:])) for k in range(12)] + [(20, " ".join(heavy))]
+    found = decontamination._search(spark.createDataFrame(rows, "doc_id long, text string"), items, weights, basis).collect()
+    assert {r.doc_id for r in found} == set(range(12))
+
+
 def plain_licenses(rows):
     def shingles(text):
         words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
