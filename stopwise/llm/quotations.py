@@ -3,6 +3,8 @@
 Lines that begin with ``>`` are quoted, as many levels deep as they have of it. A passage is a run of lines of one level without blank lines
 between; white space is evened out and case ignored before it is hashed. A quoted passage links to the
 earliest message of the same conversation that holds a passage of its own with the same hash, if that is earlier than the quoting one.
+With ``parts``, a quoted passage of n lines also links to any n neighbouring lines of an own passage; runs are hashed for those n only that
+some quoted passage has. Lines that announce a quotation belong to no own passage.
 A message replies to the latest message that its outermost linked quotations come from. Following replies upwards gives
 the message that began the thread; a conversation in reply order lists its threads by their first message, and the messages of
 a thread by turn, so a message comes after the one that it replies to. Messages that
@@ -34,15 +36,20 @@ def _normal(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
-def parsed(messages: DataFrame) -> DataFrame:
-    """``messages`` with ``own``, the text without quotations, and ``passages`` (level, hash)."""
+def parsed(messages: DataFrame, lengths: list[int] | None = None) -> DataFrame:
+    """``messages`` with ``own``, the text without quotations, and ``passages`` (level, lines, hash).
+
+    With ``lengths`` also ``runs``: hashes of all runs of so many lines within longer own passages.
+    """
     lines = F.split(F.coalesce("text", F.lit("")), r"\r\n|\n|\r")
     level = F.transform("_lines", lambda x: F.length(F.regexp_replace(F.regexp_extract(x, QUOTED, 0), r"[^>]", "")))
     body = F.transform("_lines", lambda x: F.regexp_replace(x, QUOTED, ""))
     rows = messages.withColumn("_lines", lines).withColumn("_level", level).withColumn("_body", body)
-    # Blank lines end a passage and are of no level.
-    key = F.zip_with("_level", "_body", lambda n, x: F.when(F.trim(x) == "", F.lit(-1)).otherwise(n))
-    rows = rows.withColumn("_key", key)
+    quotes = F.exists("_level", lambda n: n > 0)
+    # Blank lines and announcements end a passage and are of no level.
+    none = lambda n, x: (F.trim(x) == "") | ((n == 0) & F.col("_quotes") & x.rlike(ANNOUNCED))
+    key = F.zip_with("_level", "_body", lambda n, x: F.when(none(n, x), F.lit(-1)).otherwise(n))
+    rows = rows.withColumn("_quotes", quotes).withColumn("_key", key)
     index = F.sequence(F.lit(0), F.size("_key") - 1)
     starts = F.filter(index, lambda i: (i == 0) | (F.get("_key", i) != F.get("_key", i - 1)))
     rows = rows.withColumn("_starts", starts)
@@ -50,22 +57,31 @@ def parsed(messages: DataFrame) -> DataFrame:
     def passage(k: Column) -> Column:
         start = F.get("_starts", k)
         end = F.coalesce(F.get("_starts", k + 1), F.size("_key"))
-        text = F.array_join(F.slice("_body", start + 1, end - start), " ")
-        return F.struct(F.get("_key", start).alias("level"), F.md5(_normal(text).cast("binary")).alias("hash"))
+        return F.struct(F.get("_key", start).alias("level"), (end - start).alias("lines"), hashed(start, end - start).alias("hash"))
+
+    def hashed(start: Column, number: Column) -> Column:
+        return F.md5(_normal(F.array_join(F.slice("_body", start + 1, number), " ")).cast("binary"))
+
+    def runs(k: Column) -> Column:
+        start = F.get("_starts", k)
+        end = F.coalesce(F.get("_starts", k + 1), F.size("_key"))
+        shorter = F.filter(F.lit(lengths).cast("array<int>"), lambda n: (n < end - start) & (F.get("_key", start) == 0))
+        return F.flatten(F.transform(shorter, lambda n: F.transform(F.sequence(start, end - n), lambda i: hashed(i, n))))
 
+    if lengths is not None:
+        rows = rows.withColumn("runs", F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_starts") - 1), runs))))
     passages = F.transform(F.sequence(F.lit(0), F.size("_starts") - 1), passage)
     rows = rows.withColumn("passages", F.filter(passages, lambda p: p["level"] >= 0))
-    quotes = F.exists("_level", lambda n: n > 0)
-    unquoted = F.filter(F.arrays_zip("_level", "_body"), lambda x: (x["_level"] == 0) & ~(quotes & x["_body"].rlike(ANNOUNCED)))
+    unquoted = F.filter(F.arrays_zip("_level", "_body"), lambda x: (x["_level"] == 0) & ~(F.col("_quotes") & x["_body"].rlike(ANNOUNCED)))
     kept = F.regexp_replace(F.array_join(F.transform(unquoted, lambda x: x["_body"]), "\n"), r"^\s+|\s+$", "")
-    own = F.when(quotes, kept).otherwise(F.col("text"))
-    return rows.withColumn("own", own).drop("_lines", "_level", "_body", "_key", "_starts")
+    own = F.when(F.col("_quotes"), kept).otherwise(F.col("text"))
+    return rows.withColumn("own", own).drop("_lines", "_level", "_body", "_key", "_starts", "_quotes")
 
 
-def link_quotations(messages: DataFrame, work: Workspace | None = None) -> DataFrame:
+def link_quotations(messages: DataFrame, work: Workspace | None = None, parts: bool = False) -> DataFrame:
     """A row per message (conv_id, turn, role, text): its own text, what it replies to, and its place in reply order.
 
-    ``n_quotes`` counts its quoted passages and ``n_linked`` those with an original; ``reply_to`` is the turn replied to;
+    ``parts`` lets quoted passages also be some lines of an own passage. ``n_quotes`` counts its quoted passages and ``n_linked`` those with an original; ``reply_to`` is the turn replied to;
     ``thread`` the turn that began its thread, null for the conversation's own; ``position`` counts from 0.
     """
     work = work or Workspace(messages.sparkSession)
@@ -74,7 +90,12 @@ def link_quotations(messages: DataFrame, work: Workspace | None = None) -> DataF
     named = rows.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     passages = named.select("conv_id", "turn", F.explode("passages").alias("p")).select("conv_id", "turn", "p.level", "p.hash")
     quoted = passages.filter("level > 0").groupBy("conv_id", "turn", "level", "hash").agg(F.lit(1).alias("one")).drop("one")
-    originals = passages.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
+    originals = passages.filter("level = 0").select("conv_id", "turn", "hash")
+    if parts:
+        lengths = named.select(F.explode("passages").alias("p")).filter("p.level > 0").select("p.lines").distinct()
+        own = parsed(messages.select("conv_id", "turn", "text").filter("conv_id IS NOT NULL AND turn IS NOT NULL"), sorted(r.lines for r in lengths.collect()))
+        originals = originals.unionByName(own.select("conv_id", "turn", F.explode("runs").alias("hash")))
+    originals = originals.groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
     originals, _ = work.write(f"{name}-originals", originals)
     links = quoted.join(originals, ["conv_id", "hash"]).filter("original < turn")
     latest_outermost = F.max(F.struct(-F.col("level"), F.col("original")))

@@ -50,7 +50,7 @@ def op4_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
-    return quotations.link_quotations(_table(spark, folder, "conversations"))
+    return quotations.link_quotations(_table(spark, folder, "conversations"), parts=True)
 
 
 def op6_bottom_k_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -94,5 +94,28 @@ def test_random_threads_agree_with_the_plain_version(spark):
         assert all(at[r.reply_to] < r.position for r in mine if r.reply_to is not None)
 
 
+def test_quoted_lines_of_longer_passages_link(spark):
+    rows = [
+        (1, 0, "user", "First line.\nSecond line.\nThird line.\nFourth line.", None),
+        (1, 1, "user", "> second LINE.\n> Third line.\nYes.", None),
+        (1, 2, "user", "> Fourth line.\nNo.", None),
+        (1, 3, "user", "> First line.\n> Third line.\nThese are no neighbours.", None),
+        (1, 4, "user", "On Monday someone wrote:\nAll is well.\n> Yes.", None),
+        (1, 5, "user", "> All is well.\nGood.", None),
+        (2, 0, "user", "> Second line.\nElsewhere.", None),
+    ]
+    found = quotations.link_quotations(spark.createDataFrame(rows, SCHEMA), parts=True).collect()
+    assert {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in found} == {
+        (1, 0): (None, 0),
+        (1, 1): (0, 1),
+        (1, 2): (0, 1),
+        (1, 3): (None, 0),
+        (1, 4): (1, 1),
+        (1, 5): (4, 1),
+        (2, 0): (None, 0),
+    }
+    assert quotations.link_quotations(spark.createDataFrame([], SCHEMA), parts=True).count() == 0
+
+
 def test_empty_table(spark):
     assert quotations.link_quotations(spark.createDataFrame([], SCHEMA)).count() == 0
