@@ -54,6 +54,60 @@ NOTICES = {
     "and/or sell copies of the Software",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
+    # Near variants each have a template, so that the higher containment tells them apart.
+    "agpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3",
+    "apache-2.0-short": "under the Apache License 2.0",
+    "apache-2.0-short-version": "under the Apache License, Version 2.0",
+    "apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+    "boost-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "bsd-2-line": "Licensed under the BSD 2-Clause License",
+    "bsd-3-line": "Licensed under the BSD 3-Clause License",
+    "bsd-disclaimer": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    "bsd-style": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+    "cc-by-3.0-unported": "This work is licensed under the Creative Commons Attribution 3.0 Unported License",
+    "cc-by-4.0-short": "under CC BY 4.0",
+    "cc-by-4.0-short-a": "under a CC BY 4.0",
+    "cc-by-4.0-short-license": "CC BY 4.0 license",
+    "cc-by-4.0-short-the": "under the CC BY 4.0",
+    "cc-by-nc-3.0-unported": "This work is licensed under the Creative Commons Attribution-NonCommercial 3.0 Unported License",
+    "cc-by-nc-4.0-international": "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nc-4.0-short": "CC BY-NC 4.0",
+    "cc-by-nc-nd-3.0-unported": "This work is licensed under the Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License",
+    "cc-by-nc-nd-4.0": "This work is licensed under the Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    "cc-by-nc-nd-4.0-short": "CC BY-NC-ND 4.0",
+    "cc-by-nc-nd-url": "creativecommons.org/licenses/by-nc-nd/4.0",
+    "cc-by-nc-sa-3.0-unported": "This work is licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License",
+    "cc-by-nc-sa-4.0": "This work is licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nc-sa-4.0-short": "CC BY-NC-SA 4.0",
+    "cc-by-nc-sa-url": "creativecommons.org/licenses/by-nc-sa/4.0",
+    "cc-by-nc-url": "creativecommons.org/licenses/by-nc/4.0",
+    "cc-by-nd-3.0-unported": "This work is licensed under the Creative Commons Attribution-NoDerivs 3.0 Unported License",
+    "cc-by-nd-4.0": "This work is licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-nd-4.0-short": "CC BY-ND 4.0",
+    "cc-by-nd-url": "creativecommons.org/licenses/by-nd/4.0",
+    "cc-by-sa-3.0-unported": "This work is licensed under the Creative Commons Attribution-ShareAlike 3.0 Unported License",
+    "cc-by-sa-4.0-short": "CC BY-SA 4.0",
+    "cc-by-sa-url": "creativecommons.org/licenses/by-sa/4.0",
+    "cc-by-url": "creativecommons.org/licenses/by/4.0",
+    "cc0-url": "creativecommons.org/publicdomain/zero/1.0",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2",
+    "gpl-2.0-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "isc-line": "Licensed under the ISC License",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "lgpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "mit-disclaimer": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
+    "mit-distributed": "Distributed under the MIT License",
+    "mit-licensed": "Licensed under the MIT License",
+    "mit-licensed-short": "is licensed under the MIT license",
+    "mit-terms": "under the terms of the MIT License",
+    "mpl-2.0-line": "Licensed under the Mozilla Public License 2.0",
+    "zlib": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
 }
 
 

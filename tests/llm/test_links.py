@@ -230,6 +230,27 @@ def test_licenses_agree_with_all_pairs(spark):
     assert licenses.find_licenses(documents, licenses.notices(spark).limit(0)).count() == 0
 
 
+def test_near_variants_of_licenses_are_told_apart(spark):
+    start = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+    end = " as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    texts = {
+        "gpl-2.0": start + "General Public License" + end.format(2),
+        "gpl-3.0": start + "General Public License" + end.format(3),
+        "lgpl-3.0": start + "Lesser General Public License" + end.format(3),
+        "agpl-3.0": start + "Affero General Public License" + end.format(3),
+        "bsd-disclaimer": licenses.NOTICES.get("bsd-disclaimer", ""),
+        "cc-by-nd-4.0": "This work is licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "mit-licensed": "Some words. Licensed under the MIT License.",
+        "cc-by-4.0-short": "The text is under CC BY 4.0 since 2020.",
+    }
+    names = list(texts)
+    documents = spark.createDataFrame([(k, texts[n]) for k, n in enumerate(names)], "doc_id long, text string")
+    best = {}
+    for r in licenses.find_licenses(documents, licenses.notices(spark)).collect():
+        best[r.doc_id] = max(best.get(r.doc_id, (0,)), (r.containment, r.license))
+    assert {names[k]: (v, n) for k, (v, n) in best.items()} == {n: (1.0, n) for n in names}
+
+
 def test_band_settings_keep_their_promise():
     assert 1 - (1 - licenses.LIKE**licenses.ROWS) ** licenses.BANDS > 0.999
 
