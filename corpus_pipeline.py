@@ -49,11 +49,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Rows in which no benchmark item is found, each judged by its own text, whatever its doc_id."""
     renamed, restored = _unclashing(docs)
-    leaks = decontamination.find_benchmark_items(renamed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaking, _ = Workspace(spark).write("leaking", leaks.select("doc_id").distinct())
-    return restored(renamed.join(leaking, "doc_id", "left_anti"))
+    work = Workspace(spark)
+    keyed, _ = work.write("keyed", renamed.withColumn("_row", F.monotonically_increasing_id()))
+    leaks = decontamination.find_benchmark_items(keyed.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaking, _ = work.write("leaking", leaks.select(F.col("doc_id").alias("_row")).distinct())
+    return restored(keyed.join(leaking, "_row", "left_anti"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
