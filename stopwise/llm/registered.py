@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import check_sql as sql
-from stopwise.llm import decontamination, language, licenses, mixing, near_duplicates, nearest, quality, quotations, toxicity, warc
+from stopwise.llm import alignment, decontamination, language, licenses, mixing, near_duplicates, nearest, packing, quality, quotations, toxicity, warc, whitening
 from stopwise.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,18 @@ def op10_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_galloping_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_statistics(alignment.align_tokenizers(_table(spark, folder, "documents").select("doc_id", "text")))
+
+
+def op12_tournament_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents")).drop("ids")
+
+
+def op13_jacobi_davidson_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_words": op1_language_words,
@@ -88,6 +100,9 @@ def queries() -> dict[str, Query]:
         "op8_license_windows": op8_license_windows,
         "op9_mix_sources": op9_mix_sources,
         "op10_multi_index_neighbours": op10_multi_index_neighbours,
+        "op11_galloping_alignment": op11_galloping_alignment,
+        "op12_tournament_packing": op12_tournament_packing,
+        "op13_jacobi_davidson_whitening": op13_jacobi_davidson_whitening,
     }
 
 

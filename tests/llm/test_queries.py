@@ -34,7 +34,7 @@ def test_query(spark, database, name):
 
 def test_all_operators_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in registered.queries()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near duplicates", "decontamination", "mixing"]
 
 
