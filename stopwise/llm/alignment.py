@@ -25,14 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.tokens import ByteLevel, Chunked, Pieces, Ragged
+from stopwise.llm.tokens import SLICE_BYTES, ByteLevel, Pieces, Ragged
 from stopwise.llm.words import add_columns, slices
 from stopwise.sources.workspace import Workspace
 
 INTS = T.ArrayType(T.IntegerType())
 FIELDS = T.StructType([T.StructField(c, INTS) for c in ("a_ids", "b_ids", "a_cuts", "b_cuts", "b_first", "b_last")])
-#: An id pair is one number, a_id * PAIR + b_id.
+#: An id pair is one number, a_id * PAIR + b_id; a slice has about so many distinct links of its rows.
 PAIR = 1 << 32
+LINKS_OF_SLICE = 1 << 19
 STATISTICS = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -130,27 +131,35 @@ class Aligner:
     """Ids and alignment of a slice of texts by a byte-level and a piece vocabulary."""
 
     def __init__(self, a_vocabulary: bytes, b_vocabulary: bytes) -> None:
-        a, b = ByteLevel(a_vocabulary, special_as_text=True), Pieces(b_vocabulary)
-        self._encode = Chunked(a, b)
-        self._bytes = (np.array(a.bytes, object), np.array(b.bytes, object))
-        self._sizes = tuple(np.array([len(t) for t in e.bytes], np.int64) for e in (a, b))
+        self._a, self._b = ByteLevel(a_vocabulary, special_as_text=True), Pieces(b_vocabulary)
+        self.bytes = tuple(np.array(e.bytes, object) for e in (self._a, self._b))
+        self._sizes = tuple(np.array([len(t) for t in e.bytes], np.int64) for e in (self._a, self._b))
 
     def __call__(self, texts: pa.Array) -> AlignedTexts:
         given = pc.fill_null(texts.cast(pa.large_string()), "")
-        spaced = pc.if_else(pc.equal(pc.binary_length(given), 0), "", pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), given, pa.scalar("", pa.large_string())))
-        found = self._encode(spaced)
-        wanted = pc.cast(spaced, pa.large_binary()).to_pylist()
+        space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        spaced = pc.if_else(pc.equal(pc.binary_length(given), 0), nothing, pc.binary_join_element_wise(space, given, nothing))
+        found = [self._a(spaced), self._b(given)]
+        wanted = b"".join(pc.cast(spaced, pa.large_binary()).to_pylist())
+        bounds = np.concatenate(([0], np.cumsum(pc.binary_length(spaced).to_numpy(zero_copy_only=False))))
         right = np.ones(len(texts), bool)
-        for ids, own in zip(found, self._bytes, strict=True):
+        for ids, own, sizes in zip(found, self.bytes, self._sizes, strict=True):
             tokens = own[ids.values]
-            cuts = ids.offsets.tolist()
-            right &= np.fromiter((b"".join(tokens[x:y]) == w for x, y, w in zip(cuts[:-1], cuts[1:], wanted, strict=True)), bool, len(wanted))
+            # Usually all texts agree, which one comparison shows.
+            if b"".join(tokens) != wanted or not np.array_equal(_sums(ids, sizes), np.diff(bounds)):
+                for row, (x, y) in enumerate(zip(ids.offsets[:-1], ids.offsets[1:], strict=True)):
+                    right[row] &= b"".join(tokens[x:y]) == wanted[bounds[row] : bounds[row + 1]]
         if not right.all():
             found = [_emptied(ids, right) for ids in found]
         ends = [Ragged(ids.offsets, np.cumsum(sizes[ids.values])) for ids, sizes in zip(found, self._sizes, strict=True)]
         return AlignedTexts(*found, align(*ends))
 
 
+def _sums(ids: Ragged, sizes: np.ndarray) -> np.ndarray:
+    ends = np.concatenate(([0], np.cumsum(sizes[ids.values])))
+    return np.diff(ends[ids.offsets])
+
+
 def _emptied(ids: Ragged, kept: np.ndarray) -> Ragged:
     sizes = np.diff(ids.offsets)
     values = ids.values[np.repeat(kept, sizes)]
@@ -167,6 +176,15 @@ def _paths(a: str | None, b: str | None) -> tuple[str, str]:
     return a or public_tokenizers.path("byte_bpe_50k.json"), b or public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _vocabularies(documents: DataFrame, a_path: str | None, b_path: str | None):
+    """The files' bytes for the executors; a vocabulary is a few MB, whatever the corpus."""
+    found = []
+    for path in _paths(a_path, b_path):
+        with open(path, "rb") as file:
+            found.append(file.read())
+    return documents.sparkSession.sparkContext.broadcast(tuple(found))
+
+
 def align_tokenizers(documents: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """``documents`` with the token ids and the alignment of each whole text.
 
@@ -174,11 +192,7 @@ def align_tokenizers(documents: DataFrame, a_path: str | None = None, b_path: st
     for each token of A the places in ``b_ids`` of the first and the last token that it overlaps. The vocabulary files are read
     on the driver. Columns of these names are replaced.
     """
-    vocabularies = []
-    for path in _paths(a_path, b_path):
-        with open(path, "rb") as file:
-            vocabularies.append(file.read())
-    shared = documents.sparkSession.sparkContext.broadcast(tuple(vocabularies))
+    shared = _vocabularies(documents, a_path, b_path)
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         aligner = Aligner(*shared.value)
@@ -199,87 +213,117 @@ def align_tokenizers(documents: DataFrame, a_path: str | None = None, b_path: st
 
         return compute
 
-    return add_columns(documents, "text", FIELDS, make)
-
+    return add_columns(documents, "text", FIELDS, make, SLICE_BYTES)
 
-def _column(batch: pa.RecordBatch, name: str) -> Ragged:
-    lists = batch.column(batch.schema.get_field_index(name))
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    return Ragged(offsets - offsets[0], lists.values.to_numpy()[offsets[0] : offsets[-1]])
 
-
-def _groups_text(ids: Ragged, cuts: Ragged, last: str, names: dict[str, np.ndarray]) -> np.ndarray:
+def _texts_of(ids: Ragged, common: np.ndarray, last: str, names: dict[str, np.ndarray]) -> np.ndarray:
     """Each token as decimal text and what follows it: a comma, or ``last`` behind a group."""
-    ends = cuts.values - 1 + np.repeat(ids.offsets[:-1], np.diff(cuts.offsets))
     texts = names[","][ids.values]
-    texts[ends] = names[last][ids.values[ends]]
+    texts[common] = names[last][ids.values[common]]
     return texts
 
 
-def _digests(a: Ragged, b: Ragged, a_cuts: Ragged, b_cuts: Ragged, names: dict[str, np.ndarray]) -> list[str]:
+def _digests(found: AlignedTexts, names: dict[str, np.ndarray]) -> list[str]:
     """SHA-256 of each row's groups as ``a1,a2|b1;a3|b2,b3``; an empty text for a row without tokens."""
+    a, b, (a_common, b_common, _, _) = found
+    a_sizes, b_sizes = np.diff(a_common, prepend=-1), np.diff(b_common, prepend=-1)
     # Where each token stands when a group's tokens of A come first, then those of B.
-    before_a, before_b = a.offsets[:-1], b.offsets[:-1]
-    rows = len(a.offsets) - 1
-    of = np.repeat(np.arange(rows), np.diff(a_cuts.offsets))
-    a_ends, b_ends = a_cuts.values + before_a[of], b_cuts.values + before_b[of]
-    a_sizes, b_sizes = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
     texts = np.empty(len(a.values) + len(b.values), object)
-    texts[np.arange(len(a.values)) + np.repeat(b_ends - b_sizes, a_sizes)] = _groups_text(a, a_cuts, "|", names)
-    texts[np.arange(len(b.values)) + np.repeat(a_ends, b_sizes)] = _groups_text(b, b_cuts, ";", names)
+    texts[np.arange(len(a.values)) + np.repeat(b_common + 1 - b_sizes, a_sizes)] = _texts_of(a, a_common, "|", names)
+    texts[np.arange(len(b.values)) + np.repeat(a_common + 1, b_sizes)] = _texts_of(b, b_common, ";", names)
     cuts = (a.offsets + b.offsets).tolist()
     return ["" if x == y else hashlib.sha256(b"".join(texts[x:y])[:-1]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def alignment_statistics(aligned: DataFrame, work: Workspace | None = None) -> DataFrame:
-    """``doc_id`` of each row of ``align_tokenizers`` with counts of tokens, groups and links, what the links count corpus-wide, and a digest.
-
-    A link is an occurrence pair of overlapping tokens; an id pair counts as many as it has in the corpus. ``n_best`` are the
-    links whose id pair counts most of all pairs of its B id, ``count_sum`` adds up the counts of all links.
+class Counted(NamedTuple):
+    """Counts of a slice of rows: ``row`` holds ``pairs[code]`` as often as ``times``."""
+
+    doc_ids: pa.Array
+    numbers: np.ndarray
+    digests: list[str]
+    row: np.ndarray
+    code: np.ndarray
+    times: np.ndarray
+    pairs: np.ndarray
+    totals: np.ndarray
+
+
+def _counted(doc_ids: pa.Array, found: AlignedTexts, names: dict[str, np.ndarray]) -> Counted:
+    a, b, (a_common, _, first, last) = found
+    rows = len(doc_ids)
+    sizes = last - first + 1
+    of = np.repeat(np.repeat(np.arange(rows), np.diff(a.offsets)), sizes)
+    b_at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of))
+    pairs, codes = np.unique(np.repeat(a.values.astype(np.int64), sizes) * PAIR + b.values[b_at], return_inverse=True)
+    held, times = np.unique(of * np.int64(len(pairs) + 1) + codes, return_counts=True)
+    row, code = np.divmod(held, len(pairs) + 1)
+    groups = np.diff(np.searchsorted(a_common, a.offsets))
+    numbers = np.array([np.diff(a.offsets), np.diff(b.offsets), groups, np.bincount(of, minlength=rows)])
+    return Counted(doc_ids, numbers, _digests(found, names), row, code, times, pairs, np.bincount(codes, minlength=len(pairs)))
+
+
+def _merged(parts: list[Counted]) -> Counted:
+    pairs, codes = np.unique(np.concatenate([p.pairs for p in parts]), return_inverse=True)
+    cuts = np.cumsum([0, *(len(p.pairs) for p in parts)])
+    rows = np.cumsum([0, *(len(p.doc_ids) for p in parts)])
+    totals = np.bincount(codes, np.concatenate([p.totals for p in parts]), len(pairs)).astype(np.int64)
+    return Counted(
+        pa.concat_arrays([p.doc_ids for p in parts]),
+        np.concatenate([p.numbers for p in parts], axis=1),
+        [d for p in parts for d in p.digests],
+        np.concatenate([p.row + r for p, r in zip(parts, rows[:-1], strict=True)]),
+        np.concatenate([codes[c:][p.code] for p, c in zip(parts, cuts[:-1], strict=True)]),
+        np.concatenate([p.times for p in parts]),
+        pairs,
+        totals,
+    )
+
+
+def alignment_statistics(documents: DataFrame, a_path: str | None = None, b_path: str | None = None, work: Workspace | None = None) -> DataFrame:
+    """``doc_id`` of each row with counts of its tokens, groups and links, what the links count corpus-wide, and a digest of the groups.
+
+    The alignment is that of ``align_tokenizers``; its arrays are counted where they are made. A link is an occurrence pair of
+    overlapping tokens; an id pair counts as many as it has in the corpus. ``n_best`` are the links whose id pair counts
+    most of all pairs of its B id, ``count_sum`` adds up the counts of all links.
 
     A task's rows are counted in slices: a slice has each of its distinct pairs once, and for each row which of them it holds how often.
     Only the distinct pairs meet the corpus-wide counts, so a pair that is in every text costs a row a slice, not a row a text;
     a slice's counts then go back to it in one row, whose size its own pairs bound.
     """
-    spark = aligned.sparkSession
+    spark = documents.sparkSession
     work = work or Workspace(spark)
     name = f"alignment-{uuid.uuid4().hex[:8]}"
-    kind = aligned.schema["doc_id"].dataType.simpleString()
-    columns = ("doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts", "b_first", "b_last")
+    kind = documents.schema["doc_id"].dataType.simpleString()
     row_fields = {"doc_ids": f"array<{kind}>"} | {c: "array<long>" for c in ("n_a", "n_b", "n_groups", "n_links")} | {"digests": "array<string>"}
     own_fields = {"starts": "array<int>", "codes": "array<int>", "times": "array<int>"}
     fields = {"slice": "long"} | row_fields | own_fields | {"pairs": "array<long>", "totals": "array<long>"}
-    counted = ", ".join(f"{c} {t}" for c, t in fields.items())
+    shared = _vocabularies(documents, a_path, b_path)
+
+    def slice_row(number: int, parts: list[Counted]) -> pa.RecordBatch:
+        c = _merged(parts)
+        starts = np.searchsorted(c.row, np.arange(len(c.doc_ids) + 1))
+        values = [c.doc_ids, *map(pa.array, c.numbers), pa.array(c.digests, pa.string())]
+        values += [pa.array(v, pa.int32()) for v in (starts, c.code, c.times)] + [pa.array(c.pairs), pa.array(c.totals)]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
+        return pa.RecordBatch.from_arrays([pa.array([number]), *lists], names=list(fields))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        names: dict[str, np.ndarray] = {}
+        aligner = Aligner(*shared.value)
+        most = max(map(len, aligner.bytes))
+        names = {s: np.array([b"%d%s" % (k, s.encode()) for k in range(most)], object) for s in ",|;"}
+        number, parts, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            tokens = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            for part in _parts(batch, tokens):
-                a, b, a_cuts, b_cuts, first, last = (_column(part, c) for c in columns[1:])
-                most = max(a.values.max(initial=0), b.values.max(initial=0)) + 1
-                if not names or most > len(names[","]):
-                    names = {s: np.array([b"%d%s" % (k, s.encode()) for k in range(most)], object) for s in ",|;"}
-                digests = _digests(a, b, a_cuts, b_cuts, names)
-                sizes = last.values - first.values + 1
-                of_a = np.repeat(np.arange(part.num_rows), np.diff(a.offsets))
-                of = np.repeat(of_a, sizes)
-                starts = first.values + b.offsets[of_a]
-                b_at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(of))
-                pairs, codes = np.unique(np.repeat(a.values.astype(np.int64), sizes) * PAIR + b.values[b_at], return_inverse=True)
-                held, times = np.unique(of * np.int64(len(pairs) + 1) + codes, return_counts=True)
-                row, code = np.divmod(held, len(pairs) + 1)
-                links = np.bincount(of, minlength=part.num_rows)
-                numbers = [np.diff(a.offsets), np.diff(b.offsets), np.diff(a_cuts.offsets), links]
-                values = [part.column(0), *map(pa.array, numbers), pa.array(digests, pa.string())]
-                values += [pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)), pa.int32()), pa.array(code, pa.int32()), pa.array(times, pa.int32())]
-                values += [pa.array(pairs), pa.array(np.bincount(codes, minlength=len(pairs)))]
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in values]
-                yield pa.RecordBatch.from_arrays([pa.array([number]), *lists], names=list(fields))
-                number += 1
-
-    slices_, _ = work.write(f"{name}-slices", aligned.select(*columns).mapInArrow(count, counted))
+            for part in slices(batch, "text", SLICE_BYTES):
+                parts.append(_counted(part.column(0), aligner(part.column(1)), names))
+                held += len(parts[-1].row)
+                if held >= LINKS_OF_SLICE:
+                    yield slice_row(number, parts)
+                    number, parts, held = number + 1, [], 0
+        if parts:
+            yield slice_row(number, parts)
+
+    counted = ", ".join(f"{c} {t}" for c, t in fields.items())
+    slices_, _ = work.write(f"{name}-slices", documents.select("doc_id", "text").mapInArrow(count, counted))
     pair = F.posexplode(F.arrays_zip("pairs", "totals")).alias("place", "p")
     held = slices_.select("slice", pair).select("slice", "place", F.col("p.pairs").alias("pair"), F.col("p.totals").alias("total"))
     counts, _ = work.write(f"{name}-counts", held.groupBy("pair").agg(F.sum("total").alias("count")))
@@ -308,12 +352,3 @@ def alignment_statistics(aligned: DataFrame, work: Workspace | None = None) -> D
 
     order = rows.select("slice", *own, "place", "count", "best")
     return order.mapInArrow(spread, f"doc_id {kind}, {STATISTICS}")
-
-
-def _parts(batch: pa.RecordBatch, tokens: np.ndarray, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """``batch`` cut so that each part has about ``most`` tokens, or one row."""
-    if batch.num_rows:
-        part = np.cumsum(tokens) // most
-        starts = np.flatnonzero(np.diff(part, prepend=-1))
-        for start, end in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
-            yield batch.slice(start, end - start)

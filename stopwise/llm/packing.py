@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.tokens import ByteLevel, Chunked, Ragged
+from stopwise.llm.tokens import SLICE_BYTES, ByteLevel, Ragged
 from stopwise.llm.words import slices
 from stopwise.sources.workspace import Workspace
 
@@ -137,11 +137,11 @@ def pack_documents(
     order = [f.split()[0] for f in fields.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Chunked(ByteLevel(shared.value, special_as_text=False))
+        encode = ByteLevel(shared.value, special_as_text=False)
         whole = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text"):
-                (found,) = encode(part.column(2))
+            for part in slices(batch, "text", SLICE_BYTES):
+                found = encode(part.column(2))
                 ended = np.insert(found.values, found.offsets[1:], end_id)
                 offsets = found.offsets + np.arange(len(found.offsets))
                 tokens = np.diff(offsets)

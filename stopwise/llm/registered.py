@@ -77,7 +77,7 @@ def op10_multi_index_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_galloping_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    return alignment.alignment_statistics(alignment.align_tokenizers(_table(spark, folder, "documents").select("doc_id", "text")))
+    return alignment.alignment_statistics(_table(spark, folder, "documents"))
 
 
 def op12_tournament_packing(spark: SparkSession, folder: str) -> DataFrame:

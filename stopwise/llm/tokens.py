@@ -1,26 +1,30 @@
 """Token ids of whole texts by public tokenizers, as NumPy arrays.
 
-Both kinds of tokenizer start a new token at a space that follows something other than white space, whatever stands
-around it. Texts are therefore cut there, and each distinct chunk is encoded once; the ids of a text are those of its chunks
-in a row. The vocabulary files reach the executors as broadcast bytes (a few MB each, however large the input).
+A byte-level vocabulary is encoded with two libraries of like results. ``tiktoken`` merges by rank and is four times as fast; the ranks
+are the ids, if the vocabulary numbers its merges in their order. Its pattern splits words by letters, digits and white space, and
+which characters these are depends on a library's version of Unicode. So it only gets texts of characters that every version
+classes alike; the others go to ``tokenizers``.
+
+The vocabulary files reach the executors as broadcast bytes (a few MB each, however large the input).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Characters that some definition counts as white space, and the one that stands for a space in pieces; no text is cut after one of them.
-SPACES = "\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{2581}"
-#: Marks for the cuts; one that is in no text of a slice is taken.
-MARKS = ("\x00", *map(chr, range(0xFDD0, 0xFDF0)))
-#: Chunks that a task remembers.
-REMEMBERED = 300_000
+#: Texts are encoded in slices of so many bytes.
+SLICE_BYTES = 1 << 20
+#: A character outside these ranges, or white space without end, sends a text to the slower library: ASCII, Latin, Greek, Cyrillic,
+#: usual punctuation, Kana, the first CJK block and Hangul.
+UNSETTLED = (
+    "[^\\x00-\\x7f\\x{a1}-\\x{24f}\\x{391}-\\x{3a1}\\x{3a3}-\\x{3c9}\\x{410}-\\x{44f}\\x{2010}-\\x{2027}\\x{2030}-\\x{205e}"
+    "\\x{3041}-\\x{3096}\\x{30a1}-\\x{30fa}\\x{4e00}-\\x{9fa5}\\x{ac00}-\\x{d7a3}]|[\\s\\x0b]{1000}"
+)
 
 
 class Ragged(NamedTuple):
@@ -29,60 +33,55 @@ class Ragged(NamedTuple):
     offsets: np.ndarray
     values: np.ndarray
 
-    def take(self, rows: np.ndarray) -> Ragged:
-        """The given rows, in their order and as often as they are given."""
-        starts, sizes = self.offsets[rows], np.diff(self.offsets)[rows]
-        offsets = np.concatenate(([0], np.cumsum(sizes)))
-        return Ragged(offsets, self.values[np.repeat(starts - offsets[:-1], sizes) + np.arange(offsets[-1])])
-
-    def grouped(self, sizes: np.ndarray) -> Ragged:
-        """Each ``sizes[i]`` rows in a row joined to one."""
-        return Ragged(self.offsets[np.concatenate(([0], np.cumsum(sizes)))], self.values)
 
-
-def ragged(lists: list[list[int]], kind: type = np.int32) -> Ragged:
+def ragged(lists: list[list[int]] | list[np.ndarray], kind: type = np.int32) -> Ragged:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64)
+    if lists and isinstance(lists[0], np.ndarray):
+        return Ragged(offsets, np.concatenate(lists).astype(kind))
     return Ragged(offsets, np.fromiter((v for x in lists for v in x), kind, offsets[-1]))
 
 
 class ByteLevel:
-    """A byte-level BPE of the library ``tokenizers``; ``special_as_text`` takes special strings in texts as plain text."""
+    """A byte-level BPE vocabulary; ``special_as_text`` takes special strings in texts as plain text."""
 
     def __init__(self, vocabulary: bytes, special_as_text: bool) -> None:
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._own = Tokenizer.from_str(vocabulary.decode())
-        self._own.encode_special_tokens = special_as_text
+        self._exact = Tokenizer.from_str(vocabulary.decode())
+        self._exact.encode_special_tokens = special_as_text
         told = json.loads(vocabulary)
-        if told.get("normalizer") or told["pre_tokenizer"].get("type") != "ByteLevel" or told["pre_tokenizer"]["add_prefix_space"]:
-            raise ValueError("not a plain byte-level tokenizer")
-        byte_of = _byte_characters()
-        entries = {k: bytes(byte_of[c] for c in piece) for piece, k in told["model"]["vocab"].items()}
-        entries |= {t["id"]: t["content"].encode() for t in told["added_tokens"]}
+        split, special = told["pre_tokenizer"] or {}, told["added_tokens"]
+        if told["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split.get("use_regex", True):
+            raise ValueError("not a plain byte-level vocabulary")
+        byte_of = byte_characters()
+        ranks = {bytes(byte_of[c] for c in entry): k for entry, k in told["model"]["vocab"].items()}
+        entries = {k: b for b, k in ranks.items()} | {t["id"]: t["content"].encode() for t in special}
         #: Bytes of each id.
         self.bytes = [entries.get(k, b"") for k in range(max(entries) + 1)]
-        self._sizes = np.array([len(b) for b in self.bytes])
-
-    def __call__(self, chunks: list[str]) -> Ragged:
-        # Chunks of the usual form can stand in one text without changing each other's tokens; much faster than one by one.
-        usual = np.fromiter((c[:1] == " " and not c[-1].isspace() and c[-1] != "\u180e" for c in chunks), bool, len(chunks))
-        at = np.flatnonzero(usual)
-        parts = [chunks[k] for k in at]
-        ids = np.array(self._own.encode("".join(parts), add_special_tokens=False).ids if parts else [], np.int32)
-        ends = np.concatenate(([0], np.cumsum(self._sizes[ids])))
-        wanted = np.concatenate(([0], np.cumsum([len(c.encode()) for c in parts]))).astype(np.int64)
-        cuts = np.searchsorted(ends, wanted)
-        if not np.array_equal(ends[cuts], wanted):
-            raise ValueError("a token of this vocabulary reaches over the start of a word")
-        others = [chunks[k] for k in np.flatnonzero(~usual)]
-        odd = ragged([e.ids for e in self._own.encode_batch_fast(others, add_special_tokens=False)])
-        both = Ragged(np.concatenate((cuts, cuts[-1] + odd.offsets[1:])), np.concatenate((ids, odd.values)))
-        place = np.empty(len(chunks), np.int64)
-        place[at], place[~usual] = np.arange(len(at)), len(at) + np.arange(len(others))
-        return both.take(place)
-
-
-def _byte_characters() -> dict[str, int]:
+        merged = [told["model"]["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in told["model"]["merges"]]
+        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in special)
+        self._fast = None
+        if plain and merged == sorted(merged):
+            own = {} if special_as_text else {t["content"]: t["id"] for t in special}
+            self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=own)
+
+    def __call__(self, texts: pa.Array) -> Ragged:
+        """Ids of each text; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self._fast is None:
+            slow = np.ones(len(texts), bool)
+        else:
+            slow = pc.match_substring_regex(texts, UNSETTLED).to_numpy(zero_copy_only=False)
+        own = iter(self._exact.encode_batch_fast(texts.filter(pa.array(slow)).to_pylist(), add_special_tokens=False))
+        return ragged([
+            np.array(next(own).ids, np.int32) if s else self._fast.encode_to_numpy(t, allowed_special="all", disallowed_special=())
+            for t, s in zip(texts.to_pylist(), slow, strict=True)
+        ])
+
+
+def byte_characters() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable ones for themselves, the others from 256 on."""
     printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
@@ -90,64 +89,16 @@ def _byte_characters() -> dict[str, int]:
 
 
 class Pieces:
-    """A piece vocabulary of the library ``sentencepiece`` with byte pieces; chunks start with the space that it adds itself."""
+    """A piece vocabulary of the library ``sentencepiece``, which adds a space before each text."""
 
     def __init__(self, vocabulary: bytes) -> None:
         import sentencepiece
 
         self._own = sentencepiece.SentencePieceProcessor(model_proto=vocabulary)
         pieces = [self._own.id_to_piece(k) for k in range(self._own.get_piece_size())]
-        if any("▁" in p.lstrip("▁") for p in pieces):
-            raise ValueError("a piece of this vocabulary reaches over the start of a word")
-        self.bytes = [
-            bytes([int(p[3:-1], 16)]) if self._own.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)
-        ]
-        self._space = self._own.piece_to_id("▁")
-
-    def __call__(self, chunks: list[str]) -> Ragged:
-        found = self._own.encode([c[1:] for c in chunks], num_threads=1)
-        return ragged([ids if len(c) > 1 else [self._space] for c, ids in zip(chunks, found, strict=True)])
-
-
-class Chunked:
-    """Ids of texts by one or more encoders; remembers the chunks of a task."""
-
-    def __init__(self, *encoders: Callable[[list[str]], Ragged]) -> None:
-        self.encoders = encoders
-        self._forget()
-
-    def _forget(self) -> None:
-        self._known: dict[str, int] = {}
-        self._ids = [Ragged(np.zeros(1, np.int64), np.zeros(0, np.int32)) for _ in self.encoders]
+        #: Bytes of each id.
+        self.bytes = [bytes([int(p[3:-1], 16)]) if self._own.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
 
-    def chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Number of chunks of each text, their codes in a row, and the distinct chunks; an empty or null text has none."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        mark = next((m for m in MARKS if not pc.any(pc.match_substring(texts, m)).as_py()), None)
-        if mark is None:
-            encoded = texts.dictionary_encode()
-            sizes, flat, distinct = np.ones(len(texts), np.int64), encoded.indices.to_numpy(), encoded.dictionary
-        else:
-            marked = pc.replace_substring_regex(texts, f"([^{SPACES}]) ", f"\\1{mark} ")
-            lists = pc.split_pattern(marked, mark)
-            encoded = lists.flatten().dictionary_encode()
-            sizes, flat, distinct = np.diff(lists.offsets.to_numpy()), encoded.indices.to_numpy(), encoded.dictionary
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        kept = np.repeat(~empty, sizes)
-        return np.where(empty, 0, sizes), flat[kept], distinct.to_pylist()
-
-    def __call__(self, texts: pa.Array) -> list[Ragged]:
-        sizes, codes, distinct = self.chunks(texts)
-        new = [c for c in distinct if c not in self._known and c]
-        if len(self._known) + len(new) > REMEMBERED:
-            self._forget()
-            new = [c for c in distinct if c]
-        if new:
-            self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
-            self._ids = [_joined(known, encode(new)) for known, encode in zip(self._ids, self.encoders, strict=True)]
-        rows = np.array([self._known.get(c, 0) for c in distinct], np.int64)[codes] if len(codes) else codes.astype(np.int64)
-        return [known.take(rows).grouped(sizes) for known in self._ids]
-
-
-def _joined(a: Ragged, b: Ragged) -> Ragged:
-    return Ragged(np.concatenate((a.offsets, a.offsets[-1] + b.offsets[1:])), np.concatenate((a.values, b.values)))
+    def __call__(self, texts: pa.Array) -> Ragged:
+        """Ids of each text; null counts as empty."""
+        return ragged(self._own.encode(pc.fill_null(texts, "").to_pylist(), num_threads=1))

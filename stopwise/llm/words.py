@@ -58,12 +58,12 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """``batch`` cut so that each part has about SLICE_BYTES of text, or one row."""
+def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` cut so that each part has about ``size`` bytes of text, or one row."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    part = np.cumsum(sizes) // size
     starts = np.flatnonzero(np.diff(part, prepend=-1))
     for start, end in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
         yield batch.slice(start, end - start)
@@ -74,6 +74,7 @@ def add_columns(
     text: str,
     fields: T.StructType,
     make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """``data`` with the columns ``fields`` that ``make()(texts)`` computes from the column ``text``.
 
@@ -90,7 +91,7 @@ def add_columns(
         compute = make()
         names = [*kept, *(f.name for f in fields)]
         for batch in batches:
-            for part in slices(batch, batch.schema.names[at]):
+            for part in slices(batch, batch.schema.names[at], size):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(at))], names=names)
 
     source = data.select(*plain)

@@ -1,4 +1,4 @@
-"""Chunked encoding, alignment and packing against plain versions on whole texts."""
+"""Encoding, alignment and packing against plain versions on whole texts."""
 
 import collections
 import hashlib
@@ -41,7 +41,7 @@ def encoders():
     plain = Tokenizer.from_file(A_PATH)
     plain.encode_special_tokens = True
     pieces = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
-    return tokens.Chunked(tokens.ByteLevel(a, True), tokens.Pieces(b)), plain, pieces
+    return tokens.ByteLevel(a, True), tokens.Pieces(b), plain, pieces
 
 
 @pytest.fixture(scope="module")
@@ -50,22 +50,33 @@ def texts(spark):
     return [t for t in found if t] + [t for _, t, _ in ODD if t]
 
 
+def rows_of(found):
+    return [found.values[a:b].tolist() for a, b in zip(found.offsets[:-1], found.offsets[1:], strict=True)]
+
+
 def same_ids(encoders, texts):
-    chunked, plain, pieces = encoders
-    a, b = chunked(pa.array([" " + t for t in texts]))
-    for k, text in enumerate(texts):
-        assert a.values[a.offsets[k] : a.offsets[k + 1]].tolist() == plain.encode(" " + text, add_special_tokens=False).ids
-        assert b.values[b.offsets[k] : b.offsets[k + 1]].tolist() == pieces.encode(text)
+    byte_level, own_pieces, plain, pieces = encoders
+    given = pa.array([" ", *texts], pa.string())[1:]
+    assert rows_of(byte_level(given)) == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert rows_of(own_pieces(given)) == [pieces.encode(t or "") for t in texts]
+
 
+def test_ids_are_those_of_the_libraries(encoders, texts):
+    same_ids(encoders, [*texts, None, "", " " * 3000 + "x" + "\n" * 2000, "e\u0301 \u200b\u00ad \u0660\u0968 \U0001e900 \ua7ca"])
 
-def test_chunks_give_the_ids_of_whole_texts(encoders, texts):
-    same_ids(encoders, texts)
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab Z9.'sdt\t\n\r\x0b\x1c\x7f\x00\xa0\xad\xb2 \u180e\u2003\u3000\u2581\xe9\u6f22<|>") | st.characters(), max_size=30), min_size=1, max_size=4))
+def test_any_text_has_the_ids_of_the_libraries(encoders, found):
+    same_ids(encoders, [t for t in found if t.encode("utf-8", "ignore").decode() == t])
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("ab Z9.'\t\n\r\x0b\x1c\x00 ᠎ 　▁é漢﷐<|>"), min_size=1, max_size=30), min_size=1, max_size=4))
-def test_any_text_has_the_ids_of_the_whole(encoders, found):
-    same_ids(encoders, found)
+
+def test_special_strings(encoders):
+    with open(A_PATH, "rb") as file:
+        special = tokens.ByteLevel(file.read(), False)
+    plain = Tokenizer.from_file(A_PATH)
+    for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\u200b y", "<|endoftext"):
+        assert rows_of(special(pa.array([text]))) == [plain.encode(text, add_special_tokens=False).ids]
 
 
 def test_galloping_agrees_with_a_plain_search():
@@ -112,7 +123,7 @@ def plain_alignment(rows):
     """Results of op11 from whole texts, token by token."""
     plain, pieces = Tokenizer.from_file(A_PATH), sentencepiece.SentencePieceProcessor(model_file=B_PATH)
     plain.encode_special_tokens = True
-    byte_of = tokens._byte_characters()
+    byte_of = tokens.byte_characters()
     entries = {k: bytes(byte_of[c] for c in t) for t, k in plain.get_vocab(with_added_tokens=False).items()}
     texts, count = [], collections.Counter()
     for _, text in rows:
@@ -155,9 +166,21 @@ def test_alignment_of_documents(spark):
     odd = spark.createDataFrame([(k, t if len(t or "") < 1000 else "long words " * 400) for k, t, _ in ODD], docs.schema)
     both = docs.unionByName(odd)
     rows = [(r.doc_id, r.text) for r in both.collect()]
-    found = alignment.alignment_statistics(alignment.align_tokenizers(both)).collect()
+    found = alignment.alignment_statistics(both).collect()
     assert sorted(map(tuple, found), key=repr) == sorted(plain_alignment(rows), key=repr)
-    assert alignment.alignment_statistics(alignment.align_tokenizers(docs.limit(0))).count() == 0
+    assert alignment.alignment_statistics(docs.limit(0)).count() == 0
+
+
+def test_alignment_arrays_give_the_statistics(spark):
+    docs = spark.createDataFrame([(k, t) for k, t, _ in ODD], "doc_id long, text string")
+    counts = sorted(((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.groups_sha256) for r in alignment.alignment_statistics(docs).collect()), key=repr)
+    found = []
+    for r in alignment.align_tokenizers(docs).collect():
+        cuts = list(zip([0, *r.a_cuts], r.a_cuts, [0, *r.b_cuts], r.b_cuts, strict=False))
+        text = ";".join(",".join(map(str, r.a_ids[a:b])) + "|" + ",".join(map(str, r.b_ids[c:d])) for a, b, c, d in cuts)
+        links = sum(y - x + 1 for x, y in zip(r.b_first, r.b_last, strict=True))
+        found.append((r.doc_id, len(r.a_ids), len(r.b_ids), len(cuts), links, hashlib.sha256(text.encode()).hexdigest() if cuts else ""))
+    assert counts == sorted(found, key=repr)
 
 
 def test_alignment_keeps_other_columns(spark):
