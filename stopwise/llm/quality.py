@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.samples import labelled_texts
+from stopwise.llm.samples import held_out, labelled_texts
 from stopwise.llm.words import add_columns, slices
 from stopwise.sources.workspace import Workspace
 
@@ -128,7 +128,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     if found.label.nunique() < 2:
         found = _differences(labelled.select("label", "text"), good, bad)
     work.drop()
-    share = labels.filter(F.col("quality").isin(0, 1)).groupBy("quality").count().toArrow().to_pandas().set_index("quality")["count"]
+    share = labels.filter(F.col("quality").isin(0, 1) & ~held_out()).groupBy("quality").count().toArrow().to_pandas().set_index("quality")["count"]
     weight = found.label.map(share / found.groupby("label").size()).to_numpy()
     weights = _calibrated(100 * found[["mean", "worst"]].to_numpy(), found.label.to_numpy(float), weight / weight.mean())
     return QualityModel(good, bad, weights)

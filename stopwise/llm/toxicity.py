@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stopwise.llm.samples import labelled_texts
+from stopwise.llm.samples import held_out, labelled_texts
 from stopwise.llm.words import Words, add_columns, mix, slices, split_words, word_hashes
 from stopwise.sources.workspace import Workspace
 
@@ -242,7 +242,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
     model = ToxicityModel(table.astype(np.float32), rate, log_scale, 1.0, 0.0)
     evidence = np.array([model.evidence(s, n) for s, n in zip(rows.segments, rows.n, strict=True)])
     # Halfway between the labels' shares and equal classes: a missed toxic text costs more than its rarity says.
-    share = labels.filter(F.col("toxic").isin(0, 1)).groupBy("toxic").count().toArrow().to_pandas().set_index("toxic")["count"]
+    share = labels.filter(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("toxic").count().toArrow().to_pandas().set_index("toxic")["count"]
     weight = rows.label.map(share**0.5 / rows.groupby("label").size()).to_numpy()
     weight = weight / weight.mean()
     slope, intercept = _logistic(evidence, rows.label.to_numpy(float), weight)

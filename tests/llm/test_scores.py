@@ -150,3 +150,14 @@ def test_chunks_hold_the_whole_text():
         text = bytes(k % 251 for k in range(size))
         assert b"".join(quality.chunks(text)) == text
         assert max(map(len, quality.chunks(text))) <= 1.5 * quality.CHUNK_BYTES
+
+
+def test_labels_of_held_out_rows_change_nothing(spark, documents, labels):
+    flipped = labels.select("doc_id", *(F.when(held_out(), 1).otherwise(F.col(c)).cast("int").alias(c) for c in ("quality", "toxic")))
+    rows = documents.limit(150).cache()
+    for fit, score, column in ((quality.fit, quality.score_quality, "quality_score"), (toxicity.fit, toxicity.score_toxicity, "tox_score")):
+        first, second = (sorted((r.doc_id, r[column]) for r in score(rows, fit(documents, given)).collect()) for given in (labels, flipped))
+        assert first == second
+    other = documents.withColumn("lang", F.when(held_out(), "de").otherwise(F.col("lang")))
+    first, second = (sorted((r.doc_id, r.lang_pred, r.lang_score) for r in language.identify_languages(rows, language.fit(given)).collect()) for given in (documents, other))
+    assert first == second
