@@ -30,6 +30,14 @@ DEPARTS = "(21600 + l_orderkey * 97 % 72000 + l_linenumber * 240)"
 LINE_DEPARTS = "(21600 + l_orderkey * 97 % 72000 + line * 240)"
 
 # Each table: name, SQL. A query uses the tables it names and those they name.
+def mean(column: str, keys: str) -> str:
+    """Mean over a window from sums of whole 2^-30 units, which no order of adding changes."""
+    return (
+        f"(sum(floor({column}::DOUBLE * 1073741824 + 0.5)::HUGEINT) OVER (PARTITION BY {keys}))::DOUBLE"
+        f" / count({column}) OVER (PARTITION BY {keys}) / 1073741824"
+    )
+
+
 TABLES = {
     "fx_stops": f"""
         SELECT {stop_id('s_suppkey')} AS stop_id, s_name AS stop_name,
@@ -189,12 +197,12 @@ TABLES = {
         FROM fx_clean h LEFT JOIN fx_weather w
           ON w.year = year(operating_day) AND w.month = month(operating_day)
          AND w.dayofmonth = day(operating_day) AND w.hour = hour(arr_time)""",
-    "fx_filled": """
+    "fx_filled": f"""
         SELECT * REPLACE (
-            coalesce(rain, avg(rain) OVER (PARTITION BY year, month, dayofmonth),
-                     avg(rain) OVER (PARTITION BY year, weekofyear), avg(rain) OVER (PARTITION BY year, month)) AS rain,
-            coalesce(temperature::DOUBLE, avg(temperature) OVER (PARTITION BY year, weekofyear, hour),
-                     avg(temperature) OVER (PARTITION BY year, month, hour)) AS temperature)
+            coalesce(rain, {mean('rain', 'year, month, dayofmonth')}, {mean('rain', 'year, weekofyear')},
+                     {mean('rain', 'year, month')}) AS rain,
+            coalesce(temperature::DOUBLE, {mean('temperature', 'year, weekofyear, hour')},
+                     {mean('temperature', 'year, month, hour')}) AS temperature)
         FROM fx_joined""",
     "fx_history": """
         SELECT * REPLACE (coalesce(rain > 2.5, false) AS rain,

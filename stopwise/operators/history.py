@@ -32,6 +32,9 @@ MEANS = {
     "temperature": (("year", "weekofyear", "hour"), ("year", "month", "hour")),
 }
 
+#: Units of a mean's sums, a power of two.
+MEAN_UNITS = float(1 << 30)
+
 
 def usable_arrivals(
     arrivals: DataFrame,
@@ -136,16 +139,22 @@ def add_weather(history: DataFrame, weather: DataFrame) -> DataFrame:
 
 def _mean_over(column: str, keys: Sequence[str]) -> Column:
     window = Window.partitionBy(*keys)
-    return F.sum(f"{column}_sum").over(window) / F.sum(f"{column}_n").over(window)
+    whole = F.sum(f"{column}_sum").over(window).cast("double")
+    return whole / F.sum(f"{column}_n").over(window) / MEAN_UNITS
 
 
 def _fill(history: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values as the first known mean of the groups in ``MEANS``, weighted by history rows.
 
     History is first summed per hour of the calendar. At most 8,928 (12 x 31 x 24) rows a year remain
-    whatever its size: the windows run over those, a year at a time, and they are broadcast.
+    whatever its size: the windows run over those, a year at a time, and they are broadcast. Sums are of whole
+    units, so that no order of adding changes a mean.
     """
-    sums = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.sum, "sum"), (F.count, "n"))]
+
+    def units(c: str) -> Column:
+        return F.sum(F.floor(F.col(c) * MEAN_UNITS + 0.5).cast("decimal(20,0)"))
+
+    sums = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((units, "sum"), (F.count, "n"))]
     hours = (
         history.groupBy("year", "month", "weekofyear", "dayofmonth", "hour").agg(*sums).repartition("year")
     )
