@@ -22,6 +22,7 @@ from stopwise.functions.probability import exponential_percentiles, probability_
 from stopwise.operators import distributions, history, legs, network, regions, timetable, validation
 from stopwise.operators.confidence import connection_probabilities, journey_confidence
 from stopwise.operators.journeys import pick_journeys, search_journeys
+from stopwise.operators.latest import latest_departures
 from stopwise.plans import delay_model, journey_plan
 from stopwise.plans.travel_network import build_timetable
 from stopwise.sources.shapes import with_bounds
@@ -426,9 +427,8 @@ REGISTRY["journey_confidence"] = REGISTRY.pop("journey_confidence_of_legs")
 
 @register
 def best_journey(t: Transport) -> DataFrame:
-    asked = t.queries.withColumn("k", F.lit(1))
-    labels = search_journeys(asked, t.network.hops, t.network.walks, Workspace(t.spark))
-    return pick_journeys(asked, labels).select("query_id", "from_stop_id", "to_stop_id", "arrival_s", "cost")
+    found = latest_departures(t.queries, t.network.hops, t.network.walks, Workspace(t.spark))
+    return found.select("query_id", "from_stop_id", "to_stop_id", "arrival_s", "cost")
 
 
 @register
