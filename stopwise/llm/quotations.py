@@ -3,14 +3,16 @@
 Lines that begin with ``>`` are quoted, as many levels deep as they have of it. A passage is a run of lines of one level without blank lines
 between; white space is evened out and case ignored before it is hashed. A quoted passage links to the
 earliest message of the same conversation that holds a passage of its own with the same hash, if that is earlier than the quoting one.
-With ``parts``, a quoted passage of n lines also links to any n neighbouring lines of an own passage; runs are hashed for those n only that
-some quoted passage has. Lines that announce a quotation belong to no own passage.
+With ``parts``, a quoted passage of n lines also links to any n neighbouring lines of an own passage that are alike line by line. Runs are
+made for those n only that some quoted passage of the conversation has. A run is known by the hashes of two overlapping blocks of 2^k
+lines, and the blocks of 2^k lines by those of half as many, so a message of any number of lines takes time in proportion to its lines
+and the numbers of lines quoted in its conversation. Lines that announce a quotation belong to no own passage.
 A message replies to the latest message that its outermost linked quotations come from. Following replies upwards gives
 the message that began the thread; a conversation in reply order lists its threads by their first message, and the messages of
 a thread by turn, so a message comes after the one that it replies to. Messages that
 quote nothing known belong to the thread of the conversation itself, which comes first.
 
-No group is gathered: originals are the minimum of a hash, positions are sums over blocks of turns, and
+Lines are rows of their own; no group larger than a message is gathered: originals are the minimum of a hash, positions are sums over blocks of turns, and
 replies are followed by doubling over written tables.
 
 Defined results: a null text has no passage and stays null, and texts without quotations stay as they are; a message of quotations alone has an empty text. Messages without conversation or turn link to nothing and
@@ -36,46 +38,68 @@ def _normal(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
-def parsed(messages: DataFrame, lengths: list[int] | None = None) -> DataFrame:
-    """``messages`` with ``own``, the text without quotations, and ``passages`` (level, lines, hash).
-
-    With ``lengths`` also ``runs``: hashes of all runs of so many lines within longer own passages.
-    """
-    lines = F.split(F.coalesce("text", F.lit("")), r"\r\n|\n|\r")
-    level = F.transform("_lines", lambda x: F.length(F.regexp_replace(F.regexp_extract(x, QUOTED, 0), r"[^>]", "")))
-    body = F.transform("_lines", lambda x: F.regexp_replace(x, QUOTED, ""))
-    rows = messages.withColumn("_lines", lines).withColumn("_level", level).withColumn("_body", body)
-    quotes = F.exists("_level", lambda n: n > 0)
+def message_lines(messages: DataFrame) -> DataFrame:
+    """A row per line of the keyed messages: ``no``, ``level``, ``body``, ``kept`` (part of the own text) and the number of its passage, null for none."""
+    lines = messages.select("_row", "conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"\r\n|\n|\r")).alias("no", "line"))
+    level = F.length(F.regexp_replace(F.regexp_extract("line", QUOTED, 0), r"[^>]", ""))
+    lines = lines.select("_row", "conv_id", "turn", "no", level.alias("level"), F.regexp_replace("line", QUOTED, "").alias("body"))
+    of_message = Window.partitionBy("_row")
+    in_order = of_message.orderBy("no")
+    lines = lines.repartition("_row").withColumn("quotes", F.max("level").over(of_message) > 0)
+    announces = (F.col("level") == 0) & F.col("quotes") & F.col("body").rlike(ANNOUNCED)
     # Blank lines and announcements end a passage and are of no level.
-    none = lambda n, x: (F.trim(x) == "") | ((n == 0) & F.col("_quotes") & x.rlike(ANNOUNCED))
-    key = F.zip_with("_level", "_body", lambda n, x: F.when(none(n, x), F.lit(-1)).otherwise(n))
-    rows = rows.withColumn("_quotes", quotes).withColumn("_key", key)
-    index = F.sequence(F.lit(0), F.size("_key") - 1)
-    starts = F.filter(index, lambda i: (i == 0) | (F.get("_key", i) != F.get("_key", i - 1)))
-    rows = rows.withColumn("_starts", starts)
-
-    def passage(k: Column) -> Column:
-        start = F.get("_starts", k)
-        end = F.coalesce(F.get("_starts", k + 1), F.size("_key"))
-        return F.struct(F.get("_key", start).alias("level"), (end - start).alias("lines"), hashed(start, end - start).alias("hash"))
-
-    def hashed(start: Column, number: Column) -> Column:
-        return F.md5(_normal(F.array_join(F.slice("_body", start + 1, number), " ")).cast("binary"))
-
-    def runs(k: Column) -> Column:
-        start = F.get("_starts", k)
-        end = F.coalesce(F.get("_starts", k + 1), F.size("_key"))
-        shorter = F.filter(F.lit(lengths).cast("array<int>"), lambda n: (n < end - start) & (F.get("_key", start) == 0))
-        return F.flatten(F.transform(shorter, lambda n: F.transform(F.sequence(start, end - n), lambda i: hashed(i, n))))
-
-    if lengths is not None:
-        rows = rows.withColumn("runs", F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_starts") - 1), runs))))
-    passages = F.transform(F.sequence(F.lit(0), F.size("_starts") - 1), passage)
-    rows = rows.withColumn("passages", F.filter(passages, lambda p: p["level"] >= 0))
-    unquoted = F.filter(F.arrays_zip("_level", "_body"), lambda x: (x["_level"] == 0) & ~(F.col("_quotes") & x["_body"].rlike(ANNOUNCED)))
-    kept = F.regexp_replace(F.array_join(F.transform(unquoted, lambda x: x["_body"]), "\n"), r"^\s+|\s+$", "")
-    own = F.when(F.col("_quotes"), kept).otherwise(F.col("text"))
-    return rows.withColumn("own", own).drop("_lines", "_level", "_body", "_key", "_starts", "_quotes")
+    lines = lines.withColumns({"kept": (F.col("level") == 0) & ~announces, "key": F.when((F.trim("body") == "") | announces, -1).otherwise(F.col("level"))})
+    lines = lines.withColumn("starts", ~F.col("key").eqNullSafe(F.lag("key").over(in_order)))
+    number = F.sum(F.col("starts").cast("int")).over(in_order)
+    return lines.withColumn("passage", F.when(F.col("key") >= 0, number)).drop("key", "starts", "quotes")
+
+
+def message_passages(lines: DataFrame) -> DataFrame:
+    """Passages of the lines: level, number of lines, hash of the evened text, and a hash of each line."""
+    in_order = F.array_sort(F.collect_list(F.struct("no", "body")))
+    found = lines.filter("passage IS NOT NULL").groupBy("_row", "conv_id", "turn", "passage", "level").agg(in_order.alias("found"))
+    text = F.array_join("found.body", " ")
+    hashes = F.transform("found.body", lambda x: F.xxhash64(_normal(x)))
+    return found.select("_row", "conv_id", "turn", "passage", "level", F.size("found").alias("lines"), F.md5(_normal(text).cast("binary")).alias("hash"), hashes.alias("hashes"))
+
+
+def own_texts(messages: DataFrame, lines: DataFrame) -> DataFrame:
+    """The messages with ``own``, the text without quotations, and ``n_quotes``, the number of quoted passages."""
+    kept = F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("no", "body"))))
+    quoted = F.count_distinct(F.when(F.col("level") > 0, F.col("passage"))).alias("n_quotes")
+    # Quotations of blank lines only are no passage, but are taken out too.
+    whole = lines.groupBy("_row").agg(kept.alias("kept"), quoted, (F.max("level") > 0).alias("quotes"))
+    text = F.regexp_replace(F.array_join("kept.body", "\n"), r"^\s+|\s+$", "")
+    found = messages.join(whole, "_row")
+    return found.withColumns({"own": F.when(F.col("quotes"), text).otherwise(F.col("text")), "n_quotes": F.col("n_quotes").cast("int")}).drop("kept", "quotes", "text")
+
+
+def _run(n: Column, at: Column) -> Column:
+    """Key of the run of ``n`` lines from place ``at`` of the passage's ``blocks``: its first and last block of 2^k lines."""
+    k = F.floor(F.log2(n.cast("double")) + 1e-9).cast("int")
+    size = F.pow(F.lit(2.0), k).cast("int")
+    hashes = [F.get(F.get("blocks", place).getField("hashes"), k) for place in (at, at + n - size)]
+    return F.xxhash64(n, *hashes)
+
+
+def quoted_runs(passages: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Run keys of the quoted passages, and of the runs of own passages as long as some quoted one of the conversation; ``most`` lines at most."""
+    lengths = passages.filter("level > 0").select("conv_id", F.col("lines").alias("n")).distinct()
+    used = passages.join(lengths.groupBy("conv_id").agg(F.min("n").alias("least")), "conv_id").filter("level > 0 OR lines > least")
+    lines = used.select("_row", "conv_id", "turn", "passage", "level", "lines", "hash", F.posexplode("hashes").alias("at", "h0"))
+    in_order = Window.partitionBy("_row", "passage").orderBy("at")
+    levels = ["h0"]
+    while 1 << len(levels) <= most:
+        last = levels[-1]
+        next_ = F.lead(last, 1 << (len(levels) - 1)).over(in_order)
+        levels.append(f"h{len(levels)}")
+        lines = lines.withColumn(levels[-1], F.when(next_.isNotNull(), F.xxhash64(last, next_)))
+    block = F.array_sort(F.collect_list(F.struct("at", F.array(*levels).alias("hashes")))).alias("blocks")
+    passages = lines.groupBy("_row", "conv_id", "turn", "passage", "level", "lines", "hash").agg(block)
+    quoted = passages.filter("level > 0").select("conv_id", "turn", "level", "hash", _run(F.col("lines"), F.lit(0)).alias("run"))
+    own = passages.filter("level = 0").join(lengths, "conv_id").filter("n < lines")
+    places = own.select("conv_id", "turn", "n", "blocks", F.explode(F.sequence(F.lit(0), F.col("lines") - F.col("n"))).alias("place"))
+    return quoted, places.select("conv_id", "turn", _run(F.col("n"), F.col("place")).alias("run"))
 
 
 def link_quotations(messages: DataFrame, work: Workspace | None = None, parts: bool = False) -> DataFrame:
@@ -86,20 +110,22 @@ def link_quotations(messages: DataFrame, work: Workspace | None = None, parts: b
     """
     work = work or Workspace(messages.sparkSession)
     name = f"quotes-{uuid.uuid4().hex[:8]}"
-    rows, _ = work.write(f"{name}-parsed", parsed(messages.select("conv_id", "turn", "role", "text")).drop("text"))
-    named = rows.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
-    passages = named.select("conv_id", "turn", F.explode("passages").alias("p")).select("conv_id", "turn", "p.level", "p.hash")
-    quoted = passages.filter("level > 0").groupBy("conv_id", "turn", "level", "hash").agg(F.lit(1).alias("one")).drop("one")
-    originals = passages.filter("level = 0").select("conv_id", "turn", "hash")
-    if parts:
-        lengths = named.select(F.explode("passages").alias("p")).filter("p.level > 0").select("p.lines").distinct()
-        own = parsed(messages.select("conv_id", "turn", "text").filter("conv_id IS NOT NULL AND turn IS NOT NULL"), sorted(r.lines for r in lengths.collect()))
-        originals = originals.unionByName(own.select("conv_id", "turn", F.explode("runs").alias("hash")))
-    originals = originals.groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
-    originals, _ = work.write(f"{name}-originals", originals)
-    links = quoted.join(originals, ["conv_id", "hash"]).filter("original < turn")
+    keyed, _ = work.write(f"{name}-messages", messages.select(F.monotonically_increasing_id().alias("_row"), "conv_id", "turn", "role", "text"))
+    lines, _ = work.write(f"{name}-lines", message_lines(keyed))
+    rows = own_texts(keyed, lines)
+    named = lines.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    passages, _ = work.write(f"{name}-passages", message_passages(named))
+    quoted = passages.filter("level > 0").select("conv_id", "turn", "level", "hash").distinct()
+    originals = passages.filter("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("original"))
+    found = quoted.join(originals, ["conv_id", "hash"]).select(*quoted.columns, "original")
+    most = passages.filter("level > 0").agg(F.max("lines")).first()[0] if parts else None
+    if most:
+        asked, runs = quoted_runs(passages, most)
+        runs = runs.groupBy("conv_id", "run").agg(F.min("turn").alias("original"))
+        found = found.unionByName(asked.distinct().join(runs, ["conv_id", "run"]).select(*quoted.columns, "original"))
+    links = found.filter("original < turn").groupBy(*quoted.columns).agg(F.min("original").alias("original"))
     latest_outermost = F.max(F.struct(-F.col("level"), F.col("original")))
-    replies = links.groupBy("conv_id", "turn").agg(latest_outermost["original"].alias("reply_to"), F.countDistinct("level", "hash").alias("n_linked"))
+    replies = links.groupBy("conv_id", "turn").agg(latest_outermost["original"].alias("reply_to"), F.count(F.lit(1)).alias("n_linked"))
     replies, left = work.write(f"{name}-replies", replies)
 
     # Each round follows twice as many replies as the one before.
@@ -128,6 +154,5 @@ def link_quotations(messages: DataFrame, work: Workspace | None = None, parts: b
     placed = joined.withColumn("within", F.row_number().over(within) - 1)
     same = (placed["conv_id"] == starts["_conv"]) & placed["thread"].eqNullSafe(starts["_thread"]) & (placed["block"] == starts["_block"])
     placed = placed.join(starts, same).withColumn("position", F.col("before") + F.col("within")).select(placeless.columns)
-    quotes = F.size(F.filter("passages", lambda p: p["level"] > 0)).alias("n_quotes")
     linked = F.coalesce("n_linked", F.lit(0)).cast("int").alias("n_linked")
-    return placed.unionByName(placeless).select("conv_id", "turn", "role", F.col("own").alias("text"), quotes, linked, "reply_to", "thread", "position")
+    return placed.unionByName(placeless).select("conv_id", "turn", "role", F.col("own").alias("text"), "n_quotes", linked, "reply_to", "thread", "position")

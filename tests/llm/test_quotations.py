@@ -119,3 +119,66 @@ def test_quoted_lines_of_longer_passages_link(spark):
 
 def test_empty_table(spark):
     assert quotations.link_quotations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def plain_links(messages):
+    """Earliest original of each quoted passage by comparing all passages and runs of lines; reply and number of links."""
+
+    def passages(text):
+        found, last = [], None
+        for line in (text or "").split("\n"):
+            prefix = re.match(r"(?:[ \t]*>)+[ \t]?", line)
+            level, body = (prefix[0].count(">"), line[prefix.end() :]) if prefix else (0, line)
+            key = -1 if not body.strip(" ") else level
+            if key == last:
+                found[-1][1].append(body.lower())
+            else:
+                found.append((key, [body.lower()]))
+            last = key
+        return [p for p in found if p[0] >= 0]
+
+    expected = {}
+    for conv, turn, _, text, _ in messages:
+        links = {}
+        for level, body in passages(text):
+            if level:
+                earlier = [
+                    t for c, t, _, x, _ in messages if c == conv and t < turn
+                    for other, own in passages(x) if other == 0
+                    if own == body or any(own[k : k + len(body)] == body for k in range(len(own) - len(body) + 1))
+                ]
+                if earlier:
+                    links[level, " ".join(body)] = min(earlier)
+        expected[conv, turn] = (max(((-lv, t) for (lv, _), t in links.items()), default=(0, None))[1], len(links))
+    return expected
+
+
+def test_parts_agree_with_the_plain_version(spark):
+    draw = random.Random(9)
+    rows = []
+    for conv in range(4):
+        for turn in range(14):
+            lines = []
+            for _ in range(draw.randint(0, 4)):
+                prefix = draw.choice(["", "", "> ", ">> "])
+                lines += [prefix + f"Line {draw.choice('ab')}{draw.choice('cd')}" for _ in range(draw.randint(1, 7))] + [""] * draw.randint(0, 1)
+            rows.append((conv, turn, "user", "\n".join(lines), None))
+    found = quotations.link_quotations(spark.createDataFrame(rows, SCHEMA), parts=True).collect()
+    assert {(r.conv_id, r.turn): (r.reply_to, r.n_linked) for r in found} == plain_links(rows)
+
+
+def test_very_long_messages_and_equal_passages(spark):
+    long = [f"Line number {k % 9000}" for k in range(10_000)]
+    rows = [
+        (1, 0, "user", "\n".join(long), None),
+        (1, 1, "user", "\n".join(long), None),
+        (1, 2, "user", "\n".join("> " + x for x in long[500:5500]) + "\nYes.", None),
+        (1, 3, "user", "> " + long[77] + "\n\n> " + "\n> ".join(long[8990:9010]) + "\n\n> \n\nNo.", None),
+        (1, 4, "user", "> nothing\n" * 3, None),
+        (2, 0, "user", "", None),
+    ]
+    found = quotations.link_quotations(spark.createDataFrame(rows, SCHEMA), parts=True).collect()
+    assert {r.turn: (r.reply_to, r.n_linked, r.n_quotes) for r in found if r.conv_id == 1} == {
+        0: (None, 0, 0), 1: (None, 0, 0), 2: (0, 1, 1), 3: (0, 2, 2), 4: (None, 0, 1)
+    }
+    assert {r.turn: r.text for r in found if r.turn in (2, 3, 4)} == {2: "Yes.", 3: "No.", 4: ""}
