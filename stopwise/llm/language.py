@@ -19,6 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,7 @@ NGRAMS = (2, 3, 4)
 LEXICON_SHARE = 0.9
 LEXICON_COUNT = 5
 ITERATIONS = 60
+SEQUENCES_AT_A_TIME = 1024
 UNKNOWN = "und"
 
 SPANS = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType())]))
@@ -97,53 +99,58 @@ def _training_spans(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = split_words(part.column(1))
-                langs, spans = [], []
+                langs, spans, places = [], [], []
                 for lang, start, end in zip(part.column(0).to_pylist(), words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True):
                     starts = np.linspace(start, max(start, end - SPAN), min(SPANS_PER_TEXT, -(-(end - start) // SPAN))).astype(int)
                     for s in starts:
                         langs.append(lang)
                         spans.append([words.vocabulary[c] for c in words.codes[s : min(s + SPAN, end)]])
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(spans, pa.list_(pa.string()))], names=["lang", "words"])
+                        places.append(xxhash.xxh64_intdigest(" ".join(spans[-1])) >> 1)
+                columns = [pa.array(langs, pa.string()), pa.array(spans, pa.list_(pa.string())), pa.array(places, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "place"])
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, words array<string>")
+    return texts.select("lang", "text").mapInArrow(run, "lang string, words array<string>, place long")
 
 
 def _potentials(log: np.ndarray) -> np.ndarray:
     return np.exp(log - log.max(axis=-1, keepdims=True))
 
 
-def _spliced(spans: list[tuple[int, list[str]]]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Vocabulary, and codes and labels of sequences of SPAN words spliced from pieces of the spans."""
+def _spliced(labels: np.ndarray, offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and labels of sequences of SPAN words spliced from pieces of the spans, of which row ``i`` has ``codes[offsets[i]:offsets[i + 1]]``."""
     draw = np.random.default_rng(7)
     pieces = []
-    for label, words in spans:
-        at = 0
-        while at < len(words):
+    for label, at, end in zip(labels.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        while at < end:
             size = int(draw.integers(4, SPAN))
-            pieces.append((label, words[at : at + size]))
+            pieces.append((label, at, min(at + size, end)))
             at += size
-    flat, labels = [], []
-    for k in draw.permutation(len(pieces)):
-        label, words = pieces[k]
-        flat += words
-        labels += [label] * len(words)
-    spare = -len(flat) % SPAN
-    flat, labels = flat + flat[:spare], labels + labels[:spare]
-    while len(flat) % SPAN:  # fewer words than one sequence holds
-        flat, labels = (flat * SPAN)[:SPAN], (labels * SPAN)[:SPAN]
-    index = {w: k for k, w in enumerate(dict.fromkeys(flat))}
-    return list(index), np.array([index[w] for w in flat]).reshape(-1, SPAN), np.array(labels).reshape(-1, SPAN)
+    label, start, end = np.array(pieces, np.int64)[draw.permutation(len(pieces))].T
+    sizes = end - start
+    flat = codes[np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+    own = np.repeat(label, sizes).astype(np.int8)
+    # The last sequence is filled up from the beginning.
+    places = np.arange(-(-len(flat) // SPAN) * SPAN) % len(flat)
+    return flat[places].reshape(-1, SPAN), own[places].reshape(-1, SPAN)
 
 
 def fit(documents: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE) -> LanguageModel | None:
     """Model learned from ``text`` and non-null ``lang`` of the documents that aren't held out; None without any."""
     sample = bounded_sample(documents.filter(~held_out()).select("doc_id", "text", "lang"), "lang", texts_per_language, "language")
-    rows = [(r.lang, r.words) for r in _training_spans(sample).collect() if r.words]
-    if not rows:
+    spans = _training_spans(sample).toArrow()
+    spans = spans.filter(pc.greater(pc.list_value_length(spans.column("words")), 0))
+    if not spans.num_rows:
         return None
-    rows.sort()
-    languages = sorted({lang for lang, _ in rows})
-    vocabulary, codes, labels = _spliced([(languages.index(lang), words) for lang, words in rows])
+    # In an order of their own, so that no partitioning changes the model; each word once, and codes for the rest.
+    spans = spans.sort_by([("lang", "ascending"), ("place", "ascending")]).combine_chunks()
+    words = spans.column("words").combine_chunks()
+    encoded = words.flatten().dictionary_encode()
+    names = spans.column("lang").to_pylist()
+    languages = sorted(set(names))
+    offsets = words.offsets.to_numpy().astype(np.int64)
+    codes, labels = _spliced(np.array([languages.index(x) for x in names]), offsets - offsets[0], encoded.indices.to_numpy())
+    vocabulary = encoded.dictionary.to_pylist()
+    del spans, words, encoded
     size = len(languages)
     counts = np.zeros((len(vocabulary), size))
     np.add.at(counts, (codes.ravel(), labels.ravel()), 1)
@@ -157,45 +164,57 @@ def fit(documents: DataFrame, texts_per_language: int = TEXTS_PER_LANGUAGE) -> L
 
 
 def _train(model: LanguageModel, vocabulary: list[str], codes: np.ndarray, labels: np.ndarray) -> None:
-    """Conditional maximum likelihood by Adam over all sequences at a time."""
+    """Conditional maximum likelihood by Adam over all sequences, worked off in slices so that only the n-gram table grows with them."""
     size = len(model.languages)
-    word, bucket, share = _ngrams(vocabulary)
+    word, bucket, share = (x.astype(t) for x, t in zip(_ngrams(vocabulary), (np.int32, np.int32, np.float32), strict=True))
     lexicon = _lexicon_of(vocabulary, model.lexicon, model.lexicon_of, size)
-    truth = np.eye(size)[labels]
-    seen_steps = np.einsum("sti,stj->ij", truth[:, :-1], truth[:, 1:])
     parts = [model.ngrams, model.lexical, model.transitions]
     momentum = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
     for step in range(1, ITERATIONS + 1):
-        emissions = model.emissions(vocabulary)
-        node = _potentials(emissions)[codes]
+        sums = [np.bincount(word, model.ngrams[bucket, k] * share, len(vocabulary)) for k in range(size)]
+        node = _potentials(np.column_stack(sums) + model.lexical[lexicon])
         edge = _potentials(model.transitions.ravel()).reshape(size, size)
-        forward, backward = np.empty_like(node), np.empty_like(node)
-        forward[:, 0] = node[:, 0] / node[:, 0].sum(axis=1, keepdims=True)
-        for t in range(1, SPAN):
-            at = (forward[:, t - 1] @ edge) * node[:, t]
-            forward[:, t] = at / at.sum(axis=1, keepdims=True)
-        backward[:, -1] = 1
-        for t in range(SPAN - 2, -1, -1):
-            at = (node[:, t + 1] * backward[:, t + 1]) @ edge.T
-            backward[:, t] = at / at.sum(axis=1, keepdims=True)
-        marginal = forward * backward
-        marginal /= marginal.sum(axis=2, keepdims=True)
-        right = node[:, 1:] * backward[:, 1:]
-        weight = 1 / np.einsum("sti,ij,stj->st", forward[:, :-1], edge, right)
-        steps = np.einsum("st,sti,stj->ij", weight, forward[:, :-1], right) * edge
-        error = (truth - marginal).reshape(-1, size)
-        by_word = np.column_stack([np.bincount(codes.ravel(), error[:, k], len(vocabulary)) for k in range(size)])
+        by_word, by_edge = np.zeros((len(vocabulary), size)), np.zeros((size, size))
+        for at in range(0, len(codes), SEQUENCES_AT_A_TIME):
+            part = slice(at, at + SEQUENCES_AT_A_TIME)
+            errors, steps = _errors(node[codes[part]], edge, labels[part])
+            by_edge += steps
+            own = codes[part].ravel()
+            for k in range(size):
+                by_word[:, k] += np.bincount(own, errors[:, k], len(vocabulary))
         by_bucket = np.column_stack([np.bincount(bucket, by_word[word, k] * share, BUCKETS) for k in range(size)])
         by_lexicon = np.zeros_like(model.lexical)
         np.add.at(by_lexicon, lexicon, by_word)
         scale = codes.size
-        for part, (first, second), slope in zip(parts, momentum, (by_bucket, by_lexicon, seen_steps - steps), strict=True):
+        for part, (first, second), slope in zip(parts, momentum, (by_bucket, by_lexicon, by_edge), strict=True):
             slope = slope / scale - 1e-7 * part
             first += 0.1 * (slope - first)
             second += 0.01 * (slope * slope - second)
             part += 0.2 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
 
 
+def _errors(node: np.ndarray, edge: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels less marginals of each word, and seen less expected steps, of sequences of SPAN words."""
+    size = len(edge)
+    forward, backward = np.empty_like(node), np.empty_like(node)
+    forward[:, 0] = node[:, 0] / node[:, 0].sum(axis=1, keepdims=True)
+    for t in range(1, SPAN):
+        at = (forward[:, t - 1] @ edge) * node[:, t]
+        forward[:, t] = at / at.sum(axis=1, keepdims=True)
+    backward[:, -1] = 1
+    for t in range(SPAN - 2, -1, -1):
+        at = (node[:, t + 1] * backward[:, t + 1]) @ edge.T
+        backward[:, t] = at / at.sum(axis=1, keepdims=True)
+    marginal = forward * backward
+    marginal /= marginal.sum(axis=2, keepdims=True)
+    right = node[:, 1:] * backward[:, 1:]
+    weight = 1 / np.einsum("sti,ij,stj->st", forward[:, :-1], edge, right)
+    expected = np.einsum("st,sti,stj->ij", weight, forward[:, :-1], right) * edge
+    truth = np.eye(size)[labels]
+    seen = np.einsum("sti,stj->ij", truth[:, :-1], truth[:, 1:])
+    return (truth - marginal).reshape(-1, size), seen - expected
+
+
 def _posteriors(node: np.ndarray, edge: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Probability of each language for each word; step t of all texts with more than t words is one operation."""
     lengths = np.diff(offsets)
