@@ -334,13 +334,22 @@ def kolmogorov(name: str, keys: str, least: int, where: str) -> dict[str, str]:
               FROM (SELECT *, 1 AS t, 0 AS v FROM fx_train UNION ALL SELECT *, 0, 1 FROM fx_val)
               WHERE {where} GROUP BY ALL)
         WINDOW w AS (PARTITION BY {keys} ORDER BY delay)""",
+        f"{name}_groups": f"""
+        SELECT {keys}, nt::BIGINT AS nt, nv::BIGINT AS nv, max(abs(tu / nt::DOUBLE - vu / nv::DOUBLE)) AS statistic,
+               max(abs(tu * nv - vu * nt))::BIGINT AS gap
+        FROM {name}_steps WHERE nt >= {least} AND nv >= {least} GROUP BY ALL""",
+        # Share of the lattice paths to (i, s - i) that have reached the gap, diagonal by diagonal.
+        f"{name}_paths": f"""
+        SELECT DISTINCT nt, nv, gap, 0::BIGINT AS s, list_transform(range(0, nt + 1), lambda i: 0.0::DOUBLE) AS v FROM {name}_groups
+        UNION ALL
+        SELECT nt, nv, gap, s + 1, list_transform(range(0, nt + 1), lambda i:
+            CASE WHEN i > s + 1 OR s + 1 - i > nv THEN 0.0::DOUBLE
+                 WHEN abs(i * nv - (s + 1 - i) * nt) >= gap THEN 1.0::DOUBLE
+                 ELSE i / (s + 1)::DOUBLE * coalesce(v[i], 0.0) + (s + 1 - i) / (s + 1)::DOUBLE * v[i + 1] END)
+        FROM {name}_paths WHERE s < nt + nv""",
         name: f"""
-        SELECT *, statistic * sqrt(nt * nv / (nt + nv)) AS scaled,
-               CASE WHEN scaled < 0.1 THEN 1.0 ELSE greatest(0.0, least(1.0,
-                 2 * list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END
-                                                                 * exp(-2.0 * j * j * scaled * scaled))))) END AS p_value
-        FROM (SELECT {keys}, nt::DOUBLE AS nt, nv::DOUBLE AS nv, max(abs(tu / nt - vu / nv)) AS statistic
-              FROM {name}_steps WHERE nt >= {least} AND nv >= {least} GROUP BY ALL)""",
+        SELECT g.*, least(1.0, p.v[g.nt + 1]) AS p_value FROM {name}_groups g
+        JOIN {name}_paths p ON p.nt = g.nt AND p.nv = g.nv AND p.gap = g.gap AND p.s = g.nt + g.nv""",
     }
 
 
@@ -378,7 +387,7 @@ TABLES |= {
         WHERE stop_id <> to_stop_id
         QUALIFY row_number() OVER (PARTITION BY to_stop_id, arrival_s, stop_id, walked_s, on_foot ORDER BY dep_s DESC) = 1""",
 }
-RECURSIVE = {"fx_labels"}
+RECURSIVE = {"fx_ks_paths", "fx_ks4_paths", "fx_labels"}
 
 
 def _with(select: str) -> str:

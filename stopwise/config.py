@@ -23,6 +23,7 @@ RAIN_THRESHOLD = 2.5
 LOW_TEMPERATURE = 6
 MEDIUM_TEMPERATURE = 14
 MIN_SAMPLES = 30
+EXACT_SAMPLES = 10_000
 PERCENTILE_ACCURACY = 1000
 FALLBACK_RATE = 1.6
 GROUP_COLUMNS = ("stop_id", "hour", "rain", "temperature")

@@ -46,6 +46,30 @@ def kolmogorov_p_value(statistic: Column, n1: Column, n2: Column, terms: int = K
     return F.when(scaled < 0.1, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
+def exact_two_sample(n1: int, n2: int, gap: int) -> float:
+    """Probability that samples of ``n1`` and ``n2`` values of one distribution have a largest |i * n2 - j * n1| of ``gap`` or more.
+
+    All orders of the values are equally likely, so it is that of a lattice path from (0, 0) to (n1, n2) that touches
+    such a point. The share of paths to (i, j) that have touched one follows from those of (i - 1, j) and (i, j - 1); all terms are
+    positive, so small values keep their digits.
+    """
+    import numpy as np
+
+    if gap <= 0:
+        return 1.0
+    i = np.arange(n1 + 1)
+    touched = np.zeros(n1 + 1)
+    for s in range(1, n1 + n2 + 1):
+        low, high = max(0, s - n2), min(s, n1)
+        at = i[low : high + 1]
+        before = np.concatenate(([0.0], touched))[low : high + 1]
+        following = at / s * before + (s - at) / s * touched[low : high + 1]
+        following[np.abs(at * n2 - (s - at) * n1) >= gap] = 1.0
+        touched = np.zeros(n1 + 1)
+        touched[low : high + 1] = following
+    return float(min(touched[n1], 1.0))
+
+
 def error_bounds(probability: Column, error: Column, lengths: Column) -> Column:
     """Expected, lowest and highest product of ``n`` equal probabilities known up to ``error``."""
     return F.struct(

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stopwise.config import GROUP_COLUMNS, MIN_SAMPLES, VALUE_COLUMN
-from stopwise.functions.probability import error_bounds, kolmogorov_p_value
+from stopwise.config import EXACT_SAMPLES, GROUP_COLUMNS, MIN_SAMPLES, VALUE_COLUMN
+from stopwise.functions import probability
+from stopwise.functions.probability import error_bounds, exact_two_sample, kolmogorov_p_value
+
+# The exact test runs on the executors, which need no copy of the library.
+cloudpickle.register_pickle_by_value(probability)
 
 
 def split_by_date(history: DataFrame, first_validation_day) -> tuple[DataFrame, DataFrame]:
@@ -30,8 +36,12 @@ def ks_by_group(
     keys: Sequence[str] = GROUP_COLUMNS,
     value: str = VALUE_COLUMN,
     min_samples: int = MIN_SAMPLES,
+    exact_up_to: int = EXACT_SAMPLES,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and p-value of every group large enough in both samples."""
+    """Two-sample Kolmogorov-Smirnov statistic and p-value of every group large enough in both samples.
+
+    The p-value is exact where both samples have ``exact_up_to`` values at most, asymptotic otherwise.
+    """
     keys = list(keys)
     both = train.select(*keys, value, F.lit(1).alias("t"), F.lit(0).alias("v")).unionByName(
         validation.select(*keys, value, F.lit(0).alias("t"), F.lit(1).alias("v"))
@@ -47,9 +57,34 @@ def ks_by_group(
         F.sum("v").over(group).alias("n_validation"),
     ).filter((F.col("n_train") >= min_samples) & (F.col("n_validation") >= min_samples))
     gap = F.abs(F.col("t_upto") / F.col("n_train") - F.col("v_upto") / F.col("n_validation"))
-    tests = steps.groupBy(*keys, "n_train", "n_validation").agg(F.max(gap).alias("statistic"))
+    # Of whole numbers, as the exact test asks whether a path reaches the very same gap.
+    whole = F.abs(F.col("t_upto") * F.col("n_validation") - F.col("v_upto") * F.col("n_train"))
+    tests = steps.groupBy(*keys, "n_train", "n_validation").agg(F.max(gap).alias("statistic"), F.max(whole).alias("_gap"))
     p_value = kolmogorov_p_value(F.col("statistic"), F.col("n_train"), F.col("n_validation"))
-    return tests.withColumn("p_value", p_value)
+    small = F.greatest("n_train", "n_validation") <= exact_up_to
+    exact = _exact_p_value(F.when(small, F.col("n_train")), F.col("n_validation"), F.col("_gap"))
+    return tests.withColumn("p_value", F.coalesce(exact, p_value)).drop("_gap")
+
+
+def _exact_p_value(n_train: Column, n_validation: Column, gap: Column) -> Column:
+    """The exact p-value, a row per group; null where ``n_train`` is."""
+    compute = exact_two_sample
+
+    @F.pandas_udf("double")
+    def of_groups(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
+        known: dict[tuple, float] = {}
+        found = []
+        for key in zip(n1, n2, gap, strict=True):
+            if key[0] != key[0] or key[0] is None:
+                found.append(None)
+                continue
+            key = tuple(map(int, key))
+            if key not in known:
+                known[key] = compute(*key)
+            found.append(known[key])
+        return pd.Series(found, dtype="float64")
+
+    return of_groups(n_train, n_validation, gap)
 
 
 def drift_summary(tests: DataFrame, alpha: float = 0.05) -> DataFrame:

@@ -181,7 +181,9 @@ def test_ks_statistic(spark):
         return spark.createDataFrame([("A", x) for x in values], "stop_id string, delay bigint")
 
     row = v.ks_by_group(group([1, 2, 3, 4]), group([3, 4, 5, 6]), ["stop_id"], min_samples=4).first()
-    assert row.statistic == pytest.approx(0.5)
+    assert row.statistic == pytest.approx(0.5) and row.p_value == pytest.approx(54 / 70)
+    few = v.ks_by_group(group([1, 2, 3, 4]), group([3, 4, 5, 6]), ["stop_id"], min_samples=4, exact_up_to=3).first()
+    assert few.p_value == pytest.approx(0.6994, abs=1e-3)
     assert (row.n_train, row.n_validation) == (4, 4)
     assert v.ks_by_group(group([1, 2]), group([3, 4]), ["stop_id"], min_samples=3).count() == 0
 

@@ -1,3 +1,4 @@
+import itertools
 import datetime as dt
 import math
 
@@ -157,3 +158,22 @@ def test_kolmogorov_p_value_against_a_direct_sum(evaluate):
     value = evaluate(probability.kolmogorov_p_value(F.lit(0.3), F.lit(40), F.lit(50)))
     assert value == pytest.approx(direct)
     assert evaluate(probability.kolmogorov_p_value(F.lit(0.0), F.lit(40), F.lit(50))) == 1
+
+
+def test_exact_two_sample_against_all_orders():
+    for n1, n2 in ((1, 1), (2, 3), (4, 4), (3, 6), (5, 4)):
+        gaps = []
+        for places in itertools.combinations(range(n1 + n2), n1):
+            i = j = most = 0
+            for k in range(n1 + n2):
+                i, j = (i + 1, j) if k in places else (i, j + 1)
+                most = max(most, abs(i * n2 - j * n1))
+            gaps.append(most)
+        for gap in range(n1 * n2 + 2):
+            share = sum(g >= gap for g in gaps) / len(gaps)
+            assert probability.exact_two_sample(n1, n2, gap) == pytest.approx(share, abs=1e-14)
+    assert probability.exact_two_sample(5, 5, 25) == pytest.approx(2 / 252)
+    # Two tails of one path each; far below what one less a sum would leave.
+    assert probability.exact_two_sample(60, 60, 3600) == pytest.approx(2 / math.comb(120, 60), rel=1e-12)
+    # Near the leading term of the asymptotic series for large samples.
+    assert probability.exact_two_sample(1000, 900, 90_000) == pytest.approx(2 * math.exp(-2 * 0.01 * 1000 * 900 / 1900), rel=0.15)
