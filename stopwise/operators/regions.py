@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stopwise.config import SHAPE_LEVEL
-from stopwise.functions.geo import polygon_contains, ring_moments, sphere_distance
+from stopwise.functions.geo import ring_edges, ring_moments, sphere_distance
 from stopwise.sources.shapes import with_bounds
 
-CELL_DEGREES = 0.02
+#: Cells are 2^-level degrees wide, so that all their borders are exact numbers.
+COARSEST_LEVEL, FINEST_LEVEL = -5, 20
 SALTS = 8
 
 
@@ -20,34 +22,124 @@ def select_regions(polygons: DataFrame, region_ids: Sequence[str], level: str =
     return polygons.filter((F.col("level") == level) & F.trim("uuid").isin(*region_ids))
 
 
-def _cell(coordinate: str, cell: float) -> Column:
-    return F.floor(F.col(coordinate) / cell)
+def _cross(e: str, lon: str, lat: str) -> str:
+    return f"(({e}.b.lon - {e}.a.lon) * ({lat} - {e}.a.lat) - ({e}.b.lat - {e}.a.lat) * ({lon} - {e}.a.lon))"
 
 
-def stops_within(stops: DataFrame, polygons: DataFrame, cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """Rows of ``stops`` strictly inside any of the polygons.
+def _lies_east(e: str, lon: str, lat: str) -> str:
+    """The edge crosses the ray from the point to the east; half-open latitudes count a corner on the ray once."""
+    return f"""CASE
+        WHEN ({e}.a.lat <= {lat}) = ({e}.b.lat <= {lat}) OR greatest({e}.a.lon, {e}.b.lon) <= {lon} THEN false
+        WHEN least({e}.a.lon, {e}.b.lon) > {lon} THEN true
+        ELSE {_cross(e, lon, lat)} * sign({e}.b.lat - {e}.a.lat) > 0 END"""
 
-    Both sides meet on grid cells: a polygon is listed under every cell its bounding box touches, a
-    stop under its own cell. Stops of a cell are dealt over several salts, and the polygons repeated, so
-    that a crowded cell is shared between tasks. A semi join keeps a stop once however many polygons
-    hold it.
+
+def _lies_north(e: str, lon: str, lat: str) -> str:
+    """As ``_lies_east`` for the ray to the north. Of an edge through the point, the part just east of it counts."""
+    cross, eastward = _cross(e, lon, lat), f"sign({e}.b.lon - {e}.a.lon)"
+    return f"""CASE
+        WHEN ({e}.a.lon <= {lon}) = ({e}.b.lon <= {lon}) OR greatest({e}.a.lat, {e}.b.lat) <= {lat} THEN false
+        WHEN least({e}.a.lat, {e}.b.lat) > {lat} THEN true
+        WHEN {cross} = 0 THEN ({e}.b.lat - {e}.a.lat) * {eastward} > 0
+        ELSE {cross} * {eastward} < 0 END"""
+
+
+def _on_edge(e: str, lon: str, lat: str) -> str:
+    return f"""({lon} BETWEEN least({e}.a.lon, {e}.b.lon) AND greatest({e}.a.lon, {e}.b.lon)
+        AND {lat} BETWEEN least({e}.a.lat, {e}.b.lat) AND greatest({e}.a.lat, {e}.b.lat) AND {_cross(e, lon, lat)} = 0)"""
+
+
+def _cell_contains(lon: str, lat: str) -> Column:
+    """True for a point of a cell strictly inside the cell's polygon, from the edges that come into the cell alone.
+
+    ``corner`` is 1 if the cell's corner at ``(west, south)`` is inside. From there one goes up the western side and then east
+    to the point; each edge met on the way changes sides. Further edges in the list do no harm: they are on the same side of
+    both ends of each way.
+    """
+    up = f"size(filter(edges, e -> ({_lies_north('e', 'west', 'south')}) != ({_lies_north('e', 'west', lat)})))"
+    along = f"size(filter(edges, e -> ({_lies_east('e', 'west', lat)}) != ({_lies_east('e', lon, lat)})))"
+    return F.expr(f"NOT exists(edges, e -> {_on_edge('e', lon, lat)}) AND (corner + {up} + {along}) % 2 = 1")
+
+
+def _levelled(polygons: DataFrame) -> DataFrame:
+    """Rings, edges and level of each polygon: about as many cells along an axis as the root of its edges."""
+    edges = F.flatten(F.transform("rings", ring_edges)).alias("edges")
+    bounded = with_bounds(polygons.select("rings", edges)).filter("size(edges) > 0")
+    extent = "nullif(greatest(max_lon - min_lon, max_lat - min_lat), 0D)"
+    fitting = f"coalesce(floor(log2(sqrt(size(edges)) / {extent})), {FINEST_LEVEL})"
+    level = f"cast(greatest({COARSEST_LEVEL}, least({FINEST_LEVEL}, {fitting})) AS int)"
+    return bounded.selectExpr("rings", "edges", f"{level} AS level")
+
+
+def region_cells(polygons: DataFrame) -> DataFrame:
+    """Cells ``(level, cell_x, cell_y, corner, edges)`` that cover the polygons, each polygon on the level of its own size.
+
+    Cells of a level are 2^-level degrees wide. A cell on the border of a polygon has the edges that come into it, and
+    ``corner`` tells if its south-western corner is inside. A cell with no edges lies inside as a whole; cells outside have no
+    row, and a polygon given twice counts once. A polygon of n edges has about (sqrt(n) + 2)^2 cells at most.
+
+    Edges are dealt over the rows of cells they cross. Where an edge crosses the southern border of a row, all corners west of
+    it change sides, so that a running count from east to west tells the corners' sides and those of the cells between.
+    """
+    shapes = _levelled(polygons).withColumn("shape", F.sha2(F.to_json("rings"), 256)).drop("rings").dropDuplicates(["shape"])
+    rows = shapes.selectExpr("shape", "level", "pow(2D, level) AS scale", "explode(edges) AS e").selectExpr(
+        "*", "explode(sequence(floor(least(e.a.lat, e.b.lat) * scale), floor(greatest(e.a.lat, e.b.lat) * scale))) AS cell_y"
+    )
+
+    def lon_at(lat: str) -> str:
+        return f"(e.a.lon + ({lat} - e.a.lat) / nullif(e.b.lat - e.a.lat, 0D) * (e.b.lon - e.a.lon))"
+
+    def east_of(cell: str) -> str:
+        return _lies_east("e", f"(({cell}) / scale)", "(cell_y / scale)")
+
+    rows = rows.selectExpr(
+        "shape", "level", "scale", "e", "cell_y", f"floor({lon_at('cell_y / scale')} * scale) AS near_x",
+        f"{lon_at('greatest(least(e.a.lat, e.b.lat), cell_y / scale)')} AS one_lon",
+        f"{lon_at('least(greatest(e.a.lat, e.b.lat), (cell_y + 1) / scale)')} AS other_lon",
+    )
+    # Horizontal edges have no such longitudes; least and greatest pass over nulls. A millionth of a cell more on both sides
+    # outweighs rounding. The crossing is in the easternmost cell whose south-western
+    # corner the edge lies east of, if it crosses the row's southern border at all.
+    reached = rows.selectExpr(
+        "shape", "level", "e", "cell_y",
+        "floor(greatest(least(one_lon, other_lon) - 1e-6D / scale, least(e.a.lon, e.b.lon)) * scale) AS low_x",
+        "floor(least(greatest(one_lon, other_lon) + 1e-6D / scale, greatest(e.a.lon, e.b.lon)) * scale) AS high_x",
+        f"""CASE WHEN {east_of('near_x + 1')} THEN near_x + 1 WHEN {east_of('near_x')} THEN near_x
+            WHEN {east_of('near_x - 1')} THEN near_x - 1 END AS crossing_x""",
+    )
+    touched = reached.selectExpr(
+        "shape", "level", "cell_y", "e", "crossing_x", "explode(sequence(least(low_x, crossing_x), greatest(high_x, crossing_x))) AS cell_x"
+    )
+    cells = touched.groupBy("shape", "level", "cell_y", "cell_x").agg(
+        F.count_if(F.col("crossing_x") == F.col("cell_x")).alias("crossings"), F.collect_list("e").alias("edges")
+    )
+    westward = Window.partitionBy("shape", "level", "cell_y").orderBy(F.desc("cell_x"))
+    changed = F.sum("crossings").over(westward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sided = cells.withColumns({"corner": changed % 2, "west_x": F.lead("cell_x").over(westward)})
+    between = "if(corner = 1 AND cell_x - west_x > 1, sequence(west_x + 1, cell_x - 1), array())"
+    whole = f"transform({between}, x -> struct(x AS cell_x, slice(edges, 1, 0) AS edges))"
+    found = sided.selectExpr("level", "cell_y", "corner", f"inline(concat(array(struct(cell_x, edges)), {whole}))")
+    return found.select("level", "cell_x", "cell_y", "corner", "edges")
+
+
+def stops_within(stops: DataFrame, polygons: DataFrame) -> DataFrame:
+    """Rows of ``stops`` strictly inside any of the polygons; stops without a place are in none.
+
+    Each place counts once, however many rows of ``stops`` have it, and meets the cells that hold it, on each level that
+    some polygon has. Places of a cell are dealt over several salts, and the cells repeated, so that a crowded cell
+    is shared between tasks. A semi join keeps a stop once however many polygons hold it.
     """
-    gridded = stops.withColumns(
-        {
-            "cell_x": _cell("stop_lon", cell_degrees),
-            "cell_y": _cell("stop_lat", cell_degrees),
-            "salt": F.pmod(F.xxhash64("stop_id"), F.lit(SALTS)).cast("int"),
-        }
+    levels = _levelled(polygons).agg(F.collect_set("level")).scalar()
+    places = stops.select("stop_lon", "stop_lat").distinct().withColumn("level", F.explode(levels))
+    gridded = places.selectExpr(
+        "*", "floor(stop_lon * pow(2D, level)) AS cell_x", "floor(stop_lat * pow(2D, level)) AS cell_y",
+        f"pmod(xxhash64(stop_lon, stop_lat), {SALTS}) AS salt",
+    )
+    cells = region_cells(polygons).selectExpr(
+        "*", "cell_x / pow(2D, level) AS west", "cell_y / pow(2D, level) AS south", f"explode(sequence(0L, {SALTS - 1}L)) AS salt"
     )
-    cells = with_bounds(polygons)
-    for axis, low, high in (("cell_x", "min_lon", "max_lon"), ("cell_y", "min_lat", "max_lat")):
-        touched = F.sequence(_cell(low, cell_degrees), _cell(high, cell_degrees))
-        cells = cells.withColumn(axis, F.explode(touched))
-    cells = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    left, right = gridded.alias("s"), cells.alias("p")
-    same_cell = [F.col(f"s.{k}") == F.col(f"p.{k}") for k in ("cell_x", "cell_y", "salt")]
-    inside = polygon_contains(F.col("p.rings"), F.col("s.stop_lon"), F.col("s.stop_lat"))
-    return left.join(right, [*same_cell, inside], "left_semi").select(*stops.columns)
+    inside = gridded.join(cells, ["level", "cell_x", "cell_y", "salt"]).filter(_cell_contains("stop_lon", "stop_lat"))
+    return stops.join(inside.select("stop_lon", "stop_lat"), ["stop_lon", "stop_lat"], "left_semi").select(*stops.columns)
 
 
 def region_centroid(polygons: DataFrame) -> DataFrame:

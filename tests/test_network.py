@@ -162,6 +162,63 @@ def test_stops_within_against_brute_force(spark):
     assert sorted(found) == sorted(inside) and len(inside) > 10
 
 
+def plainly_inside(rings, x, y):
+    """Even-odd rule over whole rings; points on an edge are outside."""
+    odd = False
+    for points in rings:
+        for (ax, ay), (bx, by) in zip(points, points[1:]):
+            cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+            if cross == 0 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                return False
+            if ay <= y < by and cross > 0 or by <= y < ay and cross < 0:
+                odd = not odd
+    return odd
+
+
+def star(rng, x, y, size, corners, snap=None):
+    turns = sorted(rng.random() * 2 * math.pi for _ in range(corners))
+    points = [(x + math.cos(t) * size * r, y + math.sin(t) * size * r) for t, r in ((t, rng.uniform(0.3, 1)) for t in turns)]
+    if snap:
+        points = [(round(a * snap) / snap, round(b * snap) / snap) for a, b in points]
+    return [*points, points[0]]
+
+
+@pytest.mark.parametrize("snap", [None, 8])
+def test_cells_against_the_even_odd_rule(spark, snap):
+    # With ``snap`` corners and places lie on the borders of cells, on edges and on corners of the polygons.
+    rng = random.Random(snap or 0)
+    shapes = []
+    for _ in range(14):
+        x, y, size = rng.uniform(-6, 6), rng.uniform(-6, 6), rng.choice([0.3, 1, 5])
+        shapes.append([star(rng, x, y, size, rng.choice([3, 9, 120]), snap), star(rng, x, y, size * 0.3, 5, snap)])
+    shapes.append(shapes[0])
+    draw = (lambda: rng.randrange(-56, 57) / 8) if snap else (lambda: rng.uniform(-7, 7))
+    places = [(draw(), draw()) for _ in range(1500)]
+    corners = [p for rings in shapes for points in rings for p in points][::3]
+    rows = [(f"S{i}", "s", *p, None) for i, p in enumerate(places + corners + places[:50])] + [("none", "s", None, None, None)]
+    polygons = spark.createDataFrame([("A", "district", [ring(*points) for points in rings]) for rings in shapes], POLYGONS)
+    found = sorted(x.stop_id for x in r.stops_within(spark.createDataFrame(rows, STOPS), polygons).collect())
+    expected = sorted(k for k, _, x, y, _ in rows if x is not None and any(plainly_inside(rings, x, y) for rings in shapes))
+    assert found == expected and 200 < len(expected) < 1500
+
+
+def test_few_cells_cover_large_and_detailed_polygons(spark):
+    box = spark.createDataFrame([("A", "district", [square(3.3, 40.1, 10)])], POLYGONS)
+    cells = r.region_cells(box).collect()
+    assert len(cells) <= 16 and all(c.edges for c in cells)
+    rng = random.Random(3)
+    detailed = star(rng, 5, 45, 5, 4000)
+    cells = r.region_cells(spark.createDataFrame([("A", "district", [ring(*detailed)])], POLYGONS)).collect()
+    assert len(cells) <= (4000**0.5 + 2) ** 2 and any(not c.edges for c in cells)
+
+
+def test_no_polygons_hold_no_stops(spark):
+    stops = spark.createDataFrame([("A", "a", 0.0, 0.0, None)], STOPS)
+    assert r.stops_within(stops, spark.createDataFrame([], POLYGONS)).count() == 0
+    empty = spark.createDataFrame([("A", "district", []), ("B", "district", [[]])], POLYGONS)
+    assert r.stops_within(stops, empty).count() == 0
+
+
 def test_closest_site_breaks_ties_by_name(spark):
     stations = spark.createDataFrame(
         [("B", 1.0, 0.0, True), ("A", -1.0, 0.0, True), ("C", 0.0, 0.0, False), ("D", None, 0.0, True)],
