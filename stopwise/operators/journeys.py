@@ -25,6 +25,8 @@ from stopwise.config import TIME_BUCKET_S, TRANSFER_TIME_S, WALKING, WALKING_SPE
 from stopwise.operators.network import ride_runs
 from stopwise.sources.workspace import Workspace
 
+#: Labels of one search and stop that are compared at once before the rest is.
+FOLD_ROWS = 512
 SEARCH_KEY = ("to_stop_id", "arrival_s", "max_walk_m")
 LEG = (
     "struct<kind: string, trip_id: string, from_stop_id: string, to_stop_id: string, "
@@ -251,16 +253,28 @@ def undominated(candidates: DataFrame, known: DataFrame) -> DataFrame:
     return labels.filter(F.col("fresh") & ~F.coalesce(dominated, F.lit(False))).select(*candidates.columns)
 
 
-def dominated_by_fewer_branches(candidates: DataFrame, known: DataFrame, width: int) -> DataFrame:
+def dominated_by_fewer_branches(candidates: DataFrame, known: DataFrame, width: int, rows: int | None = None) -> DataFrame:
     """Candidates that labels of fewer than their search's ``width`` branches dominate.
 
     Candidates of one parent are branches of their own, so a first limit per parent leaves at most
-    ``width`` of a kind. The rest of a search's labels at a stop are then folded in an order in which
-    a label comes after all that dominate it, comparing it with the labels kept.
+    ``width`` of a kind. The labels of a search at a stop are then folded in parts of about ``rows`` labels, and
+    what is left of the parts together. A label that a part drops would be dropped in the whole: where one of
+    its dominators goes later, that one's own dominators are in its branch or in as many branches by themselves.
     """
     candidates = latest_of_kind(candidates, width, ["parent_id"])
+    return _folded(_folded(candidates, known, rows or FOLD_ROWS), known, None)
+
+
+def _folded(candidates: DataFrame, known: DataFrame, rows: int | None) -> DataFrame:
+    """Candidates left when the labels of each search and stop are compared, in hashed parts of ``rows`` or all at once.
+
+    Labels come in an order in which each follows all that dominate it, and are compared with the labels kept.
+    """
+    spot = Window.partitionBy(*_spot())
+    parts = F.ceil(F.count(F.lit(1)).over(spot) / rows) if rows else F.lit(1).cast("long")
+    labels = _with_known(candidates, known).withColumn("part", F.pmod(F.xxhash64("label_id"), parts))
     criteria = ("walked_s", "dep_s", "ride_by_s", "fresh", "transfers", "label_id", "path")
-    group = ("search_id", "stop_id", "width")
+    group = ("search_id", "stop_id", "width", "part")
     carried = [c for c in candidates.columns if c not in criteria and c not in group]
     label = F.struct(
         "walked_s",
@@ -272,7 +286,7 @@ def dominated_by_fewer_branches(candidates: DataFrame, known: DataFrame, width:
         F.when(F.col("fresh"), F.array_append("path", F.col("label_id"))).otherwise(F.col("path")).alias("path"),
         *carried,
     )
-    grouped = _with_known(candidates, known).groupBy(*group).agg(
+    grouped = labels.groupBy(*group).agg(
         F.array_sort(F.collect_list(label)).alias("labels"), F.max("fresh").alias("any_fresh")
     )
 

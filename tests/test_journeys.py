@@ -166,6 +166,19 @@ def test_search_against_enumeration(spark, seed, stops, lines):
             assert pruned[q[0]] == best
 
 
+def test_folding_in_parts_keeps_the_same_journeys(spark, monkeypatch):
+    monkeypatch.setattr(j, "FOLD_ROWS", 2)
+    names, trips, walks = random_network(1)
+    queries = [query(i, s, d, 3600) for i, (s, d) in enumerate((s, d) for s in names for d in names if s != d)]
+    found = defaultdict(list)
+    for r in find(spark, queries, trips, walks, max_legs=4):
+        found[r.query_id].append(r.cost)
+    for d in names:
+        every = enumerate_journeys(trips, walks, d, 3600, 600, 4)
+        for q in (q for q in queries if q[2] == d):
+            assert found[q[0]] == sorted(3600 - dep for dep, _ in every[q[1]])[:3]
+
+
 def test_one_journey_a_query_against_enumeration(spark):
     names, trips, walks = random_network(8, 9, 70)
     queries = [query(i, s, d, 3600, k=1) for i, (s, d) in enumerate((s, d) for s in names for d in names if s != d)]
