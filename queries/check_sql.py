@@ -446,6 +446,11 @@ SELECTS = {
                round(rain, 6) AS rain, temperature FROM fx_joined""",
     "closest_site": "SELECT site, round(metres, 3) AS distance FROM fx_site",
     "region_centroid": "SELECT round(lon, 6) AS lon, round(lat, 6) AS lat FROM fx_centroid",
+    "weather_json": """
+        SELECT CASE WHEN document % 7 <> 3 THEN site END AS site, document % 7 = 3 AS malformed, count(*) AS documents,
+               sum(CASE WHEN document % 7 <> 3 THEN n ELSE 0 END)::BIGINT AS observations
+        FROM (SELECT 'Site' || (user_id % 3) AS site, event_id // 64 AS document, count(*) AS n FROM events GROUP BY ALL)
+        GROUP BY ALL""",
     "weather_hourly": "SELECT year, month, dayofmonth, hour, round(rain, 6) AS rain, temperature FROM fx_weather",
     "group_counts": f"SELECT {KEYS}, count(*) AS sample_size FROM fx_history GROUP BY ALL HAVING count(*) >= 3",
     "delay_percentiles": """

@@ -26,6 +26,7 @@ from stopwise.operators.latest import latest_departures
 from stopwise.plans import delay_model, journey_plan
 from stopwise.plans.travel_network import build_timetable
 from stopwise.sources.shapes import with_bounds
+from stopwise.sources.tables import read_weather_documents
 from stopwise.sources.workspace import Workspace
 
 Query = Callable[[Transport], DataFrame]
@@ -229,6 +230,19 @@ def weather_hourly(t: Transport) -> DataFrame:
     return _weather(t).withColumn("rain", F.round("rain", 6))
 
 
+@register
+def weather_json(t: Transport) -> DataFrame:
+    """Weather documents written one a line, every seventh without its last character, and read back."""
+    text = F.to_json(F.struct("site", "observations"))
+    cut = F.when(F.col("document") % 7 == 3, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    path = f"{Workspace(t.spark).root}/weather"
+    t.weather_documents.select(cut.alias("value")).write.text(path)
+    read = read_weather_documents(t.spark, path, one_per_line=True)
+    return read.groupBy("site", F.col("malformed").isNotNull().alias("malformed")).agg(
+        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("observations")), F.lit(0)).cast("long").alias("observations")
+    )
+
+
 def _history_weather(t: Transport) -> DataFrame:
     stops = delay_model.region_stops(t.stops, t.regions)
     return history.add_weather(history.arrival_history(t.arrivals, stops, period=PERIOD), _weather(t))

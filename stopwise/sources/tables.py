@@ -7,6 +7,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopwise.sources import schemas
 
@@ -60,9 +61,24 @@ def weather_stations(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_weather_history(spark: SparkSession, path: str) -> DataFrame:
-    """JSON weather documents, each a site with an array of observations."""
-    return spark.read.schema(schemas.WEATHER_HISTORY).option("multiLine", True).json(path)
+def read_weather_documents(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """JSON weather documents with the text of what could not be read in ``malformed``, null for good rows.
+
+    A file is one document or an array of them; with ``one_per_line`` each line is, and large files are split
+    between tasks. Malformed texts have a row of their own without site and observations; blank ones have none.
+    """
+    document = T.StructType.fromDDL(schemas.WEATHER_HISTORY).simpleString()
+    texts = spark.read.text(path, wholetext=not one_per_line).filter("trim(BOTH ' \t\r\n' FROM value) != ''")
+    parsed = texts.withColumn("documents", F.from_json("value", f"array<{document}>"))
+    malformed = F.when(F.col("documents").isNull(), F.col("value")).alias("malformed")
+    one = F.when(F.col("documents").isNull(), F.array(F.lit(None).cast(document)))
+    rows = parsed.select(malformed, F.explode(F.coalesce(one, "documents")).alias("d"))
+    return rows.select("d.site", "d.observations", "malformed")
+
+
+def read_weather_history(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """JSON weather documents that can be read, each a site with an array of observations."""
+    return read_weather_documents(spark, path, one_per_line).filter("malformed IS NULL").drop("malformed")
 
 
 def write_distributions(distributions: DataFrame, path: str) -> None:

@@ -29,6 +29,15 @@ def test_weather_history_from_json(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("A", 1704067200, 0.5, 3), ("A", 1704070800, None, None)]
 
 
+def test_malformed_and_line_wise_weather(spark, tmp_path):
+    lines = ['{"site": "A", "observations": []}', '{"site": "B", "observations": [{"temp": 3}', " ", '{"site": null}', '[{"site": "C"}, {"site": "D"}]']
+    (tmp_path / "lines.json").write_text("\n".join(lines))
+    rows = tables.read_weather_documents(spark, str(tmp_path), one_per_line=True).collect()
+    assert sorted((r.site or "") for r in rows if not r.malformed) == ["", "A", "C", "D"]
+    assert [r.malformed for r in rows if r.malformed] == [lines[1]]
+    assert tables.read_weather_history(spark, str(tmp_path), one_per_line=True).count() == 4
+
+
 def test_model_round_trip(spark, tmp_path):
     model = spark.createDataFrame([("A", 8, False, "low", [0] * 101, 30, 0)], "stop_id string, hour int, rain boolean, temperature string, percentiles array<bigint>, sample_size bigint, level int")
     path = str(tmp_path / "model")
