@@ -10,8 +10,11 @@ Every document's set of distinct shingles is hashed once; its ``K`` smallest val
 3. In each list, classes of like size are first compared with the smallest one. What is linked then
    needs no further comparison with its own component: pairs are made only across components.
 4. A pair passes if the sketch of its union, the smallest values of both, holds enough common values,
-   and is confirmed on the full sets. Pairs across components are held against a sign sketch, which costs next to nothing, and a wider sketch
-   while they are made, so that only few of a large group of half-like documents become rows.
+   and is confirmed on the full sets. Pairs across components are held against a parity sketch while
+   they are made, so that hardly a pair of a large group of half-like documents becomes a row: ``PARITY_BITS``
+   bits, each the parity of the number of values that fall on it. Where two sketches differ, the sets
+   differ in at least one value, so as many differing bits as a link may have differing values
+   lose no link, whatever the hash. Large sets, which fill such a sketch, are held against wider bottom-k sketches instead.
 5. Links become components. All groups are joined by keys that Spark can split; no list, group or
    component is gathered in one task or on the driver.
 
@@ -46,11 +49,10 @@ K = 32
 WIDE = 192
 #: Common values of two wide sketches' union that links have at least: five standard deviations below 0.8 WIDE.
 WIDE_OVERLAP = 125
-#: Bits of the sign sketch (SimHash) that two linked sets of more than SMALL_SIGNS shingles differ in, at most:
-#: five standard deviations above those at Jaccard similarity 0.8.
-SIGN_WORDS = 4
-MOST_SIGNS = 68
-SMALL_SIGNS = 9
+#: Bits of the parity sketch; sets of ``LARGE`` values or more have a wide sketch too, and a pair of such sets must pass both.
+PARITY_BITS = 1024
+PARITY_WORDS = PARITY_BITS // 64
+LARGE = 1000
 #: Common values that two linked sets' sketches have at least, when both sets have more than ``SMALL`` shingles.
 OVERLAP = 14
 #: Sets up to this size are compared whole by their sketches, as are the sets they can be linked with.
@@ -76,13 +78,10 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def _signs(values: np.ndarray) -> np.ndarray:
-    """Sign sketch: each bit is the majority of that bit in one hash of all values."""
-    words = []
-    for k in range(SIGN_WORDS):
-        bits = np.unpackbits(mix(values ^ np.uint64(0xA0761D6478BD642F + k)).view(np.uint8).reshape(-1, 8), axis=1)
-        words.append(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(values)).view(np.int64)[0])
-    return np.array(words, np.int64)
+def _parities(values: np.ndarray) -> np.ndarray:
+    """Parity sketch: each bit tells whether an odd number of values falls on it."""
+    places = (mix(values ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -96,24 +95,24 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _sketches(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``n``, two fingerprints of the set, its sketch, its wide sketch and its sign sketch."""
+    """``doc_id``, ``n``, two fingerprints of the set, its sketch, the wide one of a large set and the parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                n, one, two, sketch, wide, signs = [], [], [], [], [], []
+                n, one, two, sketch, wide, parities = [], [], [], [], [], []
                 with np.errstate(over="ignore"):
                     for values in shingle_sets(split_words(part.column(1), pc.ascii_lower), size):
                         n.append(len(values))
                         one.append(values.sum(dtype=np.uint64).view(np.int64))
                         two.append(mix(values ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64))
                         sketch.append(_signed(values[:K]))
-                        wide.append(_signed(values[:WIDE]) >> 32)
-                        signs.append(_signs(values) if len(values) > SMALL_SIGNS else np.zeros(SIGN_WORDS, np.int64))
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch), _lists(wide).cast(pa.list_(pa.int32())), _lists(signs)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch", "wide", "signs"])
+                        wide.append(_signed(values[: WIDE if len(values) >= LARGE else 0]) >> 32)
+                        parities.append(_parities(values))
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), _lists(sketch), _lists(wide).cast(pa.list_(pa.int32())), _lists(parities)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "one", "two", "sketch", "wide", "parities"])
 
-    schema = "doc_id long, n long, one long, two long, sketch array<long>, wide array<int>, signs array<long>"
+    schema = "doc_id long, n long, one long, two long, sketch array<long>, wide array<int>, parities array<long>"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -196,7 +195,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
     smallest, _ = work.write(f"{name}-smallest", filled.groupBy("one", "two", "n").agg(F.min("doc_id").alias("id")))
     firsts = filled.join(smallest.withColumnRenamed("id", "doc_id"), ["doc_id", "one", "two", "n"], "left_semi")
-    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide", "signs"))
+    classes, _ = work.write(f"{name}-classes", firsts.dropDuplicates(["doc_id", "one", "two"]).select(F.col("doc_id").alias("id"), "n", "sketch", "wide", "parities"))
     postings, _ = work.write(f"{name}-postings", _postings(classes))
 
     band = _band().alias("band")
@@ -209,23 +208,24 @@ def near_duplicates(documents: DataFrame, size: int = 5, work: Workspace | None
     placed, _ = work.write(f"{name}-placed", placed)
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("value")
     mixed, _ = work.write(f"{name}-mixed", mixed)
-    across = placed.join(mixed, "value").join(classes.select("id", "sketch", "wide", "signs"), "id")
-    across, _ = work.write(f"{name}-across", across)
+    words = [F.get("parities", F.lit(k)).alias(f"parity_{k}") for k in range(PARITY_WORDS)]
+    held = classes.select("id", _band().alias("band"), "wide", *words)
+    across, _ = work.write(f"{name}-across", placed.join(mixed, "value").join(held, "id"))
     # Sets of linked documents are at most one size band apart.
-    near_bands = F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1))))
-    banded = across.withColumn("band", _band())
-    one, two = banded.alias("one"), banded.withColumn("band", near_bands).alias("two")
+    one = across.withColumn("met", F.col("band")).alias("one")
+    two = across.withColumn("met", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("two")
 
     def of(column: str) -> tuple[Column, Column]:
         return F.col(f"one.{column}"), F.col(f"two.{column}")
 
-    apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.band") == F.col("two.band")) & (F.col("one.id") < F.col("two.id")) & (F.col("one.component") != F.col("two.component"))
-    unlike = sum((F.bit_count(F.get("one.signs", F.lit(k)).bitwiseXOR(F.get("two.signs", F.lit(k)))) for k in range(SIGN_WORDS)), F.lit(0))
-    apart = apart & _like_sizes(*of("n")) & ((F.least(*of("n")) <= SMALL_SIGNS) | (unlike <= MOST_SIGNS))
-    apart = apart & (F.size(F.array_intersect(*of("sketch"))) >= F.least(*of("n"), F.lit(OVERLAP)) * 0.8)
-    apart = apart & _likely(*of("wide"), *of("n"), WIDE, WIDE_OVERLAP)
-    pairs = one.join(two, apart).select(F.col("one.id").alias("a"), F.col("two.id").alias("b")).distinct()
-    more = _confirmed(work, f"{name}-second", pairs.join(links, ["a", "b"], "left_anti"), classes, documents, size)
+    apart = (F.col("one.value") == F.col("two.value")) & (F.col("one.met") == F.col("two.met")) & (F.col("one.component") != F.col("two.component"))
+    apart = apart & ((F.col("one.band") < F.col("two.band")) | (F.col("one.id") < F.col("two.id"))) & _like_sizes(*of("n"))
+    # A link's sets differ in (100 - PERCENT) / (100 + PERCENT) of all their values at most.
+    unlike = sum((F.bit_count(first.bitwiseXOR(second)) for first, second in (of(f"parity_{k}") for k in range(PARITY_WORDS))), F.lit(0))
+    apart = apart & ((100 + PERCENT) * unlike <= (100 - PERCENT) * sum(of("n")))
+    apart = apart & ((F.least(*of("n")) < LARGE) | _likely(*of("wide"), *of("n"), WIDE, WIDE_OVERLAP))
+    pairs = one.join(two, apart).select(F.least(*of("id")).alias("a"), F.greatest(*of("id")).alias("b")).distinct()
+    more = _confirmed(work, f"{name}-second", pairs, classes, documents, size)
     links = links.unionByName(more)
     joined = connected_components(work, f"{name}-all", links)
 

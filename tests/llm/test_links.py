@@ -90,6 +90,17 @@ def test_a_large_group_of_copies_and_half_copies(spark):
     assert {r.doc_id: r.component_id for r in found} == plain_duplicates(rows, 4)[1]
 
 
+def test_parity_sketches_lose_no_link():
+    draw = np.random.default_rng(3)
+    for size in (1, 30, 300, 3000):
+        values = draw.integers(0, 2**63, size * 2, dtype=np.uint64)
+        for changed in (0, 1, size // 9, size):
+            one, two = values[:size], values[changed : size + changed]
+            unlike = near_duplicates._parities(one) ^ near_duplicates._parities(two)
+            assert sum(int(w).bit_count() for w in unlike.view(np.uint64)) <= len(np.setxor1d(one, two))
+    assert not near_duplicates._parities(values[:0]).any()
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (2, "A b c d e f g"), (3, None)]
     found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
