@@ -39,13 +39,18 @@ def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, once; rows without doc_id all stay."""
+    """One row of each group, the one with the smallest doc_id, rows without one last; each row is judged by its own text.
+
+    Rows that share a doc_id are different documents unless their texts are alike; rows without words all stay.
+    """
     renamed, restored = _unclashing(docs)
-    found = near_duplicates.near_duplicates(renamed)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    unnamed = renamed.filter("doc_id IS NULL")
-    once = renamed.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return restored(once.unionByName(unnamed))
+    work = Workspace(spark)
+    keyed, _ = work.write("keyed", renamed.withColumn("_row", F.monotonically_increasing_id()))
+    found = near_duplicates.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    placed = found.select(F.col("doc_id").alias("_row"), "component_id").join(keyed.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    kept, _ = work.write("kept", placed.groupBy("component_id").agg(first).select("first._row"))
+    return restored(keyed.join(kept, "_row", "left_semi"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Rows of the decontamination stage with no doc_id or a shared one."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 
@@ -11,3 +13,13 @@ def test_rows_are_dropped_by_their_own_text(spark, tmp_path):
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.drop_benchmark_leaks(spark, documents, str(tmp_path)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, clean), (7, clean)]
+
+
+def test_near_duplicates_are_dropped_by_row(spark):
+    same, other = "a b c d e f g", "h i j k l m n"
+    rows = [(4, same), (2, same), (2, other), (None, same), (None, other), (7, None), (7, None), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "_row": F.lit(1)})
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(2, same), (2, other), (7, None), (7, None), (8, " ")], key=str)
