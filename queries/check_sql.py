@@ -446,6 +446,16 @@ SELECTS = {
                round(rain, 6) AS rain, temperature FROM fx_joined""",
     "closest_site": "SELECT site, round(metres, 3) AS distance FROM fx_site",
     "region_centroid": "SELECT round(lon, 6) AS lon, round(lat, 6) AS lat FROM fx_centroid",
+    "overlapping_regions": """
+        SELECT * FROM (WITH moved AS (SELECT x0 + dx AS x0, xm + dx AS xm, x1 + dx AS x1, y0 + dy AS y0, ym + dy AS ym, y1 + dy AS y1
+                       FROM fx_regions, (VALUES (0::DOUBLE, 0::DOUBLE), (0.0023::DOUBLE, 0.0017::DOUBLE)) AS by_(dx, dy)),
+             boxes AS (SELECT x0 AS w, x1 AS e, y0 AS s, ym AS n FROM moved UNION SELECT x0, xm, ym, y1 FROM moved),
+             columns_ AS (SELECT x AS w, lead(x) OVER (ORDER BY x) AS e FROM (SELECT w AS x FROM boxes UNION SELECT e FROM boxes)),
+             rows_ AS (SELECT y AS s, lead(y) OVER (ORDER BY y) AS n FROM (SELECT s AS y FROM boxes UNION SELECT n FROM boxes)),
+             covered AS (SELECT DISTINCT c.w, c.e, r.s, r.n FROM boxes b JOIN columns_ c ON c.w >= b.w AND c.e <= b.e
+                         JOIN rows_ r ON r.s >= b.s AND r.n <= b.n)
+        SELECT round(sum((e - w) * (n - s)) * 1e6, 6) AS area, round(sum((e - w) * (n - s) * (e + w) / 2) / sum((e - w) * (n - s)), 6) AS lon,
+               round(sum((e - w) * (n - s) * (n + s) / 2) / sum((e - w) * (n - s)), 6) AS lat FROM covered)""",
     "weather_json": """
         SELECT CASE WHEN document % 7 <> 3 THEN site END AS site, document % 7 = 3 AS malformed, count(*) AS documents,
                sum(CASE WHEN document % 7 <> 3 THEN n ELSE 0 END)::BIGINT AS observations

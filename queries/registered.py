@@ -220,6 +220,14 @@ def region_centroid(t: Transport) -> DataFrame:
     return regions.region_centroid(t.regions).select(_rounded("lon"), _rounded("lat"))
 
 
+@register
+def overlapping_regions(t: Transport) -> DataFrame:
+    """Area and centroid of the regions together with copies of them moved by less than their size."""
+    moved = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct((p.lon + 0.0023).alias("lon"), (p.lat + 0.0017).alias("lat"))))
+    parts = regions.union_moments(t.regions.union(t.regions.withColumn("rings", moved)))
+    return parts.selectExpr("round(area * 1e6, 6) AS area", "round(mx / area, 6) AS lon", "round(my / area, 6) AS lat")
+
+
 def _weather(t: Transport) -> DataFrame:
     site = regions.closest_site(t.stations, regions.region_centroid(t.regions)).select("site").scalar()
     return history.hourly_weather(t.weather_documents, site, PERIOD)

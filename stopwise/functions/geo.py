@@ -51,22 +51,3 @@ def polygon_contains(rings: Column, lon: Column, lat: Column) -> Column:
 
     crossings = F.size(F.filter(edges, crossed))
     return ~F.exists(edges, on_edge) & (F.pmod(crossings, F.lit(2)) == 1)
-
-
-def ring_moments(ring: Column) -> Column:
-    """``(area, mx, my)`` of a ring, area positive; the centroid is ``(mx, my) / area``."""
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("area", "mx", "my")])
-
-    def step(acc: Column, e: Column) -> Column:
-        w = (e.a.lon * e.b.lat - e.b.lon * e.a.lat) / 2
-        return F.struct(
-            (acc.area + w).alias("area"),
-            (acc.mx + w * (e.a.lon + e.b.lon) / 3).alias("mx"),
-            (acc.my + w * (e.a.lat + e.b.lat) / 3).alias("my"),
-        )
-
-    def orient(acc: Column) -> Column:
-        sign = F.signum(acc.area)
-        return F.struct(*[(acc[n] * sign).alias(n) for n in ("area", "mx", "my")])
-
-    return F.aggregate(ring_edges(ring), zero, step, orient)

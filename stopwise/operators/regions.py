@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stopwise.config import SHAPE_LEVEL
-from stopwise.functions.geo import ring_edges, ring_moments, sphere_distance
+from stopwise.functions.geo import ring_edges, sphere_distance
 from stopwise.sources.shapes import with_bounds
 
 #: Cells are 2^-level degrees wide, so that all their borders are exact numbers.
@@ -142,18 +142,100 @@ def stops_within(stops: DataFrame, polygons: DataFrame) -> DataFrame:
     return stops.join(inside.select("stop_lon", "stop_lat"), ["stop_lon", "stop_lat"], "left_semi").select(*stops.columns)
 
 
-def region_centroid(polygons: DataFrame) -> DataFrame:
-    """Area-weighted centroid of polygons that do not overlap, one row ``(lon, lat)``."""
-    moments = F.transform("rings", ring_moments)
-    signed = F.transform(
-        moments,
-        lambda m, i: F.struct(
-            *[(m[n] * F.when(i == 0, 1.0).otherwise(-1.0)).alias(n) for n in ("area", "mx", "my")]
-        ),
+def _directed_edges(polygons: DataFrame) -> DataFrame:
+    """Edges ``(shape, ax, ay, bx, by)`` with the inside of their polygon on the left; a polygon given twice counts once."""
+    shapes = polygons.select("rings", F.sha2(F.to_json("rings"), 256).alias("shape")).dropDuplicates(["shape"])
+    rings = shapes.select("shape", F.posexplode("rings").alias("number", "ring"))
+    doubled = F.aggregate(ring_edges(F.col("ring")), F.lit(0.0), lambda acc, e: acc + e.a.lon * e.b.lat - e.b.lon * e.a.lat)
+    turned = (doubled > 0) != (F.col("number") == 0)
+    edges = rings.select("shape", turned.alias("turned"), F.explode(ring_edges(F.col("ring"))).alias("e"))
+    return edges.selectExpr("shape", "inline(array(if(turned, struct(e.b AS a, e.a AS b), e)))").selectExpr(
+        "shape", "a.lon AS ax", "a.lat AS ay", "b.lon AS bx", "b.lat AS by"
     )
-    parts = polygons.select(F.explode(signed).alias("m")).agg(
-        *[F.sum(f"m.{n}").alias(n) for n in ("area", "mx", "my")]
+
+
+def _cell_pieces(edges: DataFrame) -> DataFrame:
+    """What each edge is in each cell of its polygon's box: ``(cell_x, cell_y, low_y, high_y, low_x, high_x, turn)``.
+
+    Cells are as large as the average polygon; coordinates are relative to the cell. What lies west or east of a cell is moved
+    to its border, so that going east through a cell ``turn`` adds up to the number of polygons around each point.
+    Equal pieces are added up, so that borders shared by neighbours vanish.
+    """
+    boxes = edges.groupBy("shape").agg(
+        F.min("ax").alias("west"), F.max("ax").alias("east"), F.min("ay").alias("south"), F.max("ay").alias("north")
     )
+    size = boxes.agg(F.struct(F.avg(F.expr("east - west")).alias("w"), F.avg(F.expr("north - south")).alias("h"))).scalar()
+    sized = edges.join(boxes, "shape").withColumn("size", size).filter("ay != by AND size.w > 0 AND size.h > 0")
+    upward = sized.selectExpr(
+        "west", "east", "size.w AS w", "size.h AS h", "if(by > ay, -1, 1) AS turn", "least(ay, by) AS y0", "greatest(ay, by) AS y1",
+        "if(by > ay, ax, bx) AS x0", "if(by > ay, bx, ax) AS x1",
+    )
+    # An edge that lies east of a cell has an effect on it only by closing what is open, so it comes to all cells of the box.
+    rows = upward.selectExpr("*", "explode(sequence(floor(y0 / h), floor(y1 / h))) AS cell_y").selectExpr(
+        "*", "explode(sequence(floor(west / w), floor(east / w))) AS cell_x",
+        "greatest(y0, cell_y * h) AS from_y", "least(y1, (cell_y + 1) * h) AS to_y",
+    ).filter("from_y < to_y")
+
+    def crossing(x: str) -> str:
+        return f"if(x0 = x1, from_y, greatest(from_y, least(to_y, y0 + ({x} - x0) / (x1 - x0) * (y1 - y0))))"
+
+    cuts = f"array_sort(array(from_y, to_y, {crossing('cell_x * w')}, {crossing('(cell_x + 1) * w')}))"
+    parts = rows.withColumn("cuts", F.expr(cuts)).selectExpr("*", "explode(sequence(0, 2)) AS part").selectExpr(
+        "cell_x", "cell_y", "w", "h", "turn", "x0", "x1", "y0", "y1", "cuts[part] AS p", "cuts[part + 1] AS q"
+    ).filter("p < q")
+
+    def inside(y: str) -> str:
+        return f"least(w, greatest(0D, x0 + ({y} - y0) / (y1 - y0) * (x1 - x0) - cell_x * w))"
+
+    pieces = parts.selectExpr(
+        "cell_x", "cell_y", "w", "h", "p - cell_y * h AS low_y", "q - cell_y * h AS high_y",
+        f"{inside('p')} AS low_x", f"{inside('q')} AS high_x", "turn",
+    )
+    keys = [c for c in pieces.columns if c != "turn"]
+    return pieces.groupBy(*keys).agg(F.sum("turn").alias("turn")).filter("turn != 0")
+
+
+def union_moments(polygons: DataFrame) -> DataFrame:
+    """One row ``(area, mx, my)`` of the union of all polygons, however they overlap; the centroid is ``(mx, my) / area``.
+
+    Each cell is cut into slabs at every corner and crossing in it, so that within a slab edges do not change their order. Going
+    east through a slab, the running number of polygons around tells which edges bound the union. Only edges of one cell
+    meet. Without polygons, or with none that has an area, all three are null.
+    """
+    pieces = _cell_pieces(_directed_edges(polygons))
+    cell = ["cell_x", "cell_y"]
+    slope = "(({0}high_x - {0}low_x) / ({0}high_y - {0}low_y))"
+    one, two = pieces.alias("one"), pieces.alias("two")
+    gap = f"(two.low_x - one.low_x + (one.low_y - two.low_y) * {slope.format('two.')})"
+    meeting = f"one.low_y + {gap} / nullif({slope.format('one.')} - {slope.format('two.')}, 0D)"
+    # Two pieces that cross lie in each other's box.
+    boxed = [f"one.{c} = two.{c}" for c in cell] + ["one.low_y < two.high_y AND two.low_y < one.high_y"]
+    boxed += [f"least({f}.low_x, {f}.high_x) <= greatest({g}.low_x, {g}.high_x)" for f, g in (("one", "two"), ("two", "one"))]
+    crossings = one.join(two, F.expr(" AND ".join(boxed))).select(
+        *[F.col(f"one.{c}") for c in cell], F.expr(meeting).alias("y"), F.expr("greatest(one.low_y, two.low_y) AS least_y"), F.expr("least(one.high_y, two.high_y) AS most_y")
+    ).filter("y > least_y AND y < most_y").select(*cell, "y")
+    corners = pieces.select(*cell, F.explode(F.array("low_y", "high_y")).alias("y"))
+    upward = Window.partitionBy(*cell).orderBy("y")
+    slabs = corners.union(crossings).distinct().withColumn("top", F.lead("y").over(upward)).filter("top IS NOT NULL")
+    within = pieces.join(slabs, cell).filter("low_y <= y AND high_y >= top").selectExpr(
+        *cell, "w", "h", "y", "top - y AS height", "turn",
+        f"low_x + (y - low_y) * {slope.format('')} AS a",
+        f"low_x + (top - low_y) * {slope.format('')} AS b",
+    )
+    eastward = Window.partitionBy(*cell, "y").orderBy(F.expr("a + b"), "turn", "a").rowsBetween(Window.unboundedPreceding, 0)
+    bounds = within.withColumn("around", F.sum("turn").over(eastward)).withColumn(
+        "side", F.expr("cast(around - turn > 0 AS int) - cast(around > 0 AS int)")
+    ).filter("side != 0")
+    moments = bounds.selectExpr(
+        "side * height * (a + b) / 2 AS area", "side * height * (a * a + a * b + b * b) / 6 AS mx",
+        "side * height * ((a + b) / 2 * y + height * (a / 6 + b / 3)) AS my", "cell_x * w AS west", "cell_y * h AS south",
+    )
+    return moments.selectExpr("sum(area) AS area", "sum(mx + west * area) AS mx", "sum(my + south * area) AS my")
+
+
+def region_centroid(polygons: DataFrame) -> DataFrame:
+    """Area-weighted centroid of the union of the polygons, one row ``(lon, lat)``; parts that overlap count once."""
+    parts = union_moments(polygons)
     return parts.select((F.col("mx") / F.col("area")).alias("lon"), (F.col("my") / F.col("area")).alias("lat"))
 
 

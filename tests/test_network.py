@@ -273,3 +273,50 @@ def test_hops_that_do_not_meet_are_two_runs(spark):
     hops = n.trip_hops(events(spark, [("T", "A", 1, 90, 100), ("T", "B", 2, 200, 210), ("T", "C", 3, 300, 310)]))
     moved = hops.withColumn("source_stop_id", F.when(F.col("source_stop_sequence") == 2, "X").otherwise(F.col("source_stop_id")))
     assert sorted(x.run_start for x in n.ride_runs(moved).collect()) == [2, 3]
+
+
+def _clipped(subject, clip):
+    """What of a convex polygon lies in another one, both counterclockwise."""
+    for (ax, ay), (bx, by) in zip(clip, clip[1:] + clip[:1]):
+        def side(p):
+            return (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax)
+
+        kept = []
+        for p, q in zip(subject, subject[1:] + subject[:1]):
+            if side(p) >= 0:
+                kept.append(p)
+            if (side(p) >= 0) != (side(q) >= 0):
+                t = side(p) / (side(p) - side(q))
+                kept.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+        subject = kept
+        if not subject:
+            break
+    return subject
+
+
+def _moments(ring):
+    parts = [(a, b, (a[0] * b[1] - b[0] * a[1]) / 2) for a, b in zip(ring, ring[1:] + ring[:1])]
+    return [sum(w for *_, w in parts)] + [sum(w * (a[k] + b[k]) / 3 for a, b, w in parts) for k in (0, 1)]
+
+
+def test_union_moments(spark):
+    draw = random.Random(4)
+    rings, expected = [], [0.0, 0.0, 0.0]
+    for k in range(12):
+        pair = []
+        for _ in range(2):
+            ring = [(draw.uniform(0, 3) + 5 * (k % 4), draw.uniform(0, 3) + 5 * (k // 4)) for _ in range(3)]
+            pair.append(ring if _moments(ring)[0] > 0 else ring[::-1])
+        for ring, sign in ((pair[0], 1), (pair[1], 1), (_clipped(*pair), -1)):
+            expected = [e + sign * m for e, m in zip(expected, _moments(ring))]
+        rings += [[pair[0]], [pair[1][::-1]]]
+    square = [(-9.0, 0.0), (-5.0, 0.0), (-5.0, 4.0), (-9.0, 4.0)]
+    hole = [(-8.0, 1.0), (-8.0, 3.0), (-6.0, 3.0), (-6.0, 1.0)]
+    rings += [[square, hole], [square, hole], [[(-5.0, 0.0), (-4.0, 0.0), (-4.0, 4.0), (-5.0, 4.0)]]]
+    for ring in (square, hole, rings[-1][0]):
+        expected = [e + m for e, m in zip(expected, _moments(ring))]
+    rows = [("u", "district", [[*ring, ring[0]] for ring in polygon]) for polygon in rings]
+    schema = "uuid string, level string, rings array<array<struct<lon: double, lat: double>>>"
+    found = r.union_moments(spark.createDataFrame(rows, schema)).first()
+    assert list(found) == pytest.approx(expected, rel=1e-9)
+    assert list(r.union_moments(spark.createDataFrame([], schema)).first()) == [None, None, None]
