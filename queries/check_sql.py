@@ -468,6 +468,7 @@ SELECTS = {
                  lambda p: delays[greatest(1, (p * sample_size + 99) // 100)]::VARCHAR), ',') AS percentiles
         FROM (SELECT stop_id, count(*) AS sample_size, list(delay ORDER BY delay) AS delays
               FROM fx_history GROUP BY stop_id)""",
+    "delay_sketches": "SELECT stop_id, count(*) AS sample_size, true AS within FROM fx_history GROUP BY stop_id",
     "delay_distributions": f"SELECT {KEYS}, level, sample_size, array_to_string({JOINED}, ',') AS percentiles FROM fx_dist",
     "delay_distributions_min5": f"SELECT {KEYS}, level, sample_size, array_to_string({JOINED}, ',') AS percentiles FROM fx_dist5",
     "impute_rain": """

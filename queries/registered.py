@@ -290,6 +290,15 @@ def delay_percentiles(t: Transport) -> DataFrame:
     return _percentiles_as_text(distributions.delay_percentiles(t.history, ["stop_id"]))
 
 
+@register
+def delay_sketches(t: Transport) -> DataFrame:
+    """Percentiles per stop from sketches per full key, held against the exact ranks."""
+    arrivals, _ = Workspace(t.spark).write("history", t.history)
+    sketches = distributions.merge_sketches(distributions.delay_sketches(arrivals), ["stop_id"])
+    found = distributions.rank_errors(distributions.sketch_percentiles(sketches), arrivals, ["stop_id"])
+    return found.select("stop_id", "sample_size", "within")
+
+
 @register
 def delay_distributions(t: Transport) -> DataFrame:
     return _percentiles_as_text(delay_model.fit(t.history))

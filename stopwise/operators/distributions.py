@@ -12,6 +12,8 @@ from stopwise.config import (
     GROUP_COLUMNS,
     MIN_SAMPLES,
     PERCENTILE_ACCURACY,
+    RANK_ERROR,
+    SKETCH_SIZE,
     VALUE_COLUMN,
 )
 from stopwise.functions.probability import exponential_percentiles
@@ -80,6 +82,43 @@ def delay_percentiles(
     return percentiles_of_counts(value_counts(history, keys, value), keys, value)
 
 
+def delay_sketches(
+    history: DataFrame, keys: Sequence[str] = GROUP_COLUMNS, value: str = VALUE_COLUMN, size: int = SKETCH_SIZE
+) -> DataFrame:
+    """A quantile sketch per key, to be stored: those of new days or of coarser keys come from ``merge_sketches``."""
+    return history.groupBy(*keys).agg(F.kll_sketch_agg_bigint(F.col(value).cast("long"), size).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """The sketches of each of the coarser ``keys`` merged; the history is not read again."""
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch", size).alias("sketch"))
+
+
+def sketch_percentiles(sketches: DataFrame) -> DataFrame:
+    """``sketches`` as 101 percentiles and sample size."""
+    shares = F.array(*[F.lit(p / 100) for p in range(101)])
+    found = {"percentiles": F.kll_sketch_get_quantile_bigint("sketch", shares), "sample_size": F.kll_sketch_get_n_bigint("sketch")}
+    return sketches.withColumns(found).drop("sketch")
+
+
+def rank_errors(
+    percentiles: DataFrame, history: DataFrame, keys: Sequence[str], value: str = VALUE_COLUMN, most: float = RANK_ERROR
+) -> DataFrame:
+    """Keys, ``sample_size``, ``rank_error`` of the worst percentile and whether it is ``within`` ``most``.
+
+    A percentile's rank is any of those that its value has in the exact sample.
+    """
+    group = Window.partitionBy(*keys)
+    upto = F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = value_counts(history, keys, value).withColumns({"upto": upto, "all": F.sum("n").over(group)})
+    claimed = percentiles.select(*keys, "sample_size", F.posexplode("percentiles").alias("percentile", value))
+    both = claimed.join(ranked, [*keys, value], "left")
+    share = F.col("percentile") / 100
+    off = F.greatest((F.col("upto") - F.col("n")) / F.col("all") - share, share - F.col("upto") / F.col("all"), F.lit(0.0))
+    worst = both.groupBy(*keys, "sample_size").agg(F.max(F.when(F.col("upto").isNull(), 1.0).otherwise(off)).alias("rank_error"))
+    return worst.withColumn("within", F.col("rank_error") <= most)
+
+
 def delay_distributions(
     history: DataFrame,
     keys: Sequence[str] = GROUP_COLUMNS,

@@ -206,3 +206,14 @@ def test_seeded_groups_are_stable(spark):
     first = v.sample_groups(groups, ["stop_id"], 5, 490).collect()
     again = v.sample_groups(groups.repartition(7), ["stop_id"], 5, 490).collect()
     assert first == again and len(first) == 5
+
+
+def test_merged_sketches(spark):
+    data = spark.range(60_000).selectExpr("id % 3 AS stop_id", "id % 7 AS hour", "id * 7919 % 1801 AS delay")
+    days = [d.delay_sketches(data.filter(f"id % 2 = {k}"), ["stop_id", "hour"], "delay") for k in (0, 1)]
+    merged = d.merge_sketches(days[0].union(days[1]), ["stop_id"])
+    found = d.rank_errors(d.sketch_percentiles(merged), data, ["stop_id"], "delay").collect()
+    assert [(r.sample_size, r.within) for r in found] == [(20_000, True)] * 3
+    small = data.filter("id < 300")
+    exact = d.rank_errors(d.sketch_percentiles(d.delay_sketches(small, ["stop_id"], "delay")), small, ["stop_id"], "delay")
+    assert [r.rank_error for r in exact.collect()] == [0.0] * 3
