@@ -320,3 +320,18 @@ def test_union_moments(spark):
     found = r.union_moments(spark.createDataFrame(rows, schema)).first()
     assert list(found) == pytest.approx(expected, rel=1e-9)
     assert list(r.union_moments(spark.createDataFrame([], schema)).first()) == [None, None, None]
+
+
+def test_closest_site_of_regions_in_two_subqueries_of_one_query(spark):
+    schema = "uuid string, level string, rings array<array<struct<lon: double, lat: double>>>"
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
+    polygons = spark.createDataFrame([("D1", "district", [square])], schema)
+    stations = spark.createDataFrame([("A", 1.0, 1.0, True), ("B", 9.0, 9.0, True)], "site string, lon double, lat double, active boolean")
+    seen = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3)], "site string, day int")
+
+    def of_period(days):
+        site = r.closest_site(stations, r.region_centroid(polygons)).select("site").scalar()
+        return seen.filter((F.col("site") == site) & days).select("day")
+
+    both = of_period(F.col("day") < 2).withColumn("part", F.lit(1)).unionByName(of_period(F.col("day") > 2).withColumn("part", F.lit(2)))
+    assert sorted(map(tuple, both.collect())) == [(1, 1), (3, 2)]
