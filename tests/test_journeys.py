@@ -295,3 +295,18 @@ def test_consecutive_walks_share_one_clock(spark):
     )
     timed = spark.range(1).select(lg.timed_legs(legs, F.lit(1000)).alias("l")).first().l
     assert [(x.dep_s, x.arr_s) for x in timed] == [(1000, 1060), (1060, 1150)]
+
+
+def test_lines_of_orders_come_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from queries import derived
+
+    columns = "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    rows = [(o if o % 50 else None, k % 2, k, o, 1.0, 2.0) for o in range(1500) for k in range(3)]
+    spark.createDataFrame(rows, ", ".join(f"{c} double" if c in columns[4:] else f"{c} long" for c in columns)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(derived, "LINES_PER_TASK", 100, raising=False)
+    lines = derived.Transport(spark, str(tmp_path)).lines
+    sizes = lines.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == len(rows)
+    assert sorted(r["count"] for r in sizes)[-2] < 300
+    numbered = lines.filter("l_orderkey = 7").orderBy("line").collect()
+    assert [(r.line, r.l_linenumber, r.l_partkey) for r in numbered] == [(1, 0, 0), (2, 0, 2), (3, 1, 1)]
