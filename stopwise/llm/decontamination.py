@@ -1,10 +1,10 @@
 """Benchmark items that documents repeat or paraphrase, by latent semantic retrieval.
 
 1. Word weights: the inverse frequency of each hashed word over the blocks of all documents.
-2. Latent space: the weighted word counts of passages, taken from a bounded sample of documents and from
-   every item, form a matrix whose leading right singular vectors are found by randomised power
-   iteration. Its products with the test matrix run on the executors, partition by partition, and only
-   BUCKETS x RANK numbers come back.
+2. Latent space: in the same reading of the documents every block of every document is added, with a drawn sign, to
+   one of ``SKETCH`` rows of word counts. The rows, weighted, and those of the items' blocks span what blocks have in common:
+   their leading ``RANK`` singular vectors are the space. Only BUCKETS x SKETCH whole numbers come back, so that no
+   order of adding changes them.
 3. Search: every passage of every document, two neighbouring blocks of ``STRIDE`` words, is projected
    and compared with the passages of every item by cosine.
    Latent cosines alone take in much text of the same language, so a candidate must also have, word by word, a share of the weight
@@ -15,8 +15,8 @@
 4. Check: an item is confirmed in the words around a candidate passage by the longest common subsequence of
    the two, or by a shorter one together with the item's answer, its last ``ANSWER`` words, in the same order.
 
-The items are a stated query set, held in memory in blocks of ``ITEMS_PER_BLOCK``; the documents are read once for
-each block and never shuffled.
+The items are a stated query set, held in memory in blocks of ``ITEMS_PER_BLOCK``; the documents are read once for the
+weights and the space and once for each block, and never shuffled.
 
 Defined results: null and empty texts contain nothing; items of fewer than ``SHORTEST`` words identify nothing and are
 left out; equal items are all found; repeated documents are all found; without items or documents the result is empty.
@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm.words import Words, mix, slices, split_words, word_hashes
-from stopwise.sources.workspace import Workspace
 
 STRIDE = 12
 #: Words between the passages of an item, so that one of them is nearly in line with the document's.
@@ -45,10 +44,10 @@ SHORT = 3 * STRIDE
 COUNTS_AT_ONCE = 1 << 19
 BUCKETS = 1 << 16
 RANK = 48
-POWER_STEPS = 2
-#: Documents (in expectation) whose passages the latent space is fitted on, beside all items.
-SAMPLE = 4000
-SAMPLE_TASKS = 4
+SKETCH = 64
+#: Bytes of text that are counted at once for the sketch, and buckets that a task gives back at once.
+SKETCH_SLICE_BYTES = 1 << 20
+BUCKETS_AT_ONCE = 1 << 13
 ITEMS_PER_BLOCK = 2000
 #: Share of the items that may have a distinctive word, and of a passage's distinctive weight that candidates have.
 DISTINCTIVE = 0.05
@@ -87,6 +86,10 @@ def _hashes(words: Words) -> np.ndarray:
     return mix(word_hashes([w.strip(PUNCTUATION) or w for w in words.vocabulary]))
 
 
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(BUCKETS)).astype(np.int64)
+
+
 def _blocks(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """First word of each block of STRIDE words, and its row. No block crosses rows."""
     lengths = np.diff(words.offsets)
@@ -96,116 +99,92 @@ def _blocks(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.offsets[row] + within * STRIDE, row
 
 
-def _passages(blocks: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of neighbouring blocks of a row, and the first block of each; a row of one block is one passage."""
+def _openings(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First block of each passage, and whether it has a second one; a row of one block is one passage."""
     if not len(row):
-        return blocks, np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     follows = np.append(row[1:] == row[:-1], False)
     alone = ~follows & np.insert(row[1:] != row[:-1], 0, True)
     first = np.flatnonzero(follows | alone)
-    second = np.minimum(first + 1, len(row) - 1)
-    return blocks[first] + blocks[second] * follows[first, None], first
+    return first, follows[first]
+
+
+def _add_to_sketch(sketch: np.ndarray, words: Words, bucket: np.ndarray, seeds: np.ndarray) -> int:
+    """Add each block's word counts, with its drawn sign, to its drawn row of ``sketch`` (bucket x row); the number of blocks."""
+    starts, row = _blocks(words)
+    drawn = mix(seeds.astype(np.uint64)[row] + mix((starts - words.offsets[row]).astype(np.uint64)))
+    place, sign = (drawn % np.uint64(SKETCH)).astype(np.int64), np.where(drawn >> np.uint64(63), 1, -1).astype(np.int32)
+    sizes = np.diff(np.append(starts, len(words.codes)))
+    np.add.at(sketch.reshape(-1), bucket[words.codes] * SKETCH + np.repeat(place, sizes), np.repeat(sign, sizes))
+    return len(starts)
 
 
-def _frequencies(documents: DataFrame) -> np.ndarray:
-    """Inverse frequency weight of each bucket over the blocks of all documents."""
+def _statistics(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse frequency weight of each bucket over the blocks of all documents, and the sketch of all blocks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, blocks = np.zeros(BUCKETS, np.int64), 0
+        sketch = np.zeros((BUCKETS, SKETCH), np.int32)
         for batch in batches:
-            for part in slices(batch, "text"):
-                words = split_words(part.column(0))
+            for part in slices(batch, "text", SKETCH_SLICE_BYTES):
+                words = split_words(part.column(1))
                 if not len(words.codes):
                     continue
-                blocks += len(_blocks(words)[0])
+                bucket = _buckets(_hashes(words))
+                blocks += _add_to_sketch(sketch, words, bucket, part.column(0).to_numpy(zero_copy_only=False))
                 times = np.bincount(words.codes, minlength=len(words.vocabulary))
-                total += np.bincount((_hashes(words) % np.uint64(BUCKETS)).astype(np.int64), times, BUCKETS).astype(np.int64)
+                total += np.bincount(bucket, times, BUCKETS).astype(np.int64)
         used = np.flatnonzero(total)
-        buckets = np.append(used, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(np.append(total[used], blocks))], names=["bucket", "times"])
-
-    rows = documents.select("text").mapInArrow(count, "bucket long, times long").groupBy("bucket").agg(F.sum("times").alias("times")).toArrow().to_pandas()
-    blocks = int(rows.times[rows.bucket == -1].sum())
+        for low in range(0, len(used), BUCKETS_AT_ONCE):
+            held = used[low : low + BUCKETS_AT_ONCE]
+            rows = pa.FixedSizeListArray.from_arrays(pa.array(sketch[held].ravel()), SKETCH).cast(pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held]), rows], names=["bucket", "times", "row"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([blocks]), pa.array([[0] * SKETCH], pa.list_(pa.int32()))], names=["bucket", "times", "row"])
+
+    seeded = documents.select(F.xxhash64(F.col("doc_id").cast("string")), "text")
+    counted = seeded.mapInArrow(count, "bucket long, times long, row array<int>")
+    sums = [F.sum(F.col("row")[k]).alias(f"r{k}") for k in range(SKETCH)]
+    rows = counted.groupBy("bucket").agg(F.sum("times").alias("times"), *sums).toArrow()
+    bucket, number = rows.column("bucket").to_numpy(), rows.column("times").to_numpy()
+    held = bucket >= 0
+    blocks = int(number[~held].sum())
     times = np.zeros(BUCKETS)
-    words = rows[rows.bucket >= 0]
-    times[words.bucket] = words.times
-    return np.log((blocks + 1) / (np.minimum(times, blocks) + 1)) + 0.1
+    times[bucket[held]] = number[held]
+    sketch = np.zeros((BUCKETS, SKETCH))
+    for k in range(SKETCH):
+        sketch[bucket[held], k] = rows.column(f"r{k}").to_numpy()[held]
+    return np.log((blocks + 1) / (np.minimum(times, blocks) + 1)) + 0.1, sketch
 
 
-def _gram(sampled: DataFrame, weights: np.ndarray, test: np.ndarray) -> np.ndarray:
-    """A' A ``test`` for the matrix A of the sampled passages, of length 1 each."""
-    shared = sampled.sparkSession.sparkContext.broadcast((weights, test))
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, test = shared.value
-        total = np.zeros((BUCKETS, RANK), np.float32)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                total += _gram_of(split_words(part.column(0)), weights, test)
-        used = np.flatnonzero(total.any(axis=1))
-        values = pa.FixedSizeListArray.from_arrays(pa.array(total[used].ravel(), pa.float32()), RANK).cast(pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays([pa.array(used), values], names=["bucket", "row"])
-
-    sums = [F.sum(F.col("row")[k]).cast("float").alias(f"v{k}") for k in range(RANK)]
-    rows = sampled.mapInArrow(multiply, "bucket long, row array<float>").groupBy("bucket").agg(*sums).toArrow().to_pandas()
-    product = np.zeros((BUCKETS, RANK), np.float32)
-    product[rows.bucket] = rows.drop(columns="bucket").to_numpy(np.float32)
-    return product
-
-
-def _gram_of(words: Words, weights: np.ndarray, test: np.ndarray) -> np.ndarray:
-    """A' A ``test`` for the passages of a few texts."""
-    total = np.zeros((BUCKETS, RANK), np.float32)
-    if not len(words.codes):
-        return total
-    bucket = (_hashes(words) % np.uint64(BUCKETS)).astype(np.int64)
-    starts, row = _blocks(words)
-    weight = weights[bucket]
-    projected = (weight[:, None] * test[bucket]).astype(np.float32)
-    block_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words.codes))))
-    blocks = np.add.reduceat(projected[words.codes], starts, axis=0)
-    squares = np.add.reduceat((weight**2)[words.codes], starts)
-    passages, first = _passages(blocks, row)
-    norms, _ = _passages(squares[:, None], row)
-    passages = passages / norms
-    # Each block takes part in the passage that starts with it and the one that ends with it.
-    back = np.zeros((len(starts), RANK), np.float32)
-    back[first] += passages
-    paired = first[(np.append(row[1:] == row[:-1], False))[first]]
-    back[paired + 1] += passages[np.searchsorted(first, paired)]
-    contributions = back[block_of] * weight[words.codes, None]
-    order = bucket[words.codes]
-    for k in range(RANK):
-        total[:, k] = np.bincount(order, contributions[:, k], BUCKETS)
-    return total
-
-
-def _latent_space(sampled: DataFrame, items: list[Words], weights: np.ndarray) -> np.ndarray:
-    """Leading right singular vectors of the passages' weighted word counts (bucket x rank)."""
-    basis = np.random.default_rng(11).standard_normal((BUCKETS, RANK)).astype(np.float32)
-    for _ in range(POWER_STEPS):
-        product = _gram(sampled, weights, basis)
-        for words in items:
-            product += _gram_of(words, weights, basis)
-        basis = np.linalg.qr(product)[0].astype(np.float32)
-    return basis
-
-
-def _vectors(words: Words, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    bucket = (_hashes(words) % np.uint64(BUCKETS)).astype(np.int64)
-    return (weights[bucket, None] * basis[bucket]).astype(np.float32)
+def _latent_space(sketch: np.ndarray, items: Words, weights: np.ndarray) -> np.ndarray:
+    """Leading singular vectors of the weighted sketches of the documents and of the items (bucket x rank), which count the same."""
+    own = np.zeros((BUCKETS, SKETCH), np.int32)
+    _add_to_sketch(own, items, _buckets(_hashes(items)), mix(np.arange(1, len(items.offsets), dtype=np.uint64)))
+    weighted = [weights[:, None] * part for part in (sketch, own)]
+    both = np.hstack([part / max(np.linalg.norm(part), 1e-9) for part in weighted])
+    _, directions = np.linalg.eigh(both.T @ both)
+    return np.linalg.qr(both @ directions[:, ::-1][:, :RANK])[0].astype(np.float32)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
 
 
-def _project(words: Words, weights: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Latent vectors of length 1 of all passages, the first word of each, and its row."""
-    starts, row = _blocks(words)
-    blocks = np.add.reduceat(_vectors(words, weights, basis)[words.codes], starts, axis=0)
-    passages, first = _passages(blocks, row)
-    return _unit(passages), starts[first], row[first]
+def _block_vectors(words: Words, bucket: np.ndarray, starts: np.ndarray, blocks: np.ndarray, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Latent vectors of some blocks."""
+    sizes = np.append(starts[1:], len(words.codes))[blocks] - starts[blocks]
+    opens = np.cumsum(sizes) - sizes
+    of = bucket[words.codes[np.repeat(starts[blocks] - opens, sizes) + np.arange(sizes.sum())]]
+    return np.add.reduceat((weights[of, None] * basis[of]).astype(np.float32), opens, axis=0)
+
+
+def _project(words: Words, bucket: np.ndarray, starts: np.ndarray, first: np.ndarray, paired: np.ndarray, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Latent vectors of length 1 of the passages that open with the blocks ``first``."""
+    blocks = np.unique(np.append(first, first[paired] + 1))
+    vectors = _block_vectors(words, bucket, starts, blocks, weights, basis)
+    passages = vectors[np.searchsorted(blocks, first)]
+    passages[paired] += vectors[np.searchsorted(blocks, first[paired] + 1)]
+    return _unit(passages)
 
 
 def common_subsequence(first: list[int], second: list[int]) -> int:
@@ -215,19 +194,21 @@ def common_subsequence(first: list[int], second: list[int]) -> int:
         places[w] = places.get(w, 0) | (1 << k)
     full = (1 << len(first)) - 1
     row = full
-    for w in second:
-        match = row & places.get(w, 0)
+    for match in filter(None, map(places.get, second)):
+        match &= row
         row = ((row + match) | (row - match)) & full
     return len(first) - row.bit_count()
 
 
 def _prepared(ids: list[int], words: Words, weights: np.ndarray, basis: np.ndarray) -> Items:
-    hashes, vectors = _hashes(words), _vectors(words, weights, basis)
+    hashes = _hashes(words)
+    bucket = _buckets(hashes)
+    vectors = (weights[bucket, None] * basis[bucket]).astype(np.float32)
     row = words.row_of_word()
     pairs = np.unique(np.column_stack([words.codes, row]), axis=0)
     few = np.bincount(pairs[:, 0], minlength=len(hashes)) <= max(2, DISTINCTIVE * len(ids))
     # Words of the vocabulary that differ only in punctuation have one hash.
-    own = weights[(hashes % np.uint64(BUCKETS)).astype(np.int64)] * few
+    own = weights[bucket] * few
     listed = np.unique(np.array([(hashes[c], r) for c, r in pairs if few[c]], dtype=[("word", np.uint64), ("item", np.int64)]))
     distinctive, starts = np.unique(listed["word"], return_index=True)
     each, passages, passage_of, needed = [], [], [], []
@@ -239,7 +220,7 @@ def _prepared(ids: list[int], words: Words, weights: np.ndarray, basis: np.ndarr
             passages.append(vectors[part].sum(axis=0))
             passage_of.append(k)
             needed.append(DISTINCTIVE_SHARE * own[part].sum())
-    weight = weights[(distinctive % np.uint64(BUCKETS)).astype(np.int64)]
+    weight = weights[_buckets(distinctive)]
     return Items(
         ids,
         each,
@@ -274,7 +255,7 @@ def _short_candidates(items: Items, hashes: np.ndarray, words: Words, starts: np
     known = np.where(items.short_words[at] == hashes, at, -1)[words.codes]
     places = np.flatnonzero(known >= 0)
     kinds = len(items.short_words)
-    block, word = np.divmod(np.unique((np.searchsorted(starts, places, side="right") - 1) * kinds + known[places]), kinds)
+    block, word = np.searchsorted(starts, places, side="right") - 1, known[places]
     step = max(1, COUNTS_AT_ONCE // number)
     for low in range(0, len(starts), step):
         a, b = np.searchsorted(block, [low, low + step + WIDE - 1])
@@ -285,7 +266,9 @@ def _short_candidates(items: Items, hashes: np.ndarray, words: Words, starts: np
             inside[inside] = row[first[inside]] == row[block[a:b][inside]]
             held.append((first[inside] - low) * kinds + word[a:b][inside])
         # A word counts once for a wide passage, as often as the item has it.
-        first, kind = np.divmod(np.unique(np.concatenate(held)), kinds)
+        seen = np.zeros(step * kinds, bool)
+        seen[np.concatenate(held)] = True
+        first, kind = np.divmod(np.flatnonzero(seen), kinds)
         each = items.short_starts[kind + 1] - items.short_starts[kind]
         entry = np.repeat(items.short_starts[kind], each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         counts = np.bincount(np.repeat(first, each) * number + items.short_of[entry], items.short_times[entry], step * number).reshape(step, number)
@@ -311,8 +294,9 @@ def _distinctive_weights(items: Items, hashes: np.ndarray, words: Words, starts:
 def _confirm(item: np.ndarray, region: np.ndarray) -> tuple[float, bool]:
     """Share of the item's words that the region has in order, and whether its answer is among them."""
     wanted, given = item.tolist(), region.tolist()
-    answer = wanted[-ANSWER:]
-    return common_subsequence(wanted, given) / len(wanted), common_subsequence(answer, given) >= len(answer) - 1
+    share, answer = common_subsequence(wanted, given) / len(wanted), wanted[-ANSWER:]
+    # A smaller share confirms nothing, whatever the answer.
+    return share, share >= COMMON_WITH_ANSWER and common_subsequence(answer, given) >= len(answer) - 1
 
 
 def _search(documents: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray) -> DataFrame:
@@ -329,26 +313,27 @@ def _search(documents: DataFrame, items: Items, weights: np.ndarray, basis: np.n
                 if not len(words.codes):
                     continue
                 hashes = _hashes(words)
-                passages, start, row = _project(words, weights, basis)
+                bucket = _buckets(hashes)
                 starts, block_row = _blocks(words)
-                opening = np.searchsorted(starts, start)
+                opening, paired = _openings(block_row)
+                start, row = starts[opening], block_row[opening]
                 block, item_of, weight = _distinctive_weights(items, hashes, words, starts)
                 number = len(items.ids)
                 best: dict[tuple[int, int], tuple] = {}
-                for low in range(0, len(passages), PASSAGES_AT_ONCE):
+                for low in range(0, len(opening), PASSAGES_AT_ONCE):
                     chosen = slice(low, low + PASSAGES_AT_ONCE)
                     zero = opening[low]
                     own = opening[chosen] - zero
                     rows = own[-1] + 2
                     a, b = np.searchsorted(block, [zero, zero + rows])
                     held = np.bincount((block[a:b] - zero) * number + item_of[a:b], weight[a:b], rows * number).reshape(rows, number)
-                    follows = np.append(block_row[1:] == block_row[:-1], False)[opening[chosen]]
-                    held = held[own] + held[own + 1] * follows[:, None]
+                    held = held[own] + held[own + 1] * paired[chosen][:, None]
                     # Passages without enough of any item need no cosines.
                     some = np.flatnonzero((held >= least).any(axis=1))
                     if not len(some):
                         continue
-                    cosines = passages[low + some] @ items.passages.T
+                    passages = _project(words, bucket, starts, opening[low + some], paired[low + some], weights, basis)
+                    cosines = passages @ items.passages.T
                     near, of = np.nonzero((cosines >= CANDIDATE) & (held[some][:, items.passage_of] >= items.needed))
                     at_passage = low + some[near]
                     chosen = np.unique(np.column_stack([row[at_passage], items.passage_of[of], start[at_passage]]), axis=0, return_index=True)
@@ -375,7 +360,10 @@ def _search(documents: DataFrame, items: Items, weights: np.ndarray, basis: np.n
                         near = np.flatnonzero(row[slice(*np.searchsorted(opening, [opens, opens + WIDE - 1]))] == r) + np.searchsorted(opening, opens)
                         of = slice(*np.searchsorted(items.passage_of, [item, item + 1]))
                         # The last block of a row opens no passage of its own.
-                        cosine = float((passages[near] @ items.passages[of].T).max()) if len(near) else 0.0
+                        cosine = 0.0
+                        if len(near):
+                            passages = _project(words, bucket, starts, opening[near], paired[near], weights, basis)
+                            cosine = float((passages @ items.passages[of].T).max())
                         best[r, item] = max(best.get((r, item), ()), (r, share, cosine, answer, first - origin, last - 1 - origin))
                 ids = part.column(0)
                 rows = sorted(best.items())
@@ -397,11 +385,7 @@ def _search(documents: DataFrame, items: Items, weights: np.ndarray, basis: np.n
 
 def find_benchmark_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and benchmark item (item_id, text) found in it, with the place and the evidence."""
-    weights = _frequencies(documents)
-    number = documents.select(F.count(F.lit(1))).first()[0]
-    draw = F.pmod(F.xxhash64(F.lit("latent space"), F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    sampled = documents.filter(draw < SAMPLE / max(number, 1)).select("text").repartition(SAMPLE_TASKS)
-    sampled, _ = Workspace(documents.sparkSession).write("sampled", sampled)
+    weights, sketch = _statistics(documents)
     numbered = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     blocks = max(1, -(-numbered.count() // ITEMS_PER_BLOCK))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
@@ -413,7 +397,7 @@ def find_benchmark_items(documents: DataFrame, benchmark: DataFrame) -> DataFram
         if not len(long):
             continue
         words = split_words(pa.array(rows.text.iloc[long], pa.string()))
-        basis = _latent_space(sampled, [words], weights)
+        basis = _latent_space(sketch, words, weights)
         items = _prepared(rows.item_id.iloc[long].tolist(), words, weights, basis)
         result = result.unionByName(_search(documents, items, weights, basis))
     return result

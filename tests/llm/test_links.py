@@ -391,3 +391,17 @@ def test_texts_of_the_mix(spark):
 def test_empty_mix(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.documents_of_mix(mixing.mix_sources(empty)).count() == 0
+
+
+def test_latent_space_takes_in_every_block_of_every_document(spark):
+    words = [f"word{k}" for k in range(6000)]
+    rows = [(k if k % 7 else None, f"{w} shared") for k, w in enumerate(words)]
+    weights, sketch = decontamination._statistics(spark.createDataFrame(rows, "doc_id long, text string"))
+    split = decontamination.split_words(pa.array([*words, "shared"]))
+    bucket = decontamination._buckets(decontamination._hashes(split))[split.codes]
+    times = np.bincount(bucket, minlength=decontamination.BUCKETS)
+    assert np.allclose(weights, np.log(6001 / (times + 1 + 5999 * (np.arange(len(times)) == bucket[-1]))) + 0.1)
+    alone = bucket[times[bucket] == 1]
+    assert len(alone) > 5000 and (np.abs(sketch[alone]).sum(axis=1) == 1).all()
+    again = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3)
+    assert (decontamination._statistics(again)[1] == sketch).all()
