@@ -1,14 +1,14 @@
 """Nearest neighbours by an inverted multi-index.
 
 The two halves of the vectors are quantised separately, each with its own centroids, which are fitted on a bounded sample. A cell is
-a pair of centroids. A query takes the cells in the order of the sum of its halves' distances to the
-centroids, which a heap over the two sorted lists gives one by one, until these hold the wanted number of
-vectors; their original vectors are compared in double precision.
+a pair of centroids. A query takes the cells in the order of the sum of its halves' distances to the centroids, until
+these hold the wanted number of vectors; the largest sum among them is its reach, which stands for the cells without listing them.
 
-The cells of one centroid of the first half meet the queries that visit any of them together, in groups of about
-VECTORS_PER_GROUP vectors and QUERIES_PER_GROUP queries, so a cell that
-holds a large share of all vectors, or that all queries visit, is worked on by many tasks. Each
-group gives only the best ``k`` of each of its queries.
+Neighbouring cells make groups of about VECTORS_PER_GROUP vectors; a cell that holds more is dealt over several groups. A query goes to
+the groups that hold a cell within its reach, with its vector and its reach only. A group compares the vectors of a centroid
+of the first half with all queries that reach it at once, by a matrix product. What can be among the ``k`` nearest by that, and
+lies in a cell within reach, is compared in double precision on the original vectors. Each group gives only the best ``k``
+of each of its queries; a group with more than QUERIES_PER_GROUP queries is worked on by several tasks.
 
 CANDIDATE_SHARE is measured for the hardest case, vectors without any structure: there a query compares nearly half of all vectors for
 a recall above 0.9. Clustered vectors need far less.
@@ -20,13 +20,13 @@ it is there, except as its own query's neighbour. With fewer than ``k`` candidat
 
 from __future__ import annotations
 
-import heapq
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +39,14 @@ STEPS = 12
 #: Share of all vectors that a query compares, and the smallest number.
 CANDIDATE_SHARE = 0.45
 LEAST_CANDIDATES = 2000
-VECTORS_PER_GROUP = 500
-QUERIES_PER_GROUP = 1000
+VECTORS_PER_GROUP = 8192
+QUERIES_PER_GROUP = 4096
+#: Queries and vectors that are compared at once, and pairs whose distance is then taken exactly.
+QUERIES_AT_ONCE = 256
+VECTORS_AT_ONCE = 2048
+PAIRS_AT_ONCE = 1 << 15
+#: The sums of a query's cells are counted in so many bins; only the cells of one of them are sorted.
+BINS = 4096
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -75,38 +81,113 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.concatenate([_squares(points[k : k + 4096], centres).argmin(axis=1) for k in range(0, len(points), 4096)])
 
 
+def reach(sums: np.ndarray, sizes: np.ndarray, wanted: int) -> float:
+    """The sum up to which cells, taken in the order of their ``sums``, hold ``wanted`` vectors; infinite if all of them are needed."""
+    if sizes.sum() <= wanted:
+        return np.inf
+    low, high = sums.min(), sums.max()
+    if not np.isfinite(high - low) or high <= low:
+        return np.inf
+    bins = np.minimum((sums - low) * (BINS / (high - low)), BINS - 1).astype(np.int32)
+    held = np.cumsum(np.bincount(bins, sizes, BINS))
+    last = np.searchsorted(held, wanted)
+    inside = np.flatnonzero(bins == last)
+    inside = inside[np.argsort(sums[inside], kind="stable")]
+    before = held[last - 1] if last else 0
+    return float(sums[inside[np.searchsorted(before + np.cumsum(sizes[inside]), wanted)]])
+
+
 def nearest_cells(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, wanted: int) -> list[int]:
     """Non-empty cells by the sum of their distances, ``first[i] + second[j]``, until they hold ``wanted`` vectors."""
-    by_first, by_second = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    a, b = first[by_first].tolist(), second[by_second].tolist()
-    heap, seen, cells, held = [(a[0] + b[0], 0, 0)], {(0, 0)}, [], 0
-    while heap and held < wanted:
-        _, i, j = heapq.heappop(heap)
-        size = int(sizes[by_first[i], by_second[j]])
-        if size:
-            cells.append(int(by_first[i]) * len(b) + int(by_second[j]))
-            held += size
-        for x, y in ((i + 1, j), (i, j + 1)):
-            if x < len(a) and y < len(b) and (x, y) not in seen:
-                seen.add((x, y))
-                heapq.heappush(heap, (a[x] + b[y], x, y))
-    return cells
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
+    cells = np.flatnonzero(sizes)
+    sums = np.add.outer(first, second).ravel()[cells]
+    taken = sums <= reach(sums, sizes.ravel()[cells], wanted)
+    return cells[taken][np.argsort(sums[taken], kind="stable")].tolist()
+
+
+def groups_of_cells(sizes: np.ndarray, per_group: int) -> tuple[np.ndarray, np.ndarray]:
+    """First group and number of groups of each cell; cells in a row share a group of about ``per_group`` vectors, larger cells have their own."""
+    parts = np.maximum(1, -(-sizes // per_group))
+    block, large = (np.cumsum(sizes) - 1) // per_group, parts > 1
+    begins = (np.diff(block, prepend=-1) != 0) | large | np.concatenate(([False], large[:-1]))
+    ends = np.cumsum(parts[begins])
+    return (ends - parts[begins])[np.cumsum(begins) - 1], parts
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _best(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest ``vectors`` of each query in the cells that it visits."""
-    points, ids, second = np.stack(vectors.vector), vectors.vec_id.to_numpy(), vectors.second.to_numpy()
-    found = []
-    for own, q, cells in zip(queries.query_id.tolist(), queries.vector, queries.seconds, strict=True):
-        visited = np.flatnonzero(np.isin(second, cells) & (ids != own))
-        distance = np.sqrt(((points[visited] - q) ** 2).sum(axis=1))
-        order = np.lexsort((ids[visited], distance))[:k]
-        found.append(pd.DataFrame({"query_id": own, "vec_id": ids[visited[order]], "score": distance[order]}))
-    return pd.concat(found)
+def _distances(points: np.ndarray, place: np.ndarray, queries: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Distance of each pair of a vector's place and a query's row, in double precision."""
+    cuts = [slice(x, x + PAIRS_AT_ONCE) for x in range(0, len(row), PAIRS_AT_ONCE)]
+    return np.concatenate([np.sqrt(((points[place[c]] - queries[row[c]]) ** 2).sum(axis=1)) for c in cuts])
+
+
+class Found(NamedTuple):
+    """Pairs found so far: query's row, vector's place and distance."""
+
+    row: np.ndarray
+    place: np.ndarray
+    score: np.ndarray
+
+
+def _best(found: Found, ids: np.ndarray, k: int) -> Found:
+    """The ``k`` nearest of each row, ties to the smaller id."""
+    order = np.lexsort((ids[found.place], found.score, found.row))
+    row = found.row[order]
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    rank = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+    kept = order[rank < k]
+    return Found(*(v[kept] for v in found))
+
+
+def nearest_of_group(
+    ids: np.ndarray, points: np.ndarray, cells: tuple[np.ndarray, np.ndarray], own: np.ndarray, queries: np.ndarray,
+    reaches: np.ndarray, centroids: tuple[np.ndarray, np.ndarray], k: int,
+) -> Found:
+    """The ``k`` nearest of a group's vectors for each query, among the cells within its reach; vectors are in the order of their first cell number."""
+    first, second = cells
+    low, high = centroids
+    starts = np.flatnonzero(np.diff(first, prepend=-1)).tolist()
+    ends = [*starts[1:], len(first)]
+    segments = [(x, min(x + VECTORS_AT_ONCE, end)) for start, end in zip(starts, ends, strict=True) for x in range(start, end, VECTORS_AT_ONCE)]
+    half, squares = low.shape[1], (points**2).sum(axis=1)
+    to_first, to_second = _squares(queries[:, :half], low), _squares(queries[:, half:], high)
+    found = Found(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    own_squares = (queries**2).sum(axis=1)
+    # What a distance by the matrix product can be off, squared, and far more.
+    slack = (points.shape[1] + 16) * 1e-15 * (own_squares + squares.max())
+    bound = np.full(len(queries), np.inf)
+    nearest_second = to_second.min(axis=1)
+    for start, end in segments:
+        to = to_first[:, first[start]]
+        rows = np.flatnonzero(~(to + nearest_second > reaches))
+        if not len(rows):
+            continue
+        near = own_squares[rows, None] + squares[None, start:end] - 2 * queries[rows] @ points[start:end].T
+        open_ = np.flatnonzero(np.isinf(bound[rows]))
+        if len(open_) and end - start > k:
+            # The k-th nearest here is a bound for the queries that have none yet.
+            some = rows[open_]
+            away = to[some, None] + to_second[some][:, second[start:end]] > reaches[some, None]
+            away |= ids[None, start:end] == own[some, None]
+            kth = np.partition(np.where(away, np.inf, near[open_]), k - 1, axis=1)[:, k - 1]
+            bound[some] = kth + 2 * slack[some]
+        row, place = np.nonzero(~(near > bound[rows, None]))
+        row, place = rows[row], place + start
+        held = ~(to[row] + to_second[row, second[place]] > reaches[row]) & (ids[place] != own[row])
+        row, place = row[held], place[held]
+        if not len(row):
+            continue
+        more = (row, place, _distances(points, place, queries, row))
+        found = _best(Found(*map(np.append, found, more)), ids, k)
+        whole = np.flatnonzero(np.bincount(found.row, minlength=len(queries)) == k)
+        worst = np.flatnonzero(np.diff(found.row, append=-1))
+        worst = worst[np.isin(found.row[worst], whole)]
+        bound[found.row[worst]] = np.minimum(bound[found.row[worst]], found.score[worst] ** 2 + 2 * slack[found.row[worst]])
+    return found
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, work: Workspace | None = None) -> DataFrame:
@@ -144,51 +225,75 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 10, work:
     counts = np.zeros((len(low), len(high)), np.int64)
     counts[held["first"], held["second"]] = held["size"]
     wanted = max(LEAST_CANDIDATES, int(CANDIDATE_SHARE * number))
-    book = spark.sparkContext.broadcast((low, high, counts))
+    workers = spark.sparkContext.defaultParallelism
+    cells = np.flatnonzero(counts)
+    held = counts.ravel()[cells]
+    group, parts = groups_of_cells(held, int(np.clip(number // (4 * workers), 1024, VECTORS_PER_GROUP)))
+    number_of_groups = int(group[-1] + parts[-1])
+    book = spark.sparkContext.broadcast((low, high, cells, held, group, parts))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, high, cells, _, group, parts = book.value
+        done = 0
+        for batch in batches:
+            cell = np.searchsorted(cells, batch.column(2).to_numpy() * len(high) + batch.column(3).to_numpy())
+            part = (done + np.arange(batch.num_rows)) % parts[cell]
+            done += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(group[cell] + part)], names=["vec_id", "vector", "first", "second", "group"])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low, high, counts = book.value
+        low, high, cells, held, group, parts = book.value
+        first_of, second_of = np.divmod(cells, len(high))
+        begins = np.flatnonzero(np.diff(group, prepend=-1))
+        largest = (low**2).sum(axis=1).max() + (high**2).sum(axis=1).max()
         for batch in batches:
             if batch.num_rows:
                 rows = _matrix(batch.column(1))
                 first, second = _squares(rows[:, :half], low), _squares(rows[:, half:], high)
-                # One more than wanted, as the query itself is in a cell too.
-                visits = [nearest_cells(first[r], second[r], counts, wanted + 1) for r in range(len(rows))]
-                at = np.repeat(np.arange(len(rows)), [len(v) for v in visits])
-                first, second = np.divmod(np.concatenate(visits), len(high))
-                order = np.lexsort((second, first, at))
-                at, first, second = at[order], first[order], second[order]
-                starts = np.flatnonzero(np.diff(at * len(low) + first, prepend=-1))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(at)), pa.int32()), pa.array(second))
-                columns = [batch.column(0).take(pa.array(at[starts])), pa.array(first[starts]), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "first", "seconds"])
-
-    queries = points.filter(is_query).dropDuplicates(["vec_id"])
-    visits, _ = work.write(f"{name}-visits", queries.repartition("vec_id").mapInArrow(visit, "query_id long, first long, seconds array<long>"))
+                # So much more that sums of another matrix product tell the same cells.
+                limits, visited = 1e-12 * ((rows**2).sum(axis=1) + largest), []
+                for r in range(len(rows)):
+                    sums = first[r, first_of] + second[r, second_of]
+                    # One more than wanted, as the query itself is in a cell too.
+                    limits[r] += reach(sums, held, wanted + 1)
+                    at = begins[np.logical_or.reduceat(~(sums > limits[r]), begins)]
+                    visited.append(np.repeat(group[at], parts[at]) + np.arange(parts[at].sum()) - np.repeat(np.cumsum(parts[at]) - parts[at], parts[at]))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, visited)]), pa.int32()), pa.array(np.concatenate(visited)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(limits), lists], names=["query_id", "vector", "reach", "groups"])
+
+    asking = points.filter(is_query).dropDuplicates(["vec_id"]).select("vec_id", "vector")
+    queries, number_of_queries = work.write(f"{name}-queries", asking)
+    if not number_of_queries:
+        return empty
+    # Explicit numbers: adaptive execution would merge these few rows into one task, whatever work they make.
+    shares = min(number_of_queries, max(workers, -(-number_of_queries // QUERIES_AT_ONCE)))
+    fields = "query_id long, vector array<double>, reach double, groups array<long>"
+    visits, _ = work.write(f"{name}-visits", queries.repartition(shares, "vec_id").mapInArrow(visit, fields))
+    asked = visits.select("query_id", "vector", "reach", F.explode("groups").alias("group"))
     query_parts = F.ceil(F.count(F.lit(1)) / QUERIES_PER_GROUP).cast("int").alias("query_parts")
-    vector_parts = F.ceil(F.sum("size") / VECTORS_PER_GROUP).cast("int").alias("vector_parts")
-    parts = visits.groupBy("first").agg(query_parts).join(sizes.groupBy("first").agg(vector_parts), "first")
-    parts, _ = work.write(f"{name}-parts", parts)
-
-    def part(column: str, number: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.col(number)).cast("int")
-
-    def all_parts(number: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
-
-    left = placed.join(parts, "first").withColumn("vector_part", part("vec_id", "vector_parts")).withColumn("query_part", all_parts("query_parts"))
-    left = left.select("first", "vector_part", "query_part", "vec_id", "second", "vector")
-    asked = visits.join(parts, "first").withColumn("query_part", part("query_id", "query_parts")).withColumn("vector_part", all_parts("vector_parts"))
-    asked = asked.join(queries.select(F.col("vec_id").alias("query_id"), "vector"), "query_id")
-    asked = asked.select("first", "vector_part", "query_part", "query_id", "seconds", "vector")
-    keys = ["first", "vector_part", "query_part"]
-
-    def compare(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(vectors) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _best(vectors, queries, k)
-
-    best = left.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(compare, "query_id long, vec_id long, score double")
+    asking_parts, _ = work.write(f"{name}-parts", asked.select("group").groupBy("group").agg(query_parts))
+    part = F.pmod(F.xxhash64("query_id"), F.col("query_parts")).cast("int")
+    keys = ["group", "query_part"]
+    asked = asked.join(asking_parts, "group").withColumn("query_part", part).drop("query_parts").repartition(number_of_groups, *keys)
+    dealt = placed.mapInArrow(deal, "vec_id long, vector array<double>, first long, second long, group long")
+    all_parts = F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1)).alias("query_part")
+    left = dealt.join(asking_parts, "group").select("group", all_parts, "vec_id", "first", "second", "vector").repartition(number_of_groups, *keys)
+
+    def compare(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        low, high, *_ = book.value
+        names, parts = ["query_id", "vec_id", "score"], []
+        if vectors.num_rows and queries.num_rows:
+            vectors = vectors.take(pc.sort_indices(vectors["first"]))
+            ids, points = vectors["vec_id"].to_numpy(), _matrix(vectors["vector"])
+            cells = vectors["first"].to_numpy(), vectors["second"].to_numpy()
+            for start in range(0, queries.num_rows, QUERIES_AT_ONCE):
+                some = queries.slice(start, QUERIES_AT_ONCE)
+                own, reaches = some["query_id"].to_numpy(), some["reach"].to_numpy()
+                best = nearest_of_group(ids, points, cells, own, _matrix(some["vector"]), reaches, (low, high), k)
+                parts.append(pa.table([pa.array(own[best.row]), pa.array(ids[best.place]), pa.array(best.score)], names=names))
+        return pa.concat_tables(parts) if parts else pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
+
+    best = left.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(compare, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

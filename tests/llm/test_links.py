@@ -1,6 +1,7 @@
 """Near duplicates, benchmark leaks, licenses, neighbours and mixes against plain versions."""
 
 import collections
+import os
 import random
 import re
 
@@ -321,6 +322,54 @@ def test_recall(spark):
     assert sum(len(mine[q] & {i for i, _ in near}) for q, near in expected.items()) >= 0.9 * sum(map(len, expected.values()))
 
 
+def test_neighbours_of_many_queries_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LEAST_CANDIDATES", 1 << 30)
+    monkeypatch.setattr(nearest, "QUERIES_PER_GROUP", 7, raising=False)
+    monkeypatch.setattr(nearest, "PAIRS_AT_ONCE", 50, raising=False)
+    draw = np.random.default_rng(12)
+    rows = [(k, (draw.normal(size=8) + 5 * (k % 4)).tolist()) for k in range(3000)]
+    rows += [(3000 + k, [1.0] * 8) for k in range(1500)] + [(k, [2.0] * 8) for k in range(100, 110)]
+    # Far from the origin a distance by a matrix product is off by more than the distances differ.
+    rows += [(5000 + k, [1e7 + j * 1e-3 + k * 1e-4 for j in range(8)]) for k in range(200)]
+    rows = [r for r in rows if r[0] != 100 or r[1] == [2.0] * 8]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for r in nearest.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, round(r.score, 9)))
+    assert found == plain_neighbours(rows, 10)
+
+
+def test_only_cells_within_reach_are_compared():
+    draw = np.random.default_rng(13)
+    points, queries = draw.normal(size=(400, 6)), draw.normal(size=(30, 6))
+    low, high = draw.normal(size=(5, 3)), draw.normal(size=(6, 3))
+    first, second = nearest._nearest(points[:, :3], low), nearest._nearest(points[:, 3:], high)
+    order = np.argsort(first, kind="stable")
+    points, first, second, ids = points[order], first[order], second[order], np.arange(400)[order]
+    sums = nearest._squares(queries[:, :3], low)[:, first] + nearest._squares(queries[:, 3:], high)[:, second]
+    reaches = np.quantile(sums, 0.3, axis=1) + 1e-9
+    found = nearest.nearest_of_group(ids, points, (first, second), np.full(30, -1), queries, reaches, (low, high), 4)
+    for r in range(30):
+        distance = np.sqrt(((points - queries[r]) ** 2).sum(axis=1))
+        near = sorted((d, i) for d, i, s in zip(distance, ids, sums[r]) if s <= reaches[r])[:4]
+        assert [(d, i) for d, i in zip(found.score[found.row == r], ids[found.place[found.row == r]])] == near
+
+
+def test_groups_hold_cells_in_a_row():
+    start, parts = nearest.groups_of_cells(np.array([3, 4, 2, 25, 1, 1, 9, 2]), 10)
+    assert start.tolist() == [0, 0, 0, 1, 4, 4, 5, 5] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
+
+
+def test_a_query_is_stored_once_and_not_with_its_cells(spark):
+    draw = np.random.default_rng(14)
+    rows = [(k, v) for k, v in enumerate(draw.normal(size=(6000, 8)).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    work = Workspace(spark)
+    assert nearest.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0, work=work).count() == 600
+    [visits] = [t for t in os.listdir(work.root.removeprefix("file:")) if t.endswith("-visits")]
+    assert spark.read.parquet(f"{work.root}/{visits}").count() == 60
+
+
 def test_permutations_are_permutations(spark):
     for size in (1, 2, 3, 64, 1000):
         rows = spark.range(size).select(mixing.permuted(F.col("id"), F.lit(size), F.lit(3).cast("long"), 5).alias("p")).collect()
