@@ -212,6 +212,28 @@ def test_long_waits_and_long_journeys_are_found(spark):
     assert [len(r.legs) for r in find(spark, [query(1, "P0", "P11", 20000)], line, {})] == [11]
 
 
+def test_a_short_span_first_finds_the_same_journeys(spark, monkeypatch):
+    names, trips, walks = random_network(3, 5, 14)
+    queries = [query(i, s, d, 3600, k=1 + i % 3) for i, (s, d) in enumerate((s, d) for s in names for d in names if s != d)]
+    # Searches without an answer end too.
+    queries += [query(900, "nowhere", names[0], 3600), query(901, names[0], "nowhere", 3600), query(902, names[1], names[1], 3600)]
+    found = []
+    for span in (1 << 20, 2400):
+        monkeypatch.setattr(j, "SPAN_S", span, raising=False)
+        found.append([(r.query_id, r.journey_rank, r.cost, r.transfers, r.walked_s, r.signature, r.legs) for r in find(spark, queries, trips, walks, max_legs=2)])
+    assert found[0] == found[1] and len(found[0]) > 9
+
+
+def test_labels_that_leave_too_early_to_be_an_answer_are_not_made(spark):
+    trips = {f"T{k}": [("A", 0, 600 * k), ("B", 600 * k + 300, 600 * k + 310)] for k in range(60)}
+    trips |= {f"U{k}": [("C", 0, 600 * k), ("A", 600 * k + 300, 600 * k + 310)] for k in range(60)}
+    work = Workspace(spark)
+    table = spark.createDataFrame([query(1, "A", "B", 36000, k=2), query(2, "C", "B", 36000, k=2)], QUERIES)
+    labels = j.search_journeys(table, hops_of(spark, trips), walks_of(spark, {("X", "Y"): 60}), work)
+    assert labels.filter("dep_s < 32400").count() == 0
+    assert [r.dep_s for r in j.pick_journeys(table, labels).filter("query_id = 1").orderBy("journey_rank").collect()] == [35400, 34800]
+
+
 LEGS = (
     "journey_id int, leg int, kind string, trip_id string, from_stop_id string, to_stop_id string, dep_s int, "
     "arr_s int, walk_s bigint, deadline_s int, rain boolean, temperature string"
