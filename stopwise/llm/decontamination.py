@@ -45,8 +45,8 @@ COUNTS_AT_ONCE = 1 << 19
 BUCKETS = 1 << 16
 RANK = 48
 SKETCH = 64
-#: Bytes of text that are counted at once for the sketch, and buckets that a task gives back at once.
-SKETCH_SLICE_BYTES = 1 << 20
+#: Bytes of text that are counted for the sketch or searched at once, and buckets that a task gives back at once.
+TEXT_AT_ONCE = 1 << 20
 BUCKETS_AT_ONCE = 1 << 13
 ITEMS_PER_BLOCK = 2000
 #: Share of the items that may have a distinctive word, and of a passage's distinctive weight that candidates have.
@@ -126,7 +126,7 @@ def _statistics(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         total, blocks = np.zeros(BUCKETS, np.int64), 0
         sketch = np.zeros((BUCKETS, SKETCH), np.int32)
         for batch in batches:
-            for part in slices(batch, "text", SKETCH_SLICE_BYTES):
+            for part in slices(batch, "text", TEXT_AT_ONCE):
                 words = split_words(part.column(1))
                 if not len(words.codes):
                     continue
@@ -308,7 +308,7 @@ def _search(documents: DataFrame, items: Items, weights: np.ndarray, basis: np.n
         least = np.full(len(items.ids), np.inf)
         np.minimum.at(least, items.passage_of, items.needed)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_AT_ONCE):
                 words = split_words(part.column(1))
                 if not len(words.codes):
                     continue

@@ -39,6 +39,7 @@ LEXICON_SHARE = 0.9
 LEXICON_COUNT = 5
 ITERATIONS = 60
 SEQUENCES_AT_A_TIME = 1024
+WORDS_AT_A_TIME = 1 << 13
 UNKNOWN = "und"
 
 SPANS = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType())]))
@@ -54,11 +55,15 @@ class LanguageModel(NamedTuple):
     transitions: np.ndarray  # language x language
 
     def emissions(self, vocabulary: list[str]) -> np.ndarray:
-        """Log-potential of each language for each word."""
-        word, bucket, share = _ngrams(vocabulary)
-        lexicon = _lexicon_of(vocabulary, self.lexicon, self.lexicon_of, len(self.languages))
-        sums = [np.bincount(word, self.ngrams[bucket, k] * share, len(vocabulary)) for k in range(len(self.languages))]
-        return np.column_stack(sums) + self.lexical[lexicon]
+        """Log-potential of each language for each word, worked off in parts of the vocabulary: a word has many n-grams."""
+        found = np.empty((len(vocabulary), len(self.languages)))
+        for low in range(0, len(vocabulary), WORDS_AT_A_TIME):
+            part = vocabulary[low : low + WORDS_AT_A_TIME]
+            word, bucket, share = _ngrams(part)
+            lexicon = _lexicon_of(part, self.lexicon, self.lexicon_of, len(self.languages))
+            sums = [np.bincount(word, self.ngrams[bucket, k] * share, len(part)) for k in range(len(self.languages))]
+            found[low : low + len(part)] = np.column_stack(sums) + self.lexical[lexicon]
+        return found
 
 
 def _ngrams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,6 +233,8 @@ def _posteriors(node: np.ndarray, edge: np.ndarray, offsets: np.ndarray) -> np.n
     place = first[np.arange(len(row)) - offsets[row]] + rank[row]
     ordered = np.empty_like(node)
     ordered[place] = node
+    # Each array holds a number for every word and language; a task's memory is that of those held at once.
+    del node, row
     forward, backward = np.empty_like(ordered), np.empty_like(ordered)
     bounds = first.tolist()
     counts = running.tolist()
@@ -244,9 +251,11 @@ def _posteriors(node: np.ndarray, edge: np.ndarray, offsets: np.ndarray) -> np.n
             later = slice(bounds[t + 1], bounds[t + 2])
             message = (ordered[later] * backward[later]) @ edge.T
             at[:more] = message / message.sum(axis=1, keepdims=True)
-    posterior = forward * backward
-    posterior /= posterior.sum(axis=1, keepdims=True)
-    return posterior[place]
+    del ordered
+    forward *= backward
+    del backward
+    forward /= forward.sum(axis=1, keepdims=True)
+    return forward[place]
 
 
 def identify_languages(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
@@ -266,8 +275,9 @@ def identify_languages(documents: DataFrame, model: LanguageModel | None) -> Dat
                 return [pa.array([UNKNOWN] * rows), pa.array(np.zeros(rows)), empty]
             lettered = pc.match_substring_regex(pa.array(words.vocabulary), r"\p{L}").to_numpy(zero_copy_only=False)
             emissions = model.emissions(words.vocabulary) * lettered[:, None]
-            node = _potentials(emissions).astype(np.float32)[words.codes]
-            posterior = _posteriors(np.maximum(node, 1e-12), np.maximum(_potentials(model.transitions.ravel()).reshape(size, size), 1e-12).astype(np.float32), words.offsets)
+            node = np.maximum(_potentials(emissions).astype(np.float32), 1e-12)
+            del emissions
+            posterior = _posteriors(node[words.codes], np.maximum(_potentials(model.transitions.ravel()).reshape(size, size), 1e-12).astype(np.float32), words.offsets)
             row = words.row_of_word()
             counted = lettered[words.codes]
             sums = np.column_stack([np.bincount(row, posterior[:, k] * counted, rows) for k in range(size)])
