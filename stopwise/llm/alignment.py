@@ -34,6 +34,8 @@ FIELDS = T.StructType([T.StructField(c, INTS) for c in ("a_ids", "b_ids", "a_cut
 #: An id pair is one number, a_id * PAIR + b_id; a slice has about so many distinct links of its rows.
 PAIR = 1 << 32
 LINKS_OF_SLICE = 1 << 19
+#: A row of slices is some MB, and whoever reads a row group may hold all of its rows: it ends after a few.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
 STATISTICS = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -288,7 +290,7 @@ def alignment_statistics(documents: DataFrame, a_path: str | None = None, b_path
 
     A task's rows are counted in slices: a slice has each of its distinct pairs once, and for each row which of them it holds how often.
     Only the distinct pairs meet the corpus-wide counts, so a pair that is in every text costs a row a slice, not a row a text;
-    a slice's counts then go back to it in one row, whose size its own pairs bound.
+    a slice's counts then go back to it, one slice at a time, whose size its own pairs bound.
     """
     spark = documents.sparkSession
     work = work or Workspace(spark)
@@ -323,32 +325,31 @@ def alignment_statistics(documents: DataFrame, a_path: str | None = None, b_path
             yield slice_row(number, parts)
 
     counted = ", ".join(f"{c} {t}" for c, t in fields.items())
-    slices_, _ = work.write(f"{name}-slices", documents.select("doc_id", "text").mapInArrow(count, counted))
+    slices_, _ = work.write(f"{name}-slices", documents.select("doc_id", "text").mapInArrow(count, counted), **ROW_GROUPS)
+    return _spread(slices_, work, name, f"doc_id {kind}, {STATISTICS}")
+
+
+def _spread(slices_: DataFrame, work: Workspace, name: str, schema: str) -> DataFrame:
+    """The statistics of the rows of all slices, with the corpus-wide counts of their pairs."""
     pair = F.posexplode(F.arrays_zip("pairs", "totals")).alias("place", "p")
     held = slices_.select("slice", pair).select("slice", "place", F.col("p.pairs").alias("pair"), F.col("p.totals").alias("total"))
     counts, _ = work.write(f"{name}-counts", held.groupBy("pair").agg(F.sum("total").alias("count")))
     b_id = F.pmod("pair", F.lit(PAIR))
     best = counts.groupBy(b_id.alias("b_id")).agg(F.max("count").alias("most"))
     judged = counts.withColumn("b_id", b_id).join(best, "b_id").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    found = held.select("slice", "place", "pair").join(judged, "pair").select("slice", "place", "count", "best")
-    back = found.groupBy("slice").agg(F.collect_list(F.struct("place", "count", "best")).alias("found"))
-    back = back.select("slice", *(F.col(f"found.{c}").alias(c) for c in ("place", "count", "best")))
-    rows = slices_.drop("pairs", "totals").join(back, "slice", "left")
-    own = list(row_fields) + list(own_fields)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                one = batch.slice(at, 1)
-                ids, n_a, n_b, n_groups, n_links, digests, starts, codes, times = (one.column(k).flatten() for k in range(1, len(own) + 1))
-                place, count, best = (one.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(len(own) + 1, len(own) + 4))
-                counts, bests = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-                counts[place], bests[place] = count, best
-                code, times = codes.to_numpy(), times.to_numpy().astype(np.int64)
-                sums = [np.concatenate(([0], np.cumsum(times * table[code]))) for table in (bests, counts)]
-                cuts = starts.to_numpy()
-                n_best, count_sum = (pa.array(s[cuts[1:]] - s[cuts[:-1]]) for s in sums)
-                yield pa.RecordBatch.from_arrays([ids, n_a, n_b, n_groups, n_links, n_best, count_sum, digests], names=["doc_id", *(f.split()[0] for f in STATISTICS.split(", "))])
-
-    order = rows.select("slice", *own, "place", "count", "best")
-    return order.mapInArrow(spread, f"doc_id {kind}, {STATISTICS}")
+    found = held.select("slice", "place", "pair").join(judged, "pair").select(F.col("slice").alias("of"), "place", "count", "best")
+
+    def spread(one: pa.Table, found: pa.Table) -> pa.Table:
+        lists = {c: one.column(c).combine_chunks().flatten() for c in one.column_names if c != "slice"}
+        place, count, best = (found.column(c).to_numpy() for c in ("place", "count", "best"))
+        counts, bests = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        counts[place], bests[place] = count, best
+        code, times, cuts = (lists[c].to_numpy() for c in ("codes", "times", "starts"))
+        n_best, count_sum = (np.concatenate(([0], np.cumsum(times * table[code]))) for table in (bests, counts))
+        sums = {"n_best": n_best[cuts[1:]] - n_best[cuts[:-1]], "count_sum": count_sum[cuts[1:]] - count_sum[cuts[:-1]]}
+        given = {"doc_id": lists["doc_ids"], "groups_sha256": lists["digests"]} | {c: lists[c] for c in ("n_a", "n_b", "n_groups", "n_links")}
+        return pa.table(given | sums).select([f.split()[0] for f in schema.split(", ")])
+
+    # One slice at a time: no list of the counts of many slices is held.
+    rows = slices_.drop("pairs", "totals").groupBy("slice")
+    return rows.cogroup(found.groupBy("of")).applyInArrow(spread, schema)

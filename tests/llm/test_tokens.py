@@ -1,6 +1,7 @@
 """Encoding, alignment and packing against plain versions on whole texts."""
 
 import collections
+import glob
 import hashlib
 import random
 import zlib
@@ -8,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -15,6 +17,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from stopwise.llm import alignment, packing, tokens
+from stopwise.sources.workspace import Workspace
 
 FOLDER = "/root/testdata/sf0.001"
 A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -270,3 +273,18 @@ def test_packing_of_odd_tables(spark):
     checked_packing(pieces, [r[:2] for r in rows])
     assert sorted(p.ids for p in pieces)[0] == [1]
     assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_alignment_never_gathers_the_counts_of_many_slices(spark, monkeypatch):
+    # A slice a batch of texts, and a row group a slice.
+    monkeypatch.setattr(alignment, "LINKS_OF_SLICE", 1)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 64)
+    monkeypatch.setattr(alignment, "ROW_GROUPS", alignment.ROW_GROUPS | {"parquet.block.size": "1"})
+    rows = [(k % 30, f"some words {k % 7} and a few more of them, näive {k}" if k % 5 else None) for k in range(40)] + [(None, "")]
+    work = Workspace(spark)
+    found = alignment.alignment_statistics(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), work=work)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(plain_alignment(rows), key=repr)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{work.root.removeprefix('file:')}/*-slices/*.parquet")]
+    assert sum(f.num_rows for f in files) > 20
+    assert all(f.row_group(k).num_rows <= 2 for f in files for k in range(f.num_row_groups))
