@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import decontamination, language, mixing, near_duplicates, toxicity
+from stopwise.llm.id_sets import rows_without
 from stopwise.sources.workspace import Workspace
 
 #: Columns of documents that the operators read.
@@ -46,11 +47,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     renamed, restored = _unclashing(docs)
     work = Workspace(spark)
     keyed, _ = work.write("keyed", renamed.withColumn("_row", F.monotonically_increasing_id()))
-    found = near_duplicates.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    own = Workspace(spark)
+    found = near_duplicates.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), work=own)
     placed = found.select(F.col("doc_id").alias("_row"), "component_id").join(keyed.select("_row", "doc_id"), "_row")
+    placed, _ = own.write("placed", placed)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
-    kept, _ = work.write("kept", placed.groupBy("component_id").agg(first).select("first._row"))
-    return restored(keyed.join(kept, "_row", "left_semi"))
+    kept, _ = own.write("kept", placed.groupBy("component_id").agg(first).select("first._row"))
+    dropped, _ = work.write("dropped", placed.select("_row").join(kept, "_row", "left_anti"))
+    own.drop()
+    return restored(rows_without(keyed, dropped, "_row"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +65,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed, _ = work.write("keyed", renamed.withColumn("_row", F.monotonically_increasing_id()))
     leaks = decontamination.find_benchmark_items(keyed.select(F.col("_row").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     leaking, _ = work.write("leaking", leaks.select(F.col("doc_id").alias("_row")).distinct())
-    return restored(keyed.join(leaking, "_row", "left_anti"))
+    return restored(rows_without(keyed, leaking, "_row"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,10 +160,17 @@ def _latent_space(sketch: np.ndarray, items: Words, weights: np.ndarray) -> np.n
     """Leading singular vectors of the weighted sketches of the documents and of the items (bucket x rank), which count the same."""
     own = np.zeros((BUCKETS, SKETCH), np.int32)
     _add_to_sketch(own, items, _buckets(_hashes(items)), mix(np.arange(1, len(items.offsets), dtype=np.uint64)))
-    weighted = [weights[:, None] * part for part in (sketch, own)]
-    both = np.hstack([part / max(np.linalg.norm(part), 1e-9) for part in weighted])
+    # Made in place, and given up before the directions are made orthogonal: the driver holds it beside all else.
+    both = np.empty((BUCKETS, 2 * SKETCH))
+    for k, part in enumerate((sketch, own)):
+        half = both[:, k * SKETCH : (k + 1) * SKETCH]
+        np.multiply(weights[:, None], part, out=half)
+        half /= max(np.linalg.norm(half), 1e-9)
+    del own, part, half
     _, directions = np.linalg.eigh(both.T @ both)
-    return np.linalg.qr(both @ directions[:, ::-1][:, :RANK])[0].astype(np.float32)
+    leading = both @ directions[:, ::-1][:, :RANK]
+    del both
+    return np.linalg.qr(leading)[0].astype(np.float32)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:

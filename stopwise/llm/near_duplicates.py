@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.llm.components import connected_components
+from stopwise.llm.id_sets import rows_among
 from stopwise.llm.words import Words, mix, slices, split_words, word_hashes
 from stopwise.sources.workspace import Workspace
 
@@ -57,9 +58,6 @@ LARGE = 1000
 OVERLAP = 14
 #: Sets up to this size are compared whole by their sketches, as are the sets they can be linked with.
 SMALL = 25
-#: Bits of the table that tells which documents' texts need not be shuffled, at most 8 MB, in rows of ``ROW_BITS``.
-ID_BITS = 1 << 26
-ROW_BITS = 1 << 15
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -169,24 +167,6 @@ def _postings(classes: DataFrame) -> DataFrame:
     return by_class.select("id", "n", F.explode(entered).alias("v")).select(F.col("v.value").alias("value"), "id", "n")
 
 
-def _chosen(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """``documents`` whose doc_id is among ``ids``.
-
-    Texts are joined only after a bit table of hashed ids, bounded by ``ID_BITS`` however many there are, has passed them. Ids far
-    beyond that number would fill the table, and all texts would be shuffled; it never decides.
-    """
-
-    def placed(column: str) -> tuple[Column, Column]:
-        place = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(ID_BITS))
-        return F.floor(place / ROW_BITS).alias("_row"), F.pmod(place, F.lit(ROW_BITS)).alias("_place")
-
-    bits = ids.select(*placed("id")).groupBy("_row").agg(F.bitmap_construct_agg("_place").alias("_bits"))
-    held = documents.select("doc_id", "text", *placed("doc_id")).join(F.broadcast(bits), "_row")
-    byte = "cast(conv(hex(substring(_bits, cast(_place DIV 8 AS int) + 1, 1)), 16, 10) AS int)"
-    passed = held.filter(F.expr(f"shiftright({byte}, cast(_place % 8 AS int)) & 1 = 1")).select("doc_id", "text")
-    return passed.join(ids, passed["doc_id"] == ids["id"], "left_semi")
-
-
 def _confirmed(work: Workspace, name: str, pairs: DataFrame, classes: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) that are links."""
     first = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
@@ -194,9 +174,9 @@ def _confirmed(work: Workspace, name: str, pairs: DataFrame, classes: DataFrame,
     both = pairs.join(first, "a").join(second, "b")
     likely = _likely(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"), K, OVERLAP)
     likely, _ = work.write(f"{name}-likely", both.filter(likely).select("a", "b").distinct())
-    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
     ids, _ = work.write(f"{name}-ids", ids)
-    sets, _ = work.write(f"{name}-sets", _full_sets(_chosen(documents, ids), size))
+    sets, _ = work.write(f"{name}-sets", _full_sets(rows_among(documents.select("doc_id", "text"), ids, "doc_id"), size))
     first = sets.select(F.col("id").alias("a"), F.col("values").alias("values_a"))
     second = sets.select(F.col("id").alias("b"), F.col("values").alias("values_b"))
     full = likely.join(first, "a").join(second, "b")

@@ -71,3 +71,12 @@ def test_search_holds_a_small_slice_of_the_texts_at_once(spark, monkeypatch):
     found = [r for out in run(iter([batch])) for r in out.to_pylist()]
     assert [(r["doc_id"], r["item_id"]) for r in found] == [(k, 5) for k in range(20)]
     assert len(sizes) == len(list(slices(batch, "text", 1 << 20))) and max(sizes) < (1 << 20) + len(texts[0])
+
+
+def test_latent_space_takes_few_times_the_sketch():
+    words = split_words(pa.array([" ".join(f"item{k}" for k in range(40))]))
+    draw = np.random.default_rng(5)
+    sketch = draw.integers(-9, 10, (decontamination.BUCKETS, decontamination.SKETCH)).astype(float)
+    peak, basis = _peak(lambda: decontamination._latent_space(sketch, words, np.ones(decontamination.BUCKETS)))
+    assert peak < 4 * sketch.nbytes
+    assert np.allclose(basis.T @ basis, np.eye(decontamination.RANK), atol=1e-4)
