@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stopwise.config import DAY_S, TRANSFER_TIME_S, WALKING, WALKING_SPEED_MPS
-from stopwise.operators.journeys import LEG, SEARCH_KEY, search_rides, search_walks
+from stopwise.operators.journeys import LEG, SEARCH_KEY, search_rides, search_walks, stored_rides
 from stopwise.sources.workspace import Workspace
 
 #: Arrivals of so many seconds are looked at in a round, of four times as many after a round with few new labels in the search;
@@ -160,11 +160,14 @@ def _with_bounds(both: DataFrame) -> DataFrame:
     ahead = stop.orderBy("origin", "walked_s", F.desc("dep_s"), F.desc("ride_by_s"), "fresh", "transfers").rowsBetween(Window.unboundedPreceding, -1)
     # A label that connects as late as it leaves is beaten by one that connects as late: that one leaves late enough too.
     dominated = F.when(F.col("ride_by_s") == F.col("dep_s"), F.col("below_s") >= F.col("ride_by_s")).otherwise(F.col("above_s") >= F.col("dep_s"))
+    dominated = ~F.col("origin") & F.coalesce(dominated, F.lit(False))
     kept = both.repartition("search_id").withColumns({"below_s": F.max("ride_by_s").over(ahead), "above_s": F.max("dep_s").over(ahead)})
+    # Most new labels go here: what dominates them stands for them in all that follows. Old ones tell what has been served first.
+    kept = kept.filter(~(F.col("fresh") & dominated))
     # An old label with as much walking has served the arrivals from its time down to the window's floor.
     served = F.when(F.col("fresh"), F.max(F.when(~F.col("fresh"), F.col("ride_by_s"))).over(alike))
     kept = kept.withColumns({"served_s": served, "window_top_s": F.max("floor_s").over(search)})
-    kept = kept.filter(F.col("origin") | ~F.coalesce(dominated, F.lit(False))).withColumn("below_s", F.coalesce("below_s", F.lit(-1)))
+    kept = kept.filter(~dominated).withColumn("below_s", F.coalesce("below_s", F.lit(-1)))
     kept = kept.withColumn("best_s", F.max("dep_s").over(stop))
     reached = F.min(F.when(F.col("origin"), F.coalesce("best_s", F.lit(-1)))).over(search)
     waits = ~F.col("origin") & (F.col("open_s") > F.col("below_s"))
@@ -195,7 +198,7 @@ def latest_labels(
     transfer_time: int = TRANSFER_TIME_S,
 ) -> DataFrame:
     """Labels of all rounds, each in the round that made it (``fresh``) and those after it."""
-    rides, _ = workspace.write("latest-rides", search_rides(hops))
+    rides = stored_rides(hops, workspace, "latest-")
     stops, _ = workspace.write("latest-stops", run_stops(rides))
     boardings, _ = workspace.write("latest-boardings", run_boardings(stops))
     arrivals, _ = workspace.write("latest-arrivals", search_arrivals(rides, stops))

@@ -1,8 +1,10 @@
 """The search for one journey a query against plain enumeration, with legs that hold together."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from stopwise.operators import latest
+from stopwise.operators.journeys import search_journeys
 from stopwise.operators.network import ride_runs
 from stopwise.sources.workspace import Workspace
 from test_journeys import QUERIES, TRIPS, H, enumerate_journeys, hops_of, query, random_network, walks_of
@@ -76,3 +78,15 @@ def test_rides_are_cut_where_a_stop_would_repeat(spark):
 
 def test_no_queries(spark):
     assert find(spark, [query(1, "X", "X", 10 * H)], TRIPS, {("X", "Y"): 300}) == {}
+
+
+@pytest.mark.parametrize("search", [latest.latest_departures, search_journeys])
+def test_hops_are_worked_through_once(spark, search):
+    names, trips, walks = random_network(5, 6, 30)
+    seen = spark.sparkContext.accumulator(0)
+    # Looked at after the shuffle that the search needs, as the hops of a timetable are.
+    hops = hops_of(spark, trips).repartition(2, "trip_id")
+    counted = hops.withColumn("dep_s", F.udf(lambda v: seen.add(1) or v, "int")("dep_s"))
+    queries = spark.createDataFrame([query(1, names[0], names[1], 3600, k=1)], QUERIES)
+    search(queries, counted, walks_of(spark, walks), Workspace(spark)).collect()
+    assert seen.value == hops.count()
