@@ -1,195 +1,50 @@
 """The latest-leaving journey of each query, by a search that goes back in time.
 
 Where one journey a query is wanted, a label needs no path: what would come back to a stop is dominated by the stop's own label.
-A search keeps, for each stop, the staircase of its undominated labels: the more has been walked, the later one may leave or
-arrive. A label serves the arrivals at its stop that are too late for the labels with less walking, down to those not yet looked
-at; these intervals are disjoint, and what an equal label before it has served is left out, so an arrival meets one label of a
-search, stop and walking.
-
-A round looks at the arrivals of each search in one window of time, from the latest one that is still open: the hits of a run
-and walking so far become one, the latest alighting, and each stop before it on the run gets a candidate. Walks go on
-from all new labels. Then the windows move back. A search ends when all its origins can be left later than its latest open
-arrival, so what is worse than the answer is hardly ever looked at.
-
-All of a round's decisions take one shuffle by search: staircases, bounds and windows are window functions over it. A search's
-state is bounded by the stops and their staircases; a run is bounded by its trip. Each round is a written table. Labels hold no
-legs: those of the answers are found afterwards, from the labels of earlier rounds.
+A search goes back from its deadline, event by event (``timed_search.latest_departures``), and ends when all its origins are reached, so
+what is worse than the answer is not looked at. Its state is bounded by the stops it comes to and the runs it scans. Each search is
+worked off by one task; ``latest_journeys`` makes labels with legs only for what an origin can come to when left at its answer.
 """
 
 from __future__ import annotations
 
-import functools
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from stopwise.config import DAY_S, TRANSFER_TIME_S, WALKING, WALKING_SPEED_MPS
-from stopwise.operators.journeys import LEG, SEARCH_KEY, search_rides, search_walks, stored_rides
-from stopwise.sources.workspace import Workspace
 
-#: Arrivals of so many seconds are looked at in a round, of four times as many after a round with few new labels in the search;
-#: labels meet arrivals in buckets of so many seconds.
-WINDOW_S = 7200
-FEW_LABELS = 30
-BUCKET_S = 900
-#: ``ride_by_s`` is the latest arrival that the label serves, ``made`` the round that made it. Marks of origins have no times.
-STATE = (
-    "search_id long, stop_id string, walked_s long, budget_s long, dep_s int, ride_by_s int, transfers int, origin boolean, "
-    "made int, fresh boolean, open_s int, below_s int, served_s int, floor_s int, bound_s int, window_s int, active boolean, window_top_s int"
+from stopwise.config import TRANSFER_TIME_S, WALKING_SPEED_MPS
+from stopwise.operators import timed_search
+from stopwise.operators.journeys import (  # noqa: F401
+    FOLD_ROWS,
+    LABELS,
+    SEARCH_KEY,
+    dealt,
+    run_boardings,
+    run_stops,
+    search_rides,
+    searches_of,
+    stored_network,
 )
-#: A label's departure and transfers as one number, so that the latest departure with fewest transfers is a maximum.
-MOST_TRANSFERS = 1 << 10
-
-
-def _columns() -> list[str]:
-    return [c.split()[0] for c in STATE.split(", ")]
-
-
-def _packed(value: Column, transfers: Column) -> Column:
-    return (value.cast("long") * MOST_TRANSFERS + (MOST_TRANSFERS - 1 - F.least(transfers, F.lit(MOST_TRANSFERS - 1)))).cast("long")
-
-
-def _unpacked(packed: Column) -> tuple[Column, Column]:
-    value = F.floor(packed / MOST_TRANSFERS).cast("int")
-    return value, (MOST_TRANSFERS - 1 - F.pmod(packed, F.lit(MOST_TRANSFERS))).cast("int")
-
-
-def search_arrivals(rides: DataFrame, stops: DataFrame) -> DataFrame:
-    """Where and when each hop of a run can be left, and whether its run comes to a stop twice."""
-    twice = stops.groupBy("run_id", "stop_id").count().filter("count > 1")
-    repeats = twice.select("run_id", F.lit(True).alias("repeats")).distinct()
-    left = rides.filter("arr_s IS NOT NULL").join(repeats, "run_id", "left")
-    return left.select(
-        F.col("alight_stop_id").alias("stop_id"), F.floor(F.col("arr_s") / BUCKET_S).alias("bucket"), "arr_s", "run_id",
-        "seq", F.coalesce("repeats", F.lit(False)).alias("repeats"),
-    )
-
-
-def run_stops(rides: DataFrame) -> DataFrame:
-    """Stops of each run with their place: the boarding stop of each hop, and the last hop's end."""
-    ends = F.array(
-        F.struct((F.col("seq") - 1).alias("place"), F.col("board_stop_id").alias("stop_id"), "dep_s"),
-        F.struct(F.col("seq").alias("place"), F.col("alight_stop_id").alias("stop_id"), F.lit(None).cast("int").alias("dep_s")),
-    )
-    both = rides.select("run_id", "trip_id", F.inline(ends))
-    return both.groupBy("run_id", "trip_id", "place").agg(F.max("stop_id").alias("stop_id"), F.max("dep_s").alias("dep_s"))
-
-
-def run_boardings(stops: DataFrame) -> DataFrame:
-    """For each run its boardings in order; a ride from a boarding may end before place ``until``, where it would repeat a stop."""
-    again = F.lead("place").over(Window.partitionBy("run_id", "stop_id").orderBy("place"))
-    after = Window.partitionBy("run_id").orderBy("place").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    limited = stops.withColumn("again", again).withColumn("until", F.min("again").over(after))
-    boarding = F.struct("place", "stop_id", "dep_s", "until")
-    return limited.filter("dep_s IS NOT NULL").groupBy("run_id", "trip_id").agg(F.array_sort(F.collect_list(boarding)).alias("boardings"))
-
-
-def first_state(searches: DataFrame, queries: DataFrame, walking_speed: float, transfer_time: int) -> DataFrame:
-    """The destination's label of each search, and a mark for each origin that it is asked for."""
-    ends = searches.select(
-        "search_id", F.col("to_stop_id").alias("stop_id"), F.col("arrival_s").cast("int").alias("dep_s"),
-        (F.col("arrival_s") - transfer_time).cast("int").alias("ride_by_s"), F.lit(0).cast("long").alias("walked_s"),
-        F.floor(F.col("max_walk_m") / walking_speed + 1e-9).alias("budget_s"), F.lit(0).alias("transfers"),
-        F.lit(False).alias("origin"),
-    )
-    asked = queries.join(searches, list(SEARCH_KEY)).filter("from_stop_id != to_stop_id")
-    marks = asked.select("search_id", F.col("from_stop_id").alias("stop_id"), F.lit(True).alias("origin")).distinct()
-    ends = ends.join(marks.select("search_id").distinct(), "search_id", "left_semi")
-    given = ends.unionByName(marks, allowMissingColumns=True)
-    return given.withColumns({"fresh": ~F.col("origin"), "made": F.lit(0), "open_s": F.col("ride_by_s")})
-
-
-def ride_candidates(state: DataFrame, arrivals: DataFrame, boardings: DataFrame, transfer_time: int) -> DataFrame:
-    """Labels that ride to a label's stop, from the arrivals of the label's interval that lie in its search's window."""
-    low = F.greatest("floor_s", "below_s", F.lit(-1))
-    buckets = F.sequence(F.floor((low + 1) / BUCKET_S), F.floor(F.col("open_s") / BUCKET_S))
-    bound = F.coalesce("bound_s", F.lit(-1)).alias("bound_s")
-    waiting = state.filter(F.col("active") & ~F.col("origin") & (F.col("open_s") > low)).select(
-        "search_id", "stop_id", "walked_s", "budget_s", "transfers", bound, "open_s", "served_s", "window_top_s",
-        low.alias("low_s"), F.explode(buckets).alias("bucket"),
-    )
-    at = F.col("arr_s")
-    served = (at <= F.coalesce("served_s", F.lit(-1))) & (at > F.coalesce("window_top_s", F.lit(-1)))
-    hits = waiting.join(arrivals, ["stop_id", "bucket"]).filter((at > F.col("low_s")) & (at <= F.col("open_s")) & ~served)
-    # One hit of a run and walking is enough, the latest alighting; where the run repeats a stop, each alighting counts.
-    hit = F.max(_packed(F.col("seq"), F.col("transfers") + 1))
-    hits = hits.select("search_id", "run_id", "walked_s", "budget_s", "bound_s", "seq", "transfers", F.when(F.col("repeats"), F.col("seq")).alias("each"))
-    hits = hits.repartition("run_id").groupBy("run_id", "search_id", "walked_s", "budget_s", "bound_s", "each").agg(hit.alias("hit"))
-    seq, rides = _unpacked(F.col("hit"))
-    reached = hits.select("*", seq.alias("seq"), rides.alias("rides")).join(boardings, "run_id").select("*", F.inline("boardings"))
-    reached = reached.filter(
-        (F.col("place") < F.col("seq")) & (F.coalesce("until", F.col("seq") + 1) > F.col("seq")) & (F.col("dep_s") > F.col("bound_s"))
-    )
-    return reached.select(
-        "search_id", "stop_id", "walked_s", "budget_s", "dep_s", F.lit(transfer_time).alias("wait_s"), F.col("rides").alias("transfers")
-    )
-
+from stopwise.sources.workspace import Workspace
 
-def walk_candidates(state: DataFrame, walks: DataFrame) -> DataFrame:
-    """Labels that walk to a new label's stop within the budget; the walk takes the longer of walking and minimum transfer time."""
-    fresh = state.filter("active AND fresh AND NOT origin").withColumnRenamed("stop_id", "at_stop_id")
-    dep = F.col("dep_s") - F.greatest("transfer_time", "walk_s").cast("int")
-    walked = F.col("walked_s") + F.col("walk_s")
-    reached = fresh.join(walks, "at_stop_id").filter((walked <= F.col("budget_s")) & (dep > F.coalesce("bound_s", F.lit(-1))))
-    return reached.select(
-        "search_id", F.col("start_stop_id").alias("stop_id"), walked.alias("walked_s"), "budget_s", dep.alias("dep_s"),
-        F.lit(0).alias("wait_s"), (F.col("transfers") + 1).alias("transfers"),
-    )
+DEPARTURES = "search_id long, stop_id string, dep_s int, walked_s long"
 
 
-def settled(state: DataFrame, candidates: DataFrame, made: int) -> DataFrame:
-    """The next round's state: staircases of old and new labels, and each search's bound and window, in one shuffle by search."""
-    old = state.filter("active").withColumn("fresh", F.lit(False))
-    # What the window held has been looked at.
-    old = old.withColumn("open_s", F.least("open_s", F.greatest("floor_s", F.lit(-1))))
-    keys = ["search_id", "stop_id", "walked_s", "budget_s", "wait_s"]
-    latest = F.max(_packed(F.col("dep_s"), F.col("transfers")))
-    dep, transfers = _unpacked(F.col("latest"))
-    new = candidates.repartition("search_id").groupBy(*keys).agg(latest.alias("latest"))
-    new = new.withColumns({"dep_s": dep, "transfers": transfers}).withColumn("ride_by_s", F.col("dep_s") - F.col("wait_s")).drop("latest", "wait_s")
-    new = new.withColumns({"origin": F.lit(False), "fresh": F.lit(True), "made": F.lit(made), "open_s": F.col("ride_by_s")})
-    both = old.select(*_columns()).repartition("search_id").unionByName(new, allowMissingColumns=True)
-    return _with_bounds(both)
+def _searches(queries: DataFrame, workspace: Workspace, walking_speed: float) -> tuple[DataFrame, int]:
+    # Numbered, not hashed, so that no two searches can share an id.
+    searches = searches_of(queries.withColumn("k", F.lit(1)), walking_speed).withColumn("search_id", F.monotonically_increasing_id())
+    return workspace.write("latest-searches", searches)
 
 
-def _with_bounds(both: DataFrame) -> DataFrame:
-    """Undominated labels with the part of their interval that is open, and their search's bound and next window."""
-    stop, search = Window.partitionBy("search_id", "stop_id"), Window.partitionBy("search_id")
-    alike = Window.partitionBy("search_id", "stop_id", "origin", "walked_s")
-    ahead = stop.orderBy("origin", "walked_s", F.desc("dep_s"), F.desc("ride_by_s"), "fresh", "transfers").rowsBetween(Window.unboundedPreceding, -1)
-    # A label that connects as late as it leaves is beaten by one that connects as late: that one leaves late enough too.
-    dominated = F.when(F.col("ride_by_s") == F.col("dep_s"), F.col("below_s") >= F.col("ride_by_s")).otherwise(F.col("above_s") >= F.col("dep_s"))
-    dominated = ~F.col("origin") & F.coalesce(dominated, F.lit(False))
-    kept = both.repartition("search_id").withColumns({"below_s": F.max("ride_by_s").over(ahead), "above_s": F.max("dep_s").over(ahead)})
-    # Most new labels go here: what dominates them stands for them in all that follows. Old ones tell what has been served first.
-    kept = kept.filter(~(F.col("fresh") & dominated))
-    # An old label with as much walking has served the arrivals from its time down to the window's floor.
-    served = F.when(F.col("fresh"), F.max(F.when(~F.col("fresh"), F.col("ride_by_s"))).over(alike))
-    kept = kept.withColumns({"served_s": served, "window_top_s": F.max("floor_s").over(search)})
-    kept = kept.filter(~dominated).withColumn("below_s", F.coalesce("below_s", F.lit(-1)))
-    kept = kept.withColumn("best_s", F.max("dep_s").over(stop))
-    reached = F.min(F.when(F.col("origin"), F.coalesce("best_s", F.lit(-1)))).over(search)
-    waits = ~F.col("origin") & (F.col("open_s") > F.col("below_s"))
-    kept = kept.withColumns(
-        {
-            "bound_s": F.nullif(reached, F.lit(-1)),
-            "top_s": F.max(F.when(waits, F.col("open_s"))).over(search),
-            "walk_s": F.max(F.when(F.col("fresh"), F.col("dep_s"))).over(search),
-            "few": F.count_if(F.col("fresh")).over(search) < FEW_LABELS,
-            "before_s": F.max("window_s").over(search),
-        }
-    )
-    bound = F.coalesce("bound_s", F.lit(-1))
-    active = F.greatest(F.coalesce("top_s", F.lit(-1)), F.coalesce("walk_s", F.lit(-1))) > bound
-    wider = F.least(F.coalesce("before_s", F.lit(WINDOW_S // 4)) * 4, F.lit(2 * DAY_S))
-    kept = kept.withColumn("window_s", F.when(F.col("few"), wider).otherwise(WINDOW_S))
-    floor = F.greatest(F.coalesce(F.col("top_s") - F.col("window_s"), F.lit(-1)), bound, F.lit(-1))
-    return kept.withColumns({"active": active, "floor_s": floor}).select(*_columns())
+def _answers(queries: DataFrame, searches: DataFrame, found: DataFrame) -> DataFrame:
+    """Queries with the values of ``found`` for their search and origin."""
+    asked = queries.join(searches.select(*SEARCH_KEY, "search_id"), list(SEARCH_KEY))
+    values = [c for c in found.columns if c not in ("search_id", "stop_id", "transfers", "label_id")]
+    joined = asked.join(found.withColumnRenamed("stop_id", "from_stop_id"), ["search_id", "from_stop_id"])
+    cost = F.col("arrival_s") - F.col("dep_s")
+    return joined.select(*queries.columns, cost.alias("cost"), *values)
 
 
-def latest_labels(
-    searches: DataFrame,
+def latest_departures(
     queries: DataFrame,
     hops: DataFrame,
     walks: DataFrame,
@@ -197,93 +52,31 @@ def latest_labels(
     walking_speed: float = WALKING_SPEED_MPS,
     transfer_time: int = TRANSFER_TIME_S,
 ) -> DataFrame:
-    """Labels of all rounds, each in the round that made it (``fresh``) and those after it."""
-    rides = stored_rides(hops, workspace, "latest-")
-    stops, _ = workspace.write("latest-stops", run_stops(rides))
-    boardings, _ = workspace.write("latest-boardings", run_boardings(stops))
-    arrivals, _ = workspace.write("latest-arrivals", search_arrivals(rides, stops))
-    on_foot, _ = workspace.write("latest-walks", search_walks(walks))
-    schema = workspace.spark.createDataFrame([], STATE).schema
-    none = workspace.spark.createDataFrame([], schema)
-    given = first_state(searches, queries, walking_speed, transfer_time)
-    number, going = 0, 1
-    following = _with_bounds(none.unionByName(given, allowMissingColumns=True))
-    while going:
-        state, _ = workspace.write(f"latest/round={number}", following)
-        going = state.filter("active").limit(1).count()
-        candidates = ride_candidates(state, arrivals, boardings, transfer_time)
-        number += 1
-        following = settled(state, candidates.unionByName(walk_candidates(state, on_foot)), number)
-    return workspace.read("latest/round=*", schema)
-
-
-def _searched(queries: DataFrame, hops: DataFrame, walks: DataFrame, workspace: Workspace, **options) -> tuple[DataFrame, DataFrame]:
-    # Numbered, not hashed, so that no two searches can share an id.
-    keys = queries.select(*SEARCH_KEY).distinct().withColumn("search_id", F.monotonically_increasing_id())
-    searches, _ = workspace.write("latest-searches", keys)
-    labels = latest_labels(searches, queries, hops, walks, workspace, **options).filter("fresh AND NOT origin")
-    asked = queries.join(searches, list(SEARCH_KEY)).filter("from_stop_id != to_stop_id")
-    values = ("dep_s", "transfers", "walked_s", "made")
-    found = labels.filter("made > 0").withColumnRenamed("stop_id", "from_stop_id")
-    found = found.join(asked.select("search_id", "from_stop_id").distinct(), ["search_id", "from_stop_id"], "left_semi")
-    best = found.groupBy("search_id", "from_stop_id").agg(F.min_by(F.struct(*values), F.struct(-F.col("dep_s"), *values[1:])).alias("b"))
-    joined = asked.join(best, ["search_id", "from_stop_id"]).select(*queries.columns, "search_id", "b.*")
-    return joined.withColumn("cost", F.col("arrival_s") - F.col("dep_s")), labels
-
-
-def latest_departures(queries: DataFrame, hops: DataFrame, walks: DataFrame, workspace: Workspace, **options) -> DataFrame:
     """The best journey of each query without its legs: the query's columns, ``cost``, ``dep_s`` and ``walked_s``.
 
     Queries as in ``search_journeys``, whose ``k`` doesn't matter here. Of the labels that leave equally late, one with least
     walking is kept. Queries without a journey have no row.
     """
-    found, _ = _searched(queries, hops, walks, workspace, **options)
-    return found.select(*queries.columns, "cost", "dep_s", "walked_s")
+    tables = stored_network(hops, walks, workspace, "latest-")
+    searches, count = _searches(queries, workspace, walking_speed)
+    run = timed_search.departures_run(tables, transfer_time)
+    found, _ = workspace.write("latest-departures", dealt(searches, count).mapInArrow(run, DEPARTURES))
+    return _answers(queries, searches, found)
 
 
-def latest_journeys(queries: DataFrame, hops: DataFrame, walks: DataFrame, workspace: Workspace, **options) -> DataFrame:
-    """As ``latest_departures``, with the ``legs`` in travel order, for the answers only.
-
-    A label of one round comes from a label of an earlier one: a round of joins finds the next leg of each answer, by the runs
-    that leave its stop at its time and by the walks that do, until the destination's own label is reached.
-    """
-    found, labels = _searched(queries, hops, walks, workspace, **options)
-    best, _ = workspace.write("latest-best", found)
-    at = [F.col(c).alias(f"at_{c}") for c in ("dep_s", "ride_by_s", "walked_s", "transfers", "made")]
-    known = labels.select("search_id", F.col("stop_id").alias("at_stop_id"), *at)
-    rides = search_rides(hops)
-    boardings = workspace.read("latest-boardings", workspace.spark.read.parquet(f"{workspace.root}/latest-boardings").schema)
-    boardings = boardings.select("run_id", "trip_id", F.inline("boardings")).select(
-        "run_id", "trip_id", "place", "until", F.col("stop_id").alias("from_stop_id"), "dep_s"
-    )
-    alights = rides.select("run_id", "seq", F.col("alight_stop_id").alias("at_stop_id"), "arr_s")
-    on_foot = search_walks(walks).withColumnRenamed("start_stop_id", "from_stop_id")
-    keys = ["search_id", "origin_stop_id"]
-    none = F.lit(None)
-    paths = best.select(
-        "search_id", F.col("from_stop_id").alias("origin_stop_id"), "from_stop_id", "dep_s", "walked_s", "made",
-        F.array().cast(f"array<{LEG}>").alias("legs"),
-    ).distinct()
-    number, ended = 0, []
-    while paths.limit(1).count():
-        by_ride = paths.join(boardings, ["from_stop_id", "dep_s"]).join(alights, "run_id")
-        by_ride = by_ride.filter((F.col("seq") > F.col("place")) & (F.coalesce("until", F.col("seq") + 1) > F.col("seq")))
-        by_ride = by_ride.withColumns({"kind": F.lit("ride"), "walk_s": none.cast("long"), "takes_s": none.cast("int")}).drop("run_id", "place", "until")
-        by_walk = paths.join(on_foot, "from_stop_id").withColumns({"kind": F.lit("walk"), "trip_id": F.lit(WALKING), "seq": F.lit(0), "arr_s": none.cast("int")})
-        by_walk = by_walk.withColumn("takes_s", F.greatest("transfer_time", "walk_s").cast("int")).drop("transfer_time")
-        steps = by_ride.unionByName(by_walk).join(known, ["search_id", "at_stop_id"]).filter(F.col("at_made") < F.col("made"))
-        fits = F.when(F.col("kind") == "ride", (F.col("at_walked_s") == F.col("walked_s")) & (F.col("at_ride_by_s") >= F.col("arr_s")))
-        fits = fits.otherwise((F.col("at_walked_s") + F.col("walk_s") == F.col("walked_s")) & (F.col("at_dep_s") - F.col("takes_s") == F.col("dep_s")))
-        leg = F.struct("kind", "trip_id", "from_stop_id", F.col("at_stop_id").alias("to_stop_id"), "dep_s", "arr_s", "walk_s").cast(LEG)
-        order = F.struct("at_transfers", "at_made", "trip_id", "seq", "at_stop_id", "at_dep_s")
-        chosen = F.struct(
-            F.col("at_stop_id").alias("from_stop_id"), F.col("at_dep_s").alias("dep_s"), F.col("at_walked_s").alias("walked_s"),
-            F.col("at_made").alias("made"), F.array_append("legs", leg).alias("legs"),
-        )
-        following = steps.filter(fits).groupBy(*keys).agg(F.min_by(chosen, order).alias("c")).select(*keys, "c.*")
-        following, _ = workspace.write(f"latest-legs/{number}", following)
-        ended.append(following.filter("made = 0").select("search_id", F.col("origin_stop_id").alias("from_stop_id"), "legs"))
-        paths = following.filter("made > 0")
-        number += 1
-    whole = functools.reduce(DataFrame.unionByName, ended) if ended else paths.select("search_id", "from_stop_id", "legs")
-    return best.join(whole, ["search_id", "from_stop_id"]).select(*queries.columns, "cost", "dep_s", "walked_s", "legs")
+def latest_journeys(
+    queries: DataFrame,
+    hops: DataFrame,
+    walks: DataFrame,
+    workspace: Workspace,
+    walking_speed: float = WALKING_SPEED_MPS,
+    transfer_time: int = TRANSFER_TIME_S,
+) -> DataFrame:
+    """As ``latest_departures``, with the ``legs`` in travel order."""
+    tables = stored_network(hops, walks, workspace, "latest-")
+    searches, count = _searches(queries, workspace, walking_speed)
+    run = timed_search.labels_run(tables, transfer_s=transfer_time, span_s=0, max_legs=None, wide=True, fold_rows=FOLD_ROWS, prune=True)
+    labels, _ = workspace.write("latest-labels", dealt(searches, count).mapInArrow(run, LABELS))
+    order = F.struct(-F.col("dep_s"), "walked_s", "transfers", "label_id")
+    best = labels.groupBy("search_id", "stop_id").agg(F.min_by(F.struct("dep_s", "walked_s", F.reverse("legs").alias("legs")), order).alias("b"))
+    return _answers(queries, searches, best.select("search_id", "stop_id", "b.*"))

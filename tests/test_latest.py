@@ -1,13 +1,18 @@
 """The search for one journey a query against plain enumeration, with legs that hold together."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from queries import registered
 from stopwise.operators import latest
-from stopwise.operators.journeys import search_journeys
+from stopwise.operators.journeys import pick_journeys, search_journeys
 from stopwise.operators.network import ride_runs
+from stopwise.plans.journey_plan import plan_journeys
+from stopwise.plans.travel_network import TravelNetwork
 from stopwise.sources.workspace import Workspace
-from test_journeys import QUERIES, TRIPS, H, enumerate_journeys, hops_of, query, random_network, walks_of
+from test_journeys import MODEL, QUERIES, TRIPS, H, enumerate_journeys, hops_of, query, random_network, walks_of
 
 
 def find(spark, queries, trips, walks):
@@ -90,3 +95,60 @@ def test_hops_are_worked_through_once(spark, search):
     queries = spark.createDataFrame([query(1, names[0], names[1], 3600, k=1)], QUERIES)
     search(queries, counted, walks_of(spark, walks), Workspace(spark)).collect()
     assert seen.value == hops.count()
+
+
+def plan_of(queries, hops, walks, work):
+    model = work.spark.createDataFrame([("P1", 9, False, "low", list(range(0, 1010, 10)), 30)], MODEL)
+    return plan_journeys(queries, TravelNetwork(hops, walks), model, work, 0.0)
+
+
+@pytest.mark.parametrize("search", [latest.latest_departures, search_journeys, plan_of])
+def test_jobs_do_not_grow_with_the_legs(spark, search):
+    jobs, walks = [], walks_of(spark, {("X", "Y"): 60})
+    for legs in (2, 16):
+        line = {f"T{k}": [(f"P{k}", 1000 * k, 1000 * k + 10), (f"P{k + 1}", 1000 * k + 500, 1000 * k + 510)] for k in range(legs)}
+        queries = spark.createDataFrame([query(1, "P0", f"P{legs}", 20000)], QUERIES)
+        group = f"legs-{search.__name__}-{legs}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert search(queries, hops_of(spark, line), walks, Workspace(spark)).count() > 0
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0] + 2
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_walks_between_parts_that_no_ride_joins(spark, k):
+    names, trips, walks = random_network(4, 5, 25)
+    others, more, further = random_network(6, 5, 25)
+    trips |= {f"U{t}": [(f"U{stop}", *times) for stop, *times in stops] for t, stops in more.items()}
+    walks |= {(f"U{a}", f"U{b}"): s for (a, b), s in further.items()} | {("S0", "US1"): 150, ("S2", "US3"): 330, ("US4", "lone"): 140}
+    stops = [*names, *(f"U{s}" for s in others), "lone"]
+    queries = [query(i, s, d, 3600, k=k) for i, (s, d) in enumerate((s, d) for s in stops for d in ("S0", "S3", "US2", "lone") if s != d)]
+    table = spark.createDataFrame(queries, QUERIES)
+    labels = search_journeys(table, hops_of(spark, trips), walks_of(spark, walks), Workspace(spark), max_legs=4)
+    found = {}
+    for r in pick_journeys(table, labels).orderBy("query_id", "journey_rank").collect():
+        found.setdefault(r.query_id, []).append(r.cost)
+    for q in queries:
+        every = enumerate_journeys(trips, walks, q[2], 3600, 600, 4)[q[1]]
+        assert found.get(q[0], []) == sorted(3600 - dep for dep, _ in every)[:k]
+
+
+def test_without_a_walking_budget_only_rides_count(spark):
+    fields = QUERIES.replace("max_walk_m int", "max_walk_m double")
+    table = spark.createDataFrame([(1, "X", "Z", 10 * H, None, 3, False, 5), (2, "X", "Z", None, 500.0, 3, False, 5)], fields)
+    labels = search_journeys(table, hops_of(spark, TRIPS), walks_of(spark, {("X", "Y"): 300}), Workspace(spark))
+    assert [leg.trip_id for r in labels.collect() for leg in r.legs] == ["T1"]
+
+
+def test_legs_report_looks_at_the_hops_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    hops = hops_of(spark, TRIPS).repartition(2, "trip_id")
+    counted = hops.withColumn("dep_s", F.udf(lambda v: seen.add(1) or v, "int")("dep_s"))
+    given = SimpleNamespace(
+        spark=spark, queries=spark.createDataFrame([query(1, "X", "Z", 10 * H)], QUERIES),
+        network=TravelNetwork(counted, walks_of(spark, {("X", "Y"): 300})),
+    )
+    rows = registered.journey_legs(given).orderBy("journey_rank", "leg").collect()
+    assert [(r.journey_rank, r.leg, r.description) for r in rows] == [(1, 0, "Walking 250m"), (1, 1, "T3"), (2, 0, "T1")]
+    assert seen.value == hops.count()
